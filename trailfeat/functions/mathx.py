@@ -29,6 +29,21 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(fn, *cols) -> Column:
+    """Evaluate each column once and hand ``fn`` lambda variables bound to them.
+
+    ``transform(array(c), v -> fn(v))[0]``: without this, a function that
+    uses its input several times (size, slice, ...) duplicates the input's
+    whole expression tree, and nesting such functions grows the plan
+    exponentially (higher-order functions get no common-subexpression
+    elimination).
+    """
+    if len(cols) == 1:
+        return F.transform(F.array(cols[0]), fn)[0]
+    packed = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(cols)])
+    return F.transform(F.array(packed), lambda s: fn(*[s[f"_{i}"] for i in range(len(cols))]))[0]
+
+
 def np_log1p(c) -> Column:
     """log(1 + c) with -1 -> -Inf and c < -1 -> NaN (NaN/Inf pass through)."""
     c = _c(c)
@@ -62,6 +77,13 @@ def euclid2(dx, dy) -> Column:
     return F.sqrt(dx * dx + dy * dy)
 
 
+def _half_away(c: Column, scale: float) -> Column:
+    """Round |c| * scale half away from zero with plain IEEE steps (floor of x + 0.5),
+    so that Spark and DuckDB produce bit-identical results."""
+    a = F.floor(F.abs(c) * scale + 0.5).cast("double") / scale
+    return F.when(c < 0, -a).otherwise(a)
+
+
 def settle(c) -> Column:
     """Round a double for cross-engine comparison (not used by the library).
 
@@ -73,19 +95,24 @@ def settle(c) -> Column:
     c = _c(c).cast("double")
     a = F.abs(c)
     r = (F.when(c.isNull() | F.isnan(c) | (a == POS_INF()) | (a >= 1e15), c)
-         .when(a < 1e3, F.round(c, 6))
-         .when(a < 1e6, F.round(c, 3))
-         .when(a < 1e9, F.round(c, 0))
-         .otherwise(F.round(c / 1e3, 0) * 1e3))
+         .when(a < 1e3, _half_away(c, 1e6))
+         .when(a < 1e6, _half_away(c, 1e3))
+         .when(a < 1e9, _half_away(c, 1.0))
+         .otherwise(_half_away(c, 1e-3)))
     return F.when(r == 0, F.lit(0.0)).otherwise(r)
 
 
+def _half_away_sql(e: str, scale: str) -> str:
+    a = f"(CAST(floor(abs({e}) * {scale} + 0.5) AS DOUBLE) / {scale})"
+    return f"(CASE WHEN {e} < 0 THEN -{a} ELSE {a} END)"
+
+
 def settle_sql(expr: str) -> str:
     """DuckDB twin of :func:`settle` for oracle SQL strings."""
     e = f"CAST(({expr}) AS DOUBLE)"
     r = (f"(CASE WHEN {e} IS NULL OR isnan({e}) OR isinf({e}) OR abs({e}) >= 1e15 THEN {e} "
-         f"WHEN abs({e}) < 1e3 THEN round({e}, 6) "
-         f"WHEN abs({e}) < 1e6 THEN round({e}, 3) "
-         f"WHEN abs({e}) < 1e9 THEN round({e}, 0) "
-         f"ELSE round({e} / 1e3, 0) * 1e3 END)")
+         f"WHEN abs({e}) < 1e3 THEN {_half_away_sql(e, '1e6')} "
+         f"WHEN abs({e}) < 1e6 THEN {_half_away_sql(e, '1e3')} "
+         f"WHEN abs({e}) < 1e9 THEN {_half_away_sql(e, '1.0')} "
+         f"ELSE {_half_away_sql(e, '1e-3')} END)")
     return f"(CASE WHEN {r} = 0 THEN 0.0 ELSE {r} END)"

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .mathx import ZERO_GAP, _c, np_log1p
+from .mathx import ZERO_GAP, _c, let, np_log1p
 
 def EMPTY() -> Column:
     return F.array().cast("array<double>")
@@ -36,26 +36,26 @@ def first_diff(a, zero_eps: bool = False) -> Column:
 
     With ``zero_eps`` a difference equal to 0 becomes 0.0001 (time deltas).
     """
-    a = _c(a)
-    n = F.size(a)
-    d = (F.when(n >= 2, _pairwise(a, lambda q, p: q - p))
-         .when(n == 1, F.array(a[0] - a[0]))
-         .otherwise(F.array(F.lit(0.0))))
-    if zero_eps:
-        d = F.transform(d, lambda v: F.when(v == 0, F.lit(ZERO_GAP)).otherwise(v))
-    return d
+    def body(v):
+        n = F.size(v)
+        d = (F.when(n >= 2, _pairwise(v, lambda q, p: q - p))
+             .when(n == 1, F.array(v[0] - v[0]))
+             .otherwise(F.array(F.lit(0.0))))
+        if zero_eps:
+            d = F.transform(d, lambda e: F.when(e == 0, F.lit(ZERO_GAP)).otherwise(e))
+        return d
+    return let(body, _c(a))
 
 
 def raw_diff(a) -> Column:
     """Forward differences only (empty for n < 2); used inside the series maths."""
-    a = _c(a)
-    return F.when(F.size(a) >= 2, _pairwise(a, lambda q, p: q - p)).otherwise(EMPTY())
+    return let(lambda v: F.when(F.size(v) >= 2, _pairwise(v, lambda q, p: q - p))
+               .otherwise(EMPTY()), _c(a))
 
 
 def pad_empty(a) -> Column:
     """An empty series becomes ``[0]`` (the reference appends 0 in place)."""
-    a = _c(a)
-    return F.when(F.size(a) == 0, F.array(F.lit(0.0))).otherwise(a)
+    return let(lambda v: F.when(F.size(v) == 0, F.array(F.lit(0.0))).otherwise(v), _c(a))
 
 
 def step_distance_x(xs) -> Column:
@@ -70,8 +70,10 @@ def time_delta(ts) -> Column:
 
 def _zip_trunc(a: Column, b: Column, fn) -> Column:
     """Python ``zip`` semantics: truncate to the shorter input."""
-    m = F.least(F.size(a), F.size(b))
-    return F.when(m > 0, F.zip_with(F.slice(a, 1, m), F.slice(b, 1, m), fn)).otherwise(EMPTY())
+    def body(p, q):
+        m = F.least(F.size(p), F.size(q))
+        return F.when(m > 0, F.zip_with(F.slice(p, 1, m), F.slice(q, 1, m), fn)).otherwise(EMPTY())
+    return let(body, a, b)
 
 
 def log_speed_raw(xs, ts) -> Column:
@@ -107,10 +109,11 @@ def log_angle(xs, ys) -> Column:
 def aim_distance_compat(xs, ys, aim) -> Column:
     """The two-value series the reference computes from the last point only:
     ``[|(xL, xL) - (ax, ay)|, |(yL, yL) - (ax, ay)|]``."""
-    xl, yl = F.element_at(_c(xs), -1), F.element_at(_c(ys), -1)
-    ax, ay = _c(aim)["ax"], _c(aim)["ay"]
-    return F.array(F.sqrt((xl - ax) * (xl - ax) + (xl - ay) * (xl - ay)),
-                   F.sqrt((yl - ax) * (yl - ax) + (yl - ay) * (yl - ay)))
+    def body(xl, yl, ax, ay):
+        return F.array(F.sqrt((xl - ax) * (xl - ax) + (xl - ay) * (xl - ay)),
+                       F.sqrt((yl - ax) * (yl - ax) + (yl - ay) * (yl - ay)))
+    return let(body, F.element_at(_c(xs), -1), F.element_at(_c(ys), -1),
+               _c(aim)["ax"], _c(aim)["ay"])
 
 
 def aim_distance(points, aim) -> Column:
@@ -128,14 +131,16 @@ def head_mid_tail(a) -> Column:
     [len-3:len]. Returns ``struct<head, mid, tail>`` of ``array<double>``.
     """
     from .mathx import nan_to_num
-    a = pad_empty(a)
-    a = F.when(F.size(a) <= 3, F.flatten(F.array_repeat(a, 6))).otherwise(a)
-    a = F.transform(a, lambda v: nan_to_num(v))
-    n = F.size(a)
-    mid = F.floor(n / 2).cast("int")
-    return F.struct(F.slice(a, 1, 3).alias("head"),
-                    F.slice(a, mid - 1, 3).alias("mid"),
-                    F.slice(a, n - 2, 3).alias("tail"))
+    rep = let(lambda v: F.when(F.size(v) <= 3, F.flatten(F.array_repeat(v, 6))).otherwise(v),
+              pad_empty(a))
+
+    def body(v):
+        n = F.size(v)
+        mid = F.floor(n / 2).cast("int")
+        return F.struct(F.slice(v, 1, 3).alias("head"),
+                        F.slice(v, mid - 1, 3).alias("mid"),
+                        F.slice(v, n - 2, 3).alias("tail"))
+    return let(body, F.transform(rep, lambda v: nan_to_num(v)))
 
 
 def linear_speed_accel(xs, ts) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .mathx import NAN, _c, euclid2, np_log1p
+from .mathx import NAN, _c, euclid2, let, np_log1p
 from .series import raw_diff
 
 STATS = ("first", "last", "std", "mean", "median", "max", "min")
@@ -47,18 +47,18 @@ def array_median(a) -> Column:
 
 def summary(a) -> Column:
     """``struct<first,last,std,mean,median,max,min>`` of a non-empty series."""
-    a = _c(a)
-    bad = has_nan(a)
-    mean = array_mean(a)
-    return F.struct(
-        a[0].alias("first"),
-        F.element_at(a, -1).alias("last"),
-        array_std(a, mean).alias("std"),
-        mean.alias("mean"),
-        array_median(a).alias("median"),
-        F.array_max(a).alias("max"),
-        F.when(bad, NAN()).otherwise(F.array_min(a)).alias("min"),
-    )
+    def body(v, mean):
+        bad = has_nan(v)
+        return F.struct(
+            v[0].alias("first"),
+            F.element_at(v, -1).alias("last"),
+            array_std(v, mean).alias("std"),
+            mean.alias("mean"),
+            array_median(v).alias("median"),
+            F.array_max(v).alias("max"),
+            F.when(bad, NAN()).otherwise(F.array_min(v)).alias("min"),
+        )
+    return let(lambda v: let(lambda m: body(v, m), array_mean(v)), _c(a))
 
 
 def point_count(xs) -> Column:
