@@ -48,24 +48,6 @@ def submission_ordinals(preds: DataFrame, order=("traj_id",), flag: Column | Non
     return r.filter("_flag").select((F.col("pos") + 1).alias("ordinal"))
 
 
-def read_class_predictions(spark, path: str) -> DataFrame:
-    """Class-prediction text (one class literal per line), numbered in file order.
-
-    ``monotonically_increasing_id`` follows file order (partition index, then
-    position), so the ordinal rank over it reproduces the line number.
-    """
-    df = spark.read.text(path).select(F.monotonically_increasing_id().alias("_line"),
-                                      F.col("value").alias("label"))
-    return df
-
-
-def read_score_predictions(spark, path: str) -> DataFrame:
-    """Tab-separated predictions; column index 1 is the score."""
-    df = spark.read.text(path).select(F.monotonically_increasing_id().alias("_line"),
-                                      F.split("value", "\t").alias("_f"))
-    return df.select("_line", F.get("_f", 1).cast("double").alias("score"))
-
-
 def user_scores(events: DataFrame) -> DataFrame:
     """Per-trajectory score fixture: round(min(1, avg(value)/100), 4) per user."""
     return events.groupBy(F.col("user_id").alias("traj_id")).agg(
@@ -77,7 +59,3 @@ def join_predictions(preds: DataFrame, trajs: DataFrame, key: str = "traj_id",
     """Align predictions with trajectories by key (the reference relies on line order)."""
     return preds.join(trajs, key).select(
         "*", (F.col("score") < F.lit(threshold)).alias("flagged"))
-
-
-def write_submission(ids: DataFrame, path: str, col: str = "ordinal") -> None:
-    ids.select(F.col(col).cast("string").alias("value")).write.mode("overwrite").text(path)
