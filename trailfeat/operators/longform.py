@@ -85,13 +85,14 @@ def series_medians(steps: DataFrame, names=MEDIAN_SERIES, key: str = "traj_id",
     lo, hi = F.floor((n - 1) / 2), F.floor(n / 2)
     mid = (pos == lo) | (pos == hi)
     sel = r.filter(mid | (pos == n - 1))
-    agg = sel.groupBy(key, "sid").agg(
-        F.avg(F.when(mid, F.col("v"))).alias("m"),
-        F.max(F.when(pos == n - 1, F.isnan("v").cast("int"))).alias("nan"))
-    med = F.when(F.col("nan") == 1, NAN()).otherwise(F.col("m"))
-    return (agg.select(key, "sid", med.alias("med"))
-            .groupBy(key).pivot("sid", list(names)).agg(F.first("med"))
-            .select(key, *[F.col(nm).alias(f"{nm}__median") for nm in names]))
+    # one grouped pass over at most three rows per (trajectory, series)
+    out = []
+    for nm in names:
+        this = F.col("sid") == F.lit(nm)
+        m = F.avg(F.when(this & mid, F.col("v")))
+        bad = F.max(F.when(this & (pos == n - 1), F.isnan("v").cast("int")))
+        out.append(F.when(bad == 1, NAN()).otherwise(m).alias(f"{nm}__median"))
+    return sel.groupBy(key).agg(*out)
 
 
 def trajectory_summaries(steps: DataFrame, key: str = "traj_id",
@@ -103,12 +104,11 @@ def trajectory_summaries(steps: DataFrame, key: str = "traj_id",
     series = ["x", "y", "t"] + STEP_SERIES + (DIFF_SERIES if have_diff else [])
     aggs = [F.count(F.lit(1)).alias("point_count"),
             F.sum(F.when(F.col("dx") < 0, 1).otherwise(0)).cast("long").alias("backtrack_count")]
-    for e in extra:
-        if e in steps.columns:
-            aggs.append(F.first(e).alias(e))
+    # per-trajectory constants are grouping columns (a hash aggregate), not first()
+    consts = [e for e in extra if e in steps.columns]
     for v in series:
         aggs += _stats_aggs(v)
-    base = steps.groupBy(key).agg(*aggs)
+    base = steps.groupBy(key, *consts).agg(*aggs)
     med = series_medians(steps, series, key, n_blocks)
     df = base.join(med, key, "left")
 

@@ -33,6 +33,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 
@@ -77,21 +78,32 @@ def sequence(df: DataFrame, keys, order, lag_cols=(), lags: int = 0, sum_cols=()
             w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_lcnt"))
     local = materialize(ranged.select(*sel), name)
 
-    # keys that may continue across a block edge: first and last key of each block
-    edges = local.groupBy(BLK).agg(F.min(F.struct(*keys)).alias("_lo"),
-                                   F.max(F.struct(*keys)).alias("_hi"))
-    bkeys = (edges.select(BLK, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_k"))
-             .select(BLK, *[F.col(f"_k.{k}").alias(k) for k in keys]))
-    bkeys = bounded_broadcast(bkeys, 2 * n)
-    brows = local.join(bkeys, [BLK, *keys], "left_semi")
-
+    # One row per (block, key): counts, sums and first values. A hash aggregate
+    # with map-side combine; its output has about as many rows as there are keys.
     aggs = [F.count(F.lit(1)).alias("_bcnt")]
     aggs += [F.sum(c).alias(f"_bsum_{c}") for c in sum_cols]
     aggs += [F.min_by(c, "_lpos").alias(f"_bfirst_{c}") for c in first_cols]
-    bagg = brows.groupBy(BLK, *keys).agg(*aggs)
+    bstats = local.groupBy(BLK, *keys).agg(*aggs)
+    # Keys that may continue across a block edge: first and last key of each block.
+    # A single numeric key keeps this a hash aggregate; composite keys use a
+    # struct min/max over the (much smaller) per-(block, key) table - the
+    # extra sum keeps the optimizer from folding that pre-aggregation away.
+    numeric = len(keys) == 1 and isinstance(
+        local.schema[keys[0]].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
+    if numeric:
+        edges = local.groupBy(BLK).agg(F.min(keys[0]).alias("_lo"), F.max(keys[0]).alias("_hi"))
+        bkeys = edges.select(BLK, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias(keys[0]))
+    else:
+        edges = bstats.groupBy(BLK).agg(F.min(F.struct(*keys)).alias("_lo"),
+                                        F.max(F.struct(*keys)).alias("_hi"),
+                                        F.sum("_bcnt").alias("_rows"))
+        bkeys = (edges.select(BLK, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_k"))
+                 .select(BLK, *[F.col(f"_k.{k}").alias(k) for k in keys]))
+    bkeys = bounded_broadcast(bkeys, 2 * n)
+    bagg = bstats.join(bkeys, [BLK, *keys], "left_semi")
     if lags:
-        tails = (brows.join(bounded_broadcast(bagg.select(BLK, *keys, "_bcnt"), 2 * n),
-                            [BLK, *keys])
+        tails = (local.join(bkeys, [BLK, *keys], "left_semi")
+                 .join(bounded_broadcast(bagg.select(BLK, *keys, "_bcnt"), 2 * n), [BLK, *keys])
                  .filter(F.col("_lpos") >= F.col("_bcnt") - lags)
                  .groupBy(BLK, *keys)
                  .agg(F.array_sort(F.collect_list(F.struct("_lpos", *lag_cols))).alias("_tail")))
