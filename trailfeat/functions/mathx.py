@@ -81,7 +81,8 @@ def _half_away(c: Column, scale: float) -> Column:
     """Round |c| * scale half away from zero with plain IEEE steps (floor of x + 0.5),
     so that Spark and DuckDB produce bit-identical results."""
     a = F.floor(F.abs(c) * scale + 0.5).cast("double") / scale
-    return F.when(c < 0, -a).otherwise(a)
+    # 0.0 - a (not -a): a rounded-away negative tiny value becomes +0.0, not -0.0
+    return F.when(c < 0, F.lit(0.0) - a).otherwise(a)
 
 
 def settle(c) -> Column:
@@ -99,7 +100,28 @@ def settle(c) -> Column:
          .when(a < 1e6, _half_away(c, 1e3))
          .when(a < 1e9, _half_away(c, 1.0))
          .otherwise(_half_away(c, 1e-3)))
-    return F.when(r == 0, F.lit(0.0)).otherwise(r)
+    return r
+
+
+def settle_expr(name: str, bind: bool = False) -> Column:
+    """:func:`settle` as one Spark SQL expression on column ``name``.
+
+    Built from text (a single JVM call) with the same arithmetic steps.
+    ``bind=True`` evaluates it through a lambda so that very wide outputs keep
+    their generated code small.
+    """
+    v = "v" if bind else f"CAST(`{name}` AS DOUBLE)"
+
+    def half(scale: str) -> str:
+        a = f"(CAST(floor(abs({v}) * {scale} + 0.5D) AS DOUBLE) / {scale})"
+        return f"(CASE WHEN {v} < 0 THEN 0.0D - {a} ELSE {a} END)"
+    body = (f"CASE WHEN {v} IS NULL OR isnan({v}) OR abs({v}) = CAST('Infinity' AS DOUBLE) "
+            f"OR abs({v}) >= 1e15 THEN {v} "
+            f"WHEN abs({v}) < 1e3 THEN {half('1e6')} WHEN abs({v}) < 1e6 THEN {half('1e3')} "
+            f"WHEN abs({v}) < 1e9 THEN {half('1e0')} ELSE {half('1e-3')} END")
+    if bind:
+        body = f"transform(array(CAST(`{name}` AS DOUBLE)), v -> {body})[0]"
+    return F.expr(body)
 
 
 def _half_away_sql(e: str, scale: str) -> str:

@@ -84,11 +84,14 @@ def parse_trajectories(lines: DataFrame, labelled: bool = True, mode: str = "qua
         df = df.withColumn("reason", F.when(F.col("reason").isNotNull(), F.raise_error(
             F.concat(F.lit("bad trajectory record "), F.coalesce("traj_id", F.lit("?")),
                      F.lit(": "), F.col("reason")))).cast("string"))
-    out = ["traj_id", "points",
+    out = [F.col("traj_id"), F.col("points"),
            F.struct(F.col("_tgt.ax").alias("ax"), F.col("_tgt.ay").alias("ay")).alias("aim")]
     if labelled:
-        out.append("label")
-    return df.select(*out, "reason")
+        out.append(F.col("label"))
+    # Emitted through a one-row generator: a later filter on ``reason`` (see
+    # ``good``) then stays above it instead of being pushed below the parse
+    # projection, which would evaluate the whole parse twice per line.
+    return df.select(F.inline(F.array(F.struct(*out, F.col("reason")))))
 
 
 def good(parsed: DataFrame) -> DataFrame:

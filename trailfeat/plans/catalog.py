@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions import series as S
 from ..functions import stats as A
-from ..functions.mathx import nan_to_num, np_log1p, settle
+from ..functions.mathx import nan_to_num, np_log1p, settle, settle_expr
 from ..operators import decide as D
 from ..operators import evaluate as EV
 from ..operators import features as FT
@@ -29,11 +29,19 @@ from ..sources import events as E
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """Round doubles (see ``settle``) and widen integers to long."""
+    """Round doubles (see ``settle``) and widen integers to long.
+
+    Wide outputs (the 70-feature matrices) evaluate the rounding through a
+    ``let`` binding so the comparison wrapper does not push the generated
+    code of the final stage over the JVM's 64 KB method limit.
+    """
+    doubles = [f for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    wide = len(doubles) > 16
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(settle(F.col(f.name)).alias(f.name))
+            e = settle_expr(f.name, bind=wide)
+            cols.append(e.alias(f.name))
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             cols.append(F.col(f.name).cast("long").alias(f.name))
         else:
