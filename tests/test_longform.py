@@ -45,3 +45,16 @@ def test_long_form_hot_trajectory(spark):
     _compare(FT.feature_matrix(arr_in), lf)
     med = lf.filter("traj_id = 'hot'").first()
     assert abs(med.x_median - float(np.median(xs))) < 1e-9
+
+
+def test_median_with_massive_ties(spark):
+    """A hot trajectory whose values are mostly one repeated number still splits
+    into blocks (position breaks ties) and keeps the exact median."""
+    n = 4001
+    xs = [5.0] * 3000 + [float(i) for i in range(1001)]
+    rows = [("hot", i, xs[i], 0.0, float(i), 0.0, 0.0, "1") for i in range(n)]
+    schema = "traj_id string, pos long, x double, y double, t double, ax double, ay double, label string"
+    pts = spark.createDataFrame(rows, schema)
+    s = LF.trajectory_summaries(LF.step_series(LF.lag_points(pts, n_blocks=9)), n_blocks=9).first()
+    assert s.x_median == float(np.median(xs))
+    assert s.point_count == n

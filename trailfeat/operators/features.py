@@ -105,8 +105,14 @@ def _feature_columns():
     return cols, g
 
 
-def feature_matrix(trajs: DataFrame, labelled: bool = True, keep=("traj_id",)) -> DataFrame:
-    """Parsed trajectories -> ``traj_id``, the 70 features in order, [label]."""
+def feature_matrix(trajs: DataFrame, labelled: bool = True, keep=("traj_id",),
+                   with_speed_median: bool = False) -> DataFrame:
+    """Parsed trajectories -> ``traj_id``, the 70 features in order, [label].
+
+    ``with_speed_median`` appends ``log_speed_median`` (guarded), which the
+    reference computes but never emits (it writes the mean twice); the ML
+    table uses it in place of the duplicate.
+    """
     needed = ["x", "y", "t", "time_delta", "log_speed", "log_accel", "log_angle",
               "aim_distance", "log_speed_diff", "log_accel_diff", "log_angle_diff",
               "aim_distance_diff"]
@@ -114,19 +120,26 @@ def feature_matrix(trajs: DataFrame, labelled: bool = True, keep=("traj_id",)) -
     raw, guarded = _feature_columns()
     cols = list(keep) + raw + [nan_to_num(c).alias(n)
                                for c, n in zip(guarded, FEATURES[GUARDED_FROM:])]
+    if with_speed_median:
+        cols.append(nan_to_num(F.col("log_speed_stats.median")).alias("log_speed_median"))
     if labelled:
         cols.append(F.col("label"))
     return df.select(*cols)
 
 
+def ml_feature_names(columns) -> list[str]:
+    names = [c for c in FEATURES if c != "log_speed_mean_dup"]
+    return names + (["log_speed_median"] if "log_speed_median" in columns else [])
+
+
 def ml_table(features: DataFrame, label_col: str = "label") -> DataFrame:
     """Features with a ``double`` label and a ``features`` vector for Spark ML.
 
-    The duplicate speed-mean column is replaced by nothing: the vector holds
-    the 69 distinct feature columns.
+    The duplicate speed-mean column is left out; ``log_speed_median`` takes
+    its place when present (see ``feature_matrix(with_speed_median=True)``).
     """
     from pyspark.ml.feature import VectorAssembler
-    cols = [c for c in FEATURES if c != "log_speed_mean_dup"]
+    cols = ml_feature_names(features.columns)
     df = features.select("traj_id", *[F.col(c).cast("double").alias(c) for c in cols],
                          *([F.col(label_col).cast("double").alias("label")]
                            if label_col in features.columns else []))

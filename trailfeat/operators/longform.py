@@ -77,10 +77,15 @@ def series_medians(steps: DataFrame, names=MEDIAN_SERIES, key: str = "traj_id",
     the blocked ordered scan, and only the middle row(s) and the largest row
     (NaN sorts last, and any NaN makes the median NaN) are kept.
     """
-    stacked = (steps.select(key, F.explode(F.array(*[
+    stacked = (steps.select(key, "pos", F.explode(F.array(*[
         F.struct(F.lit(n).alias("sid"), F.col(n).cast("double").alias("v")) for n in names]))
-        .alias("_s")).select(key, "_s.sid", "_s.v").filter(F.col("v").isNotNull()))
-    r = sequence(stacked, [key, "sid"], ["v"], with_count=True, n_blocks=n_blocks, name="median")
+        .alias("_s")).select(key, "_s.sid", "_s.v", F.col("pos").alias("_at"))
+        .filter(F.col("v").isNotNull()))
+    # ``_at`` (the point position) breaks ties: block edges can only fall between
+    # distinct (key, order) tuples, so a value repeated across a hot trajectory
+    # must not form one unsplittable run.
+    r = sequence(stacked, [key, "sid"], ["v", "_at"], with_count=True, n_blocks=n_blocks,
+                 name="median")
     n, pos = F.col("seq_n"), F.col("pos")
     lo, hi = F.floor((n - 1) / 2), F.floor(n / 2)
     mid = (pos == lo) | (pos == hi)

@@ -55,9 +55,9 @@ def train_predict(features: DataFrame, **kw) -> DataFrame:
 
 def feature_importance(features: DataFrame, model=None, **kw) -> DataFrame:
     """The feature-weight dump: ``feature, importance`` (one row per feature)."""
-    from .features import FEATURES
+    from .features import ml_feature_names
     model = model or fit(features, **kw)
-    names = [c for c in FEATURES if c != "log_speed_mean_dup"]
+    names = ml_feature_names(features.columns)
     imp = model.featureImportances.toArray().tolist()
     spark = features.sparkSession
     return spark.createDataFrame(list(zip(names, [float(v) for v in imp])),

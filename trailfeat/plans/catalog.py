@@ -291,13 +291,13 @@ def q_eval_logloss(spark, sf):
 
 def q_gbt_train_predict(spark, sf):
     from ..operators import model as M
-    fm = FT.feature_matrix(trajs(spark, sf))
+    fm = FT.feature_matrix(trajs(spark, sf), with_speed_median=True)
     return M.train_predict(fm)
 
 
 def q_feature_importance(spark, sf):
     from ..operators import model as M
-    fm = FT.feature_matrix(trajs(spark, sf))
+    fm = FT.feature_matrix(trajs(spark, sf), with_speed_median=True)
     return M.feature_importance(fm)
 
 
