@@ -40,3 +40,19 @@ def test_global_rank(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("x"))
     r = global_rank(df, ["x"], n_blocks=9)
     assert r.filter(F.col("pos") != F.col("x")).count() == 0
+
+
+def test_single_row_blocks(spark):
+    """Blocks of one or two rows: lag 2 must reach back across several blocks."""
+    rows = [(1, i, float(i * i)) for i in range(60)] + [(2, i, -float(i)) for i in range(5)]
+    df = spark.createDataFrame(rows, "k long, o long, v double")
+    s = sequence(df, ["k"], ["o"], lag_cols=["v"], lags=2, sum_cols=["v"], first_cols=["v"],
+                 with_count=True, n_blocks=50)
+    got = {(r.k, r.o): r for r in s.collect()}
+    for k, o, v in rows:
+        r = got[(k, o)]
+        prev = [vv for kk, oo, vv in rows if kk == k and oo < o]
+        assert r.pos == len(prev)
+        assert r.v_lag1 == (prev[-1] if prev else None)
+        assert r.v_lag2 == (prev[-2] if len(prev) > 1 else None)
+        assert r.v_cum == sum(prev) + v and r.seq_n == sum(1 for x in rows if x[0] == k)

@@ -80,6 +80,10 @@ def sequence(df: DataFrame, keys, order, lag_cols=(), lags: int = 0, sum_cols=()
     if with_count:
         sel.append(F.count(F.lit(1)).over(
             w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_lcnt"))
+    if lags:
+        # rows after this one in its (block, key) group, capped at ``lags``
+        sel.append(sum(F.lead(F.lit(1), j).over(w).isNotNull().cast("int")
+                       for j in range(1, lags + 1)).alias("_rev"))
     local = materialize(ranged.select(*sel), name)
 
     # One row per (block, key): counts, sums and first values. A hash aggregate
@@ -87,6 +91,9 @@ def sequence(df: DataFrame, keys, order, lag_cols=(), lags: int = 0, sum_cols=()
     aggs = [F.count(F.lit(1)).alias("_bcnt")]
     aggs += [F.sum(c).alias(f"_bsum_{c}") for c in sum_cols]
     aggs += [F.min_by(c, "_lpos").alias(f"_bfirst_{c}") for c in first_cols]
+    # the last ``lags`` values of every lag column (j-th from the end: _rev == j-1)
+    aggs += [F.max_by(c, F.when(F.col("_rev") == j - 1, F.col("_lpos"))).alias(f"_t{j}_{c}")
+             for j in range(1, lags + 1) for c in lag_cols]
     bstats = local.groupBy(BLK, *keys).agg(*aggs)
     # Keys that may continue across a block edge: first and last key of each block.
     # A single numeric key keeps this a hash aggregate; composite keys use a
@@ -106,12 +113,11 @@ def sequence(df: DataFrame, keys, order, lag_cols=(), lags: int = 0, sum_cols=()
     bkeys = bounded_broadcast(bkeys, 2 * n)
     bagg = bstats.join(bkeys, [BLK, *keys], "left_semi")
     if lags:
-        tails = (local.join(bkeys, [BLK, *keys], "left_semi")
-                 .join(bounded_broadcast(bagg.select(BLK, *keys, "_bcnt"), 2 * n), [BLK, *keys])
-                 .filter(F.col("_lpos") >= F.col("_bcnt") - lags)
-                 .groupBy(BLK, *keys)
-                 .agg(F.array_sort(F.collect_list(F.struct("_lpos", *lag_cols))).alias("_tail")))
-        bagg = bagg.join(tails, [BLK, *keys], "left")
+        # tail rows of each edge group, oldest first, only as many as the group has
+        rows = F.array(*[F.struct(*[F.col(f"_t{j}_{c}").alias(c) for c in lag_cols])
+                         for j in range(lags, 0, -1)])
+        start = F.greatest(F.lit(lags) - F.col("_bcnt") + 1, F.lit(1)).cast("int")
+        bagg = bagg.withColumn("_tail", F.slice(rows, start, F.least(F.col("_bcnt"), F.lit(lags)).cast("int")))
 
     kw = Window.partitionBy(*keys).orderBy(BLK)
     before = kw.rowsBetween(Window.unboundedPreceding, -1)
