@@ -40,8 +40,15 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     keys = sys.argv[2:]
     import __spark_entry__ as se
-    from trailfeat.session import local_session
-    spark = local_session(8)
+    if os.environ.get("PLAIN"):
+        # a session with Spark's defaults, as an outside caller might pass
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from trailfeat.session import local_session
+        spark = local_session(8)
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf}/{t}.parquet"

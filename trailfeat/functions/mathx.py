@@ -51,11 +51,6 @@ def np_log1p(c) -> Column:
             .otherwise(F.log1p(c)))
 
 
-def np_log1p_x(x):
-    """Lambda-friendly form for higher-order functions."""
-    return np_log1p(x)
-
-
 def nan_to_num(c) -> Column:
     """NaN -> 0, +Inf -> MAX_DOUBLE, -Inf -> -MAX_DOUBLE."""
     c = _c(c)
@@ -68,7 +63,7 @@ def nan_to_num(c) -> Column:
 def zero_gap(c) -> Column:
     """A difference that is exactly 0 becomes 0.0001 (time deltas only)."""
     c = _c(c)
-    return F.when(c == 0, F.lit(0.0) + F.lit(ZERO_GAP)).otherwise(c)
+    return F.when(c == 0, F.lit(ZERO_GAP)).otherwise(c)
 
 
 def euclid2(dx, dy) -> Column:

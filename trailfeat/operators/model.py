@@ -34,7 +34,10 @@ def gbt(max_depth: int = MAX_DEPTH, step_size: float = STEP_SIZE, rounds: int =
 
 def fit(features: DataFrame, pos_weight: float = POS_WEIGHT, **kw):
     """Train on a labelled feature matrix (``label`` is 0/1 text or number)."""
-    train = class_weights(ml_table(features), pos_weight=pos_weight).persist()
+    # Tree training scans the cached table once per level and round: keep one
+    # partition per core at most (coalesce never increases the count).
+    par = features.sparkSession.sparkContext.defaultParallelism
+    train = class_weights(ml_table(features), pos_weight=pos_weight).coalesce(par).persist()
     try:
         return gbt(**kw).fit(train)
     finally:

@@ -25,9 +25,6 @@ from pyspark.sql import functions as F
 # exponent, inf/infinity/nan, surrounding whitespace).
 NUMBER_RE = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
 
-POINT = "struct<x:double,y:double,t:double>"
-
-
 def py_float(s) -> Column:
     """Cast text to double when it is a number Python would accept, else NULL."""
     s = F.col(s) if isinstance(s, str) else s

@@ -140,10 +140,6 @@ def stats_sql(sid: str, view="B", segmented=True) -> str:
     return f"{base(view, segmented)} SELECT traj_id, {cols} FROM sst WHERE sid = '{sid}'"
 
 
-# feature name -> (series id, stat) for the pivot
-_FEATURE_SRC = []
-
-
 def _feature_exprs() -> list[tuple[str, str]]:
     from ..operators.features import FEATURES, GUARDED_FROM
     out = []

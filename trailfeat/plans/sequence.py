@@ -35,7 +35,7 @@ Output columns added to the input's columns::
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -166,6 +166,3 @@ def global_rank(df: DataFrame, order, n_blocks: int | None = None, name: str = "
     keyed = df.withColumn("_all", F.lit(0))
     return sequence(keyed, ["_all"], order, n_blocks=n_blocks, name=name).drop("_all")
 
-
-def col_or(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c

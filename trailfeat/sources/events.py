@@ -70,7 +70,10 @@ def lagged_points(spark: SparkSession, sf_dir: str, view: str = "B",
         inc = ev.select("event_id", "ts", "user_id",
                         F.round(F.col("value") * 100).cast("long").alias("xi"),
                         F.col("k").alias("yi"), (F.col("event_id") % 3).alias("ti"))
-        s = sequence(inc, ["user_id"], ORDER, lag_cols=["xi", "yi", "ti"], lags=max(lags - 1, 1),
+        # lag j of a running sum = sum - increments of the last j rows, so the
+        # scan only needs increment lags up to j - 1
+        s = sequence(inc, ["user_id"], ORDER,
+                     lag_cols=["xi", "yi", "ti"] if lags >= 2 else [], lags=lags - 1,
                      sum_cols=["xi", "yi", "ti"], name="viewB")
         scale = {"x": 100.0, "y": 1.0, "t": 1.0}
         cols = []
