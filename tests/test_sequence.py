@@ -56,3 +56,17 @@ def test_single_row_blocks(spark):
         assert r.v_lag1 == (prev[-1] if prev else None)
         assert r.v_lag2 == (prev[-2] if len(prev) > 1 else None)
         assert r.v_cum == sum(prev) + v and r.seq_n == sum(1 for x in rows if x[0] == k)
+
+
+def test_hot_key_is_spread_evenly(spark):
+    """One key with ~1/3 of all rows (here more): no block is much larger
+    than the average, and the hot key spans many blocks."""
+    n = 60000
+    df = spark.range(0, n).select(
+        F.when(F.col("id") % 3 != 0, F.lit(0)).otherwise(F.col("id") % 500 + 1).alias("k"),
+        F.col("id").alias("o"), F.rand(5).alias("v"))
+    s = sequence(df, ["k"], ["o"], lag_cols=["v"], lags=1, n_blocks=16, keep_block=True)
+    sizes = [r["count"] for r in s.groupBy("_blk").count().collect()]
+    assert sum(sizes) == n and max(sizes) <= 2 * n / 16
+    hot_blocks = s.filter("k = 0").select("_blk").distinct().count()
+    assert hot_blocks >= 8

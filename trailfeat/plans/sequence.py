@@ -58,7 +58,7 @@ def default_blocks(spark) -> int:
 
 def sequence(df: DataFrame, keys, order, lag_cols=(), lags: int = 0, sum_cols=(),
              first_cols=(), with_count: bool = False, n_blocks: int | None = None,
-             name: str = "seq", pos_col: str = "pos") -> DataFrame:
+             name: str = "seq", pos_col: str = "pos", keep_block: bool = False) -> DataFrame:
     keys, order = list(keys), list(order)
     lag_cols, sum_cols, first_cols = list(lag_cols), list(sum_cols), list(first_cols)
     if lag_cols and lags < 1:
@@ -154,6 +154,8 @@ def sequence(df: DataFrame, keys, order, lag_cols=(), lags: int = 0, sum_cols=()
         res.append(F.coalesce(F.col(f"_gfirst_{c}"), F.col(f"_lfirst_{c}")).alias(f"{c}_first"))
     if with_count:
         res.append(F.coalesce(F.col("_ntot"), F.col("_lcnt")).cast("long").alias("seq_n"))
+    if keep_block:
+        res.append(F.col(BLK))            # diagnostics: which block a row was placed in
     return out.select(*res)
 
 
