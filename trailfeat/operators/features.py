@@ -47,27 +47,50 @@ _EMIT = [
 ]
 
 
+_COLUMN_CACHE: dict = {}
+
+
+def _per_context(key, build):
+    """Build a list of column expressions once per SparkContext.
+
+    The expressions refer to columns by name only, so one set serves every
+    DataFrame; re-creating thousands of JVM column objects per query costs
+    seconds of driver time.
+    """
+    from pyspark import SparkContext
+    k = (id(SparkContext._active_spark_context), key)
+    if k not in _COLUMN_CACHE:
+        _COLUMN_CACHE[k] = build()
+    return _COLUMN_CACHE[k]
+
+
+def _series_steps():
+    return [
+        [S.coords("points", "x").alias("xs"), S.coords("points", "y").alias("ys"),
+         S.coords("points", "t").alias("ts")],
+        [S.time_delta("ts").alias("time_delta"),
+         S.log_speed_raw("xs", "ts").alias("_speed_raw"),
+         S.log_angle_raw("xs", "ys").alias("_angle_raw"),
+         S.aim_distance_compat("xs", "ys", "aim").alias("aim_distance")],
+        [S.log_accel_raw("_speed_raw", "ts").alias("_accel_raw")],
+        [S.pad_empty("_speed_raw").alias("log_speed"), S.pad_empty("_accel_raw").alias("log_accel"),
+         S.pad_empty("_angle_raw").alias("log_angle")],
+        [S.first_diff("log_speed").alias("log_speed_diff"),
+         S.first_diff("log_accel").alias("log_accel_diff"),
+         S.first_diff("log_angle").alias("log_angle_diff"),
+         S.first_diff("aim_distance").alias("aim_distance_diff")],
+    ]
+
+
 def with_series(trajs: DataFrame) -> DataFrame:
     """Add the coordinate arrays and every derived series as columns.
 
     Built as successive projections so shared sub-expressions (dx, dt) are
     computed once per row.
     """
-    df = trajs.select("*", S.coords("points", "x").alias("xs"),
-                      S.coords("points", "y").alias("ys"),
-                      S.coords("points", "t").alias("ts"))
-    df = df.select("*", S.time_delta("ts").alias("time_delta"),
-                   S.log_speed_raw("xs", "ts").alias("_speed_raw"),
-                   S.log_angle_raw("xs", "ys").alias("_angle_raw"),
-                   S.aim_distance_compat("xs", "ys", "aim").alias("aim_distance"))
-    df = df.select("*", S.log_accel_raw("_speed_raw", "ts").alias("_accel_raw"))
-    df = df.select("*", S.pad_empty("_speed_raw").alias("log_speed"),
-                   S.pad_empty("_accel_raw").alias("log_accel"),
-                   S.pad_empty("_angle_raw").alias("log_angle"))
-    df = df.select("*", S.first_diff("log_speed").alias("log_speed_diff"),
-                   S.first_diff("log_accel").alias("log_accel_diff"),
-                   S.first_diff("log_angle").alias("log_angle_diff"),
-                   S.first_diff("aim_distance").alias("aim_distance_diff"))
+    df = trajs
+    for step in _per_context("series", _series_steps):
+        df = df.select("*", *step)
     return df.drop("_speed_raw", "_accel_raw", "_angle_raw")
 
 
@@ -78,9 +101,11 @@ SERIES = ["x", "y", "t", "time_delta", "log_speed", "log_accel", "log_angle",
 
 def with_summaries(series_df: DataFrame, names=None) -> DataFrame:
     """Add ``<series>_stats`` structs (first,last,std,mean,median,max,min)."""
-    names = names or SERIES
+    names = tuple(names or SERIES)
     src = {"x": "xs", "y": "ys", "t": "ts"}
-    return series_df.select("*", *[A.summary(src.get(n, n)).alias(f"{n}_stats") for n in names])
+    cols = _per_context(("summaries", names),
+                        lambda: [A.summary(src.get(n, n)).alias(f"{n}_stats") for n in names])
+    return series_df.select("*", *cols)
 
 
 def _feature_columns():
@@ -117,9 +142,11 @@ def feature_matrix(trajs: DataFrame, labelled: bool = True, keep=("traj_id",),
               "aim_distance", "log_speed_diff", "log_accel_diff", "log_angle_diff",
               "aim_distance_diff"]
     df = with_summaries(with_series(trajs), needed)
-    raw, guarded = _feature_columns()
-    cols = list(keep) + raw + [nan_to_num(c).alias(n)
-                               for c, n in zip(guarded, FEATURES[GUARDED_FROM:])]
+
+    def build():
+        raw, guarded = _feature_columns()
+        return raw + [nan_to_num(c).alias(n) for c, n in zip(guarded, FEATURES[GUARDED_FROM:])]
+    cols = list(keep) + list(_per_context("features", build))
     if with_speed_median:
         cols.append(nan_to_num(F.col("log_speed_stats.median")).alias("log_speed_median"))
     if labelled:
