@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import stats as A
 from ..functions.mathx import NAN, nan_to_num, np_log1p, zero_gap
 from ..plans.sequence import sequence
-from .features import FEATURES, GUARDED_FROM
+from .features import FEATURES, GUARDED_FROM, _per_context
 
 STEP_SERIES = ["time_delta", "log_speed", "log_accel", "log_angle"]
 DIFF_SERIES = ["log_speed_diff", "log_accel_diff", "log_angle_diff"]
@@ -107,15 +107,27 @@ def trajectory_summaries(steps: DataFrame, key: str = "traj_id",
     short-trajectory rules applied. Columns are ``<series>_<stat>``."""
     have_diff = "log_speed_diff" in steps.columns
     series = ["x", "y", "t"] + STEP_SERIES + (DIFF_SERIES if have_diff else [])
-    aggs = [F.count(F.lit(1)).alias("point_count"),
-            F.sum(F.when(F.col("dx") < 0, 1).otherwise(0)).cast("long").alias("backtrack_count")]
     # per-trajectory constants are grouping columns (a hash aggregate), not first()
     consts = [e for e in extra if e in steps.columns]
-    for v in series:
-        aggs += _stats_aggs(v)
-    base = steps.groupBy(key, *consts).agg(*aggs)
+    base = steps.groupBy(key, *consts).agg(*_per_context(("aggs", tuple(series)),
+                                                         lambda: _base_aggs(series)))
     med = series_medians(steps, series, key, n_blocks)
     df = base.join(med, key, "left")
+    out = [F.col(key), *[F.col(e) for e in consts]]
+    out += _per_context(("outs", tuple(series)), lambda: _summary_outputs(series))
+    return df.select(*out)
+
+
+def _base_aggs(series) -> list[Column]:
+    aggs = [F.count(F.lit(1)).alias("point_count"),
+            F.sum(F.when(F.col("dx") < 0, 1).otherwise(0)).cast("long").alias("backtrack_count")]
+    for v in series:
+        aggs += _stats_aggs(v)
+    return aggs
+
+
+def _summary_outputs(series) -> list[Column]:
+    """Guards and short-trajectory fallbacks over the grouped aggregates."""
 
     n = F.col("point_count")
     c = F.col
@@ -125,8 +137,7 @@ def trajectory_summaries(steps: DataFrame, key: str = "traj_id",
     }
     for s in ("log_speed", "log_accel", "log_angle"):
         fallback[f"{s}_diff"] = F.when(n == 1, F.lit(0.0)).otherwise(c(f"{s}__first") - c(f"{s}__first"))
-    out = [c(key), c("point_count").cast("long").alias("point_count"), "backtrack_count",
-           *[c(e) for e in extra if e in steps.columns]]
+    out = [c("point_count").cast("long").alias("point_count"), c("backtrack_count")]
     for v in series:
         bad = c(f"{v}__nan") == 1
         stats = {
@@ -143,7 +154,7 @@ def trajectory_summaries(steps: DataFrame, key: str = "traj_id",
                    "max": fb, "min": fb}
             stats = {k: F.when(c(f"{v}__n") == 0, one[k]).otherwise(e) for k, e in stats.items()}
         out += [e.alias(f"{v}_{k}") for k, e in stats.items()]
-    return df.select(*out)
+    return out
 
 
 def feature_matrix_long(steps: DataFrame, labelled: bool = True, key: str = "traj_id",
