@@ -31,9 +31,9 @@ from ..sources import events as E
 def settled(df: DataFrame) -> DataFrame:
     """Round doubles (see ``settle``) and widen integers to long.
 
-    Wide outputs (the 70-feature matrices) evaluate the rounding through a
-    ``let`` binding so the comparison wrapper does not push the generated
-    code of the final stage over the JVM's 64 KB method limit.
+    Wide outputs (the 70-feature matrices) evaluate the rounding inside a
+    lambda so the comparison wrapper does not push the generated code of the
+    final stage over the JVM's 64 KB method limit.
     """
     doubles = [f for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     wide = len(doubles) > 16

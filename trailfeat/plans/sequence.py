@@ -37,7 +37,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import materialize
 
@@ -95,23 +94,13 @@ def sequence(df: DataFrame, keys, order, lag_cols=(), lags: int = 0, sum_cols=()
     aggs += [F.max_by(c, F.when(F.col("_rev") == j - 1, F.col("_lpos"))).alias(f"_t{j}_{c}")
              for j in range(1, lags + 1) for c in lag_cols]
     bstats = local.groupBy(BLK, *keys).agg(*aggs)
-    # Keys that may continue across a block edge: first and last key of each block.
-    # A single numeric key keeps this a hash aggregate; composite keys use a
-    # struct min/max over the (much smaller) per-(block, key) table - the
-    # extra sum keeps the optimizer from folding that pre-aggregation away.
-    numeric = len(keys) == 1 and isinstance(
-        local.schema[keys[0]].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
-    if numeric:
-        edges = local.groupBy(BLK).agg(F.min(keys[0]).alias("_lo"), F.max(keys[0]).alias("_hi"))
-        bkeys = edges.select(BLK, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias(keys[0]))
-    else:
-        edges = bstats.groupBy(BLK).agg(F.min(F.struct(*keys)).alias("_lo"),
-                                        F.max(F.struct(*keys)).alias("_hi"),
-                                        F.sum("_bcnt").alias("_rows"))
-        bkeys = (edges.select(BLK, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_k"))
-                 .select(BLK, *[F.col(f"_k.{k}").alias(k) for k in keys]))
-    bkeys = bounded_broadcast(bkeys, 2 * n)
-    bagg = bstats.join(bkeys, [BLK, *keys], "left_semi")
+    # Keys that may continue across a block edge: the first and last key of each
+    # block, picked by a window over this per-(block, key) table (not over the
+    # rows); a window group holds the keys of one block.
+    bw = Window.partitionBy(BLK).orderBy(*keys)
+    ranked = bstats.select("*", F.row_number().over(bw).alias("_r"), F.count(F.lit(1)).over(
+        bw.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_nk"))
+    bagg = ranked.filter((F.col("_r") == 1) | (F.col("_r") == F.col("_nk"))).drop("_r", "_nk")
     if lags:
         # tail rows of each edge group, oldest first, only as many as the group has
         rows = F.array(*[F.struct(*[F.col(f"_t{j}_{c}").alias(c) for c in lag_cols])
