@@ -20,6 +20,7 @@ never finishes. Here the rows are instead cut into *blocks*:
    bounded by ``2n``, not by the data) and joined back to correct the local
    values.
 
+Keys must be non-NULL (edge fix-ups join on them with plain equality).
 The order columns should make rows unique within a key: rows with identical
 (key, order) values always land in the same block, so a long run of ties
 would form one block of unbounded size.
