@@ -20,6 +20,10 @@ def test_gbt_train_predict(spark):
     assert len(rows) == fm.count() and all(0.0 <= r.score <= 1.0 for r in rows)
     imp = M.feature_importance(fm, model=mdl)
     assert imp.count() == 69 and abs(sum(r.importance for r in imp.collect()) - 1.0) < 1e-6
+    d = tempfile.mkdtemp(prefix="trailfeat-model-")
+    M.dump(mdl, os.path.join(d, "gbt"))
+    trees = [r.value for r in spark.read.text(os.path.join(d, "gbt_trees")).collect()]
+    assert any("Tree 0" in t for t in trees) and os.path.isdir(os.path.join(d, "gbt"))
 
 
 def test_stream_equals_batch_and_job(spark):

@@ -68,5 +68,12 @@ def feature_importance(features: DataFrame, model=None, **kw) -> DataFrame:
 
 
 def dump(model, path: str) -> None:
-    """Save the model and its tree text next to it."""
+    """Save the model, and its trees as text under ``<path>_trees`` (the
+    reference's dump task). The text grows with the model (rounds x nodes),
+    not with the data."""
     model.write().overwrite().save(path)
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    lines = [(ln,) for ln in model.toDebugString.splitlines()]
+    spark.createDataFrame(lines, "value string").coalesce(1).write.mode("overwrite").text(
+        path.rstrip("/") + "_trees")
