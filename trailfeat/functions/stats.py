@@ -32,33 +32,43 @@ def array_std(a, mean: Column | None = None) -> Column:
     return F.sqrt(F.aggregate(a, F.lit(0.0), lambda s, v: s + (v - m) * (v - m)) / F.size(a))
 
 
-def has_nan(a) -> Column:
-    return F.exists(_c(a), lambda v: F.isnan(v))
+def _sorted_stats(srt: Column) -> tuple[Column, Column, Column]:
+    """median, max, min from an ascending ``array_sort`` result.
+
+    Spark sorts NaN after every number, so the series holds a NaN exactly when
+    its last sorted element is NaN; then median and min are NaN (as in NumPy)
+    and the max is that NaN already.
+    """
+    n = F.size(srt)
+    bad = F.isnan(F.element_at(srt, -1))
+    lo = F.get(srt, F.floor((n - 1) / 2).cast("int"))
+    hi = F.get(srt, F.floor(n / 2).cast("int"))
+    return (F.when(bad, NAN()).otherwise((lo + hi) / 2), F.element_at(srt, -1),
+            F.when(bad, NAN()).otherwise(srt[0]))
 
 
 def array_median(a) -> Column:
-    a = _c(a)
-    s = F.array_sort(a)
-    n = F.size(a)
-    lo = F.get(s, F.floor((n - 1) / 2).cast("int"))
-    hi = F.get(s, F.floor(n / 2).cast("int"))
-    return F.when(has_nan(a), NAN()).otherwise((lo + hi) / 2)
+    return let(lambda srt: _sorted_stats(srt)[0], F.array_sort(_c(a)))
 
 
 def summary(a) -> Column:
-    """``struct<first,last,std,mean,median,max,min>`` of a non-empty series."""
-    def body(v, mean):
-        bad = has_nan(v)
+    """``struct<first,last,std,mean,median,max,min>`` of a non-empty series.
+
+    One sort plus two passes (sum, squared deviations) per series.
+    """
+    def body(v, mean, srt):
+        med, mx, mn = _sorted_stats(srt)
         return F.struct(
             v[0].alias("first"),
             F.element_at(v, -1).alias("last"),
             array_std(v, mean).alias("std"),
             mean.alias("mean"),
-            array_median(v).alias("median"),
-            F.array_max(v).alias("max"),
-            F.when(bad, NAN()).otherwise(F.array_min(v)).alias("min"),
+            med.alias("median"),
+            mx.alias("max"),
+            mn.alias("min"),
         )
-    return let(lambda v: let(lambda m: body(v, m), array_mean(v)), _c(a))
+    return let(lambda v: let(lambda m, srt: body(v, m, srt), array_mean(v), F.array_sort(v)),
+               _c(a))
 
 
 def point_count(xs) -> Column:
