@@ -101,17 +101,26 @@ def series_medians(steps: DataFrame, names=MEDIAN_SERIES, key: str = "traj_id",
 
 
 def trajectory_summaries(steps: DataFrame, key: str = "traj_id",
-                         extra=("ax", "ay", "label"), n_blocks: int | None = None) -> DataFrame:
+                         extra=("ax", "ay", "label"), n_blocks: int | None = None,
+                         medians=None) -> DataFrame:
     """One row per trajectory: count, backtracks and the raw (unguarded)
     first/last/std/mean/median/max/min of every series, with the reference's
-    short-trajectory rules applied. Columns are ``<series>_<stat>``."""
+    short-trajectory rules applied. Columns are ``<series>_<stat>``.
+
+    Medians are the expensive part (every value is ranked); ``medians``
+    limits them to the listed series (the others' ``_median`` is NULL).
+    """
     have_diff = "log_speed_diff" in steps.columns
     series = ["x", "y", "t"] + STEP_SERIES + (DIFF_SERIES if have_diff else [])
+    ranked = [v for v in series if medians is None or v in medians]
     # per-trajectory constants are grouping columns (a hash aggregate), not first()
     consts = [e for e in extra if e in steps.columns]
     base = steps.groupBy(key, *consts).agg(*_per_context(("aggs", tuple(series)),
                                                          lambda: _base_aggs(series)))
-    med = series_medians(steps, series, key, n_blocks)
+    med = series_medians(steps, ranked, key, n_blocks)
+    for v in series:
+        if v not in ranked:
+            med = med.withColumn(f"{v}__median", F.lit(None).cast("double"))
     df = base.join(med, key, "left")
     out = [F.col(key), *[F.col(e) for e in consts]]
     out += _per_context(("outs", tuple(series)), lambda: _summary_outputs(series))
@@ -160,7 +169,8 @@ def _summary_outputs(series) -> list[Column]:
 def feature_matrix_long(steps: DataFrame, labelled: bool = True, key: str = "traj_id",
                         n_blocks: int | None = None) -> DataFrame:
     """The 70 features from a lagged point table (same columns as the array form)."""
-    s = trajectory_summaries(steps, key, n_blocks=n_blocks)
+    used = {f[:-len("_median")] for f in FEATURES if f.endswith("_median")}
+    s = trajectory_summaries(steps, key, n_blocks=n_blocks, medians=used)
     c = F.col
     xl, yl, ax, ay = c("x_last"), c("y_last"), c("ax"), c("ay")
     d1 = F.sqrt((xl - ax) * (xl - ax) + (xl - ay) * (xl - ay))

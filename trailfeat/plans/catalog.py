@@ -241,7 +241,8 @@ def q_feature_matrix_long_raw(spark, sf):
 
 
 def q_stats_long_log_angle(spark, sf):
-    s = LF.trajectory_summaries(LF.step_series(E.lagged_points(spark, sf, "A")))
+    s = LF.trajectory_summaries(LF.step_series(E.lagged_points(spark, sf, "A")),
+                                medians=["log_angle"])
     return settled(s.select("traj_id", *[F.col(f"log_angle_{k}").alias(k) for k in A.STATS]))
 
 
