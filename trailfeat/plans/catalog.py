@@ -270,8 +270,9 @@ def q_submission_ordinal(spark, sf):
 
 
 def q_join_predictions(spark, sf):
-    preds = D.user_scores(E.table(spark, sf, "events"))
-    tr = LF.first_last(E.lagged_points(spark, sf, "A", lags=1)).select("traj_id", "point_count")
+    ev = E.table(spark, sf, "events")
+    preds = D.user_scores(ev)
+    tr = ev.groupBy(F.col("user_id").alias("traj_id")).agg(F.count(F.lit(1)).alias("point_count"))
     return settled(D.join_predictions(preds, tr))
 
 
