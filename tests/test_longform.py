@@ -58,3 +58,16 @@ def test_median_with_massive_ties(spark):
     s = LF.trajectory_summaries(LF.step_series(LF.lag_points(pts, n_blocks=9)), n_blocks=9).first()
     assert s.x_median == float(np.median(xs))
     assert s.point_count == n
+
+
+def test_point_table_ordered_by_time_without_pos(spark):
+    """A raw point table (no position column) ordered by a time column."""
+    rows = [("a", 30.0, 2.0, 1.0, 7.0), ("a", 10.0, 0.0, 0.0, 7.0), ("a", 20.0, 1.0, 3.0, 7.0),
+            ("b", 5.0, 4.0, 4.0, 1.0)]
+    pts = spark.createDataFrame(rows, "traj_id string, ts double, x double, y double, ax double") \
+        .withColumn("t", F.col("ts")).withColumn("ay", F.lit(0.0)).withColumn("label", F.lit("1"))
+    lf = LF.feature_matrix_long(LF.step_series(LF.lag_points(pts, order=("ts",), n_blocks=2)),
+                                n_blocks=2)
+    a = lf.filter("traj_id = 'a'").first()
+    assert a.point_count == 3 and a.x_first == 0.0 and a.x_last == 2.0 and a.t_first == 10.0
+    assert lf.filter("traj_id = 'b'").first().point_count == 1

@@ -211,6 +211,13 @@ def first_last(lp: DataFrame, key: str = "traj_id") -> DataFrame:
 
 def lag_points(points: DataFrame, key: str = "traj_id", order=("pos",), lags: int = 2,
                n_blocks: int | None = None) -> DataFrame:
-    """Generic point table -> lagged point table via the skew-safe scan."""
+    """Generic point table -> lagged point table via the skew-safe scan.
+
+    Points are ordered by ``order`` within ``key``; when the table has no
+    ``pos`` column, the 0-based position from the scan becomes ``pos``.
+    """
+    if "pos" in points.columns:
+        return sequence(points, [key], list(order), lag_cols=["x", "y", "t"], lags=lags,
+                        n_blocks=n_blocks, name="lag", pos_col="_seqpos").drop("_seqpos")
     return sequence(points, [key], list(order), lag_cols=["x", "y", "t"], lags=lags,
-                    n_blocks=n_blocks, name="lag", pos_col="_seqpos").drop("_seqpos")
+                    n_blocks=n_blocks, name="lag", pos_col="pos")
