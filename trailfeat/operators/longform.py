@@ -77,8 +77,11 @@ def series_medians(steps: DataFrame, names=MEDIAN_SERIES, key: str = "traj_id",
     the blocked ordered scan, and only the middle row(s) and the largest row
     (NaN sorts last, and any NaN makes the median NaN) are kept.
     """
+    names = list(names)
+    # series id as a 1-byte index: this stack is the largest shuffle of the long form
     stacked = (steps.select(key, "pos", F.explode(F.array(*[
-        F.struct(F.lit(n).alias("sid"), F.col(n).cast("double").alias("v")) for n in names]))
+        F.struct(F.lit(i).cast("byte").alias("sid"), F.col(n).cast("double").alias("v"))
+        for i, n in enumerate(names)]))
         .alias("_s")).select(key, "_s.sid", "_s.v", F.col("pos").alias("_at"))
         .filter(F.col("v").isNotNull()))
     # ``_at`` (the point position) breaks ties: block edges can only fall between
@@ -92,8 +95,8 @@ def series_medians(steps: DataFrame, names=MEDIAN_SERIES, key: str = "traj_id",
     sel = r.filter(mid | (pos == n - 1))
     # one grouped pass over at most three rows per (trajectory, series)
     out = []
-    for nm in names:
-        this = F.col("sid") == F.lit(nm)
+    for i, nm in enumerate(names):
+        this = F.col("sid") == F.lit(i).cast("byte")
         m = F.avg(F.when(this & mid, F.col("v")))
         bad = F.max(F.when(this & (pos == n - 1), F.isnan("v").cast("int")))
         out.append(F.when(bad == 1, NAN()).otherwise(m).alias(f"{nm}__median"))
