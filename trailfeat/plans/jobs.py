@@ -21,16 +21,23 @@ from ..sources.text import LINE_ORDER, read_class_predictions, read_score_predic
 def features_job(spark: SparkSession, input_path, output_path: str, labelled: bool = True,
                  mode: str = "quarantine", text_output: bool = False,
                  quarantine_path: str | None = None) -> dict:
-    """Parse, featurize and write; returns row counts observed during the write."""
+    """Parse, featurize and write in one pass over the input.
+
+    Returns the counts observed during that pass: ``lines``, ``quarantined``
+    and ``trajectories``. The bad records themselves are written (a second,
+    filter-only pass) when ``quarantine_path`` is given.
+    """
     parsed = read_trajectories(spark, input_path, labelled=labelled, mode=mode)
     obs = Observation("features")
-    fm = feature_matrix(good(parsed), labelled=labelled).observe(
-        obs, F.count(F.lit(1)).alias("trajectories"))
+    seen = parsed.observe(obs, F.count(F.lit(1)).alias("lines"),
+                          F.count("reason").alias("quarantined"))
+    fm = feature_matrix(good(seen), labelled=labelled)
     if text_output:
         sinks.write_feature_text(fm, output_path, labelled)
     else:
         sinks.write_features(fm, output_path)
     out = dict(obs.get)
+    out["trajectories"] = out["lines"] - out["quarantined"]
     if quarantine_path:
         sinks.write_quarantine(parsed, quarantine_path)
     return out
