@@ -72,6 +72,13 @@ def euclid2(dx, dy) -> Column:
     return F.sqrt(dx * dx + dy * dy)
 
 
+# Comparison grid: (upper magnitude, scale). Scales are powers of two, so the
+# scaling is exact, and a value whose binary denominator is small (decimals
+# such as k/100 or k/3200, halves of integers) never sits exactly on a
+# rounding boundary, where last-bit noise between engines would flip it.
+SETTLE_GRID = [(1e3, 2.0 ** 20), (1e6, 2.0 ** 10), (1e9, 1.0), (1e15, 2.0 ** -10)]
+
+
 def _half_away(c: Column, scale: float) -> Column:
     """Round |c| * scale half away from zero with plain IEEE steps (floor of x + 0.5),
     so that Spark and DuckDB produce bit-identical results."""
@@ -84,17 +91,15 @@ def settle(c) -> Column:
     """Round a double for cross-engine comparison (not used by the library).
 
     Last-bit differences between engines (summation order, ln(1+x) vs log1p)
-    vanish after rounding to a precision that scales with the magnitude;
-    NaN, +-Inf and values beyond 1e15 (e.g. MAX_DOUBLE) are kept as they are,
-    and -0.0 becomes 0.0.
+    vanish after rounding to a grid that scales with the magnitude
+    (``SETTLE_GRID``); NaN, +-Inf and values beyond 1e15 (e.g. MAX_DOUBLE) are
+    kept as they are, and -0.0 becomes 0.0.
     """
     c = _c(c).cast("double")
     a = F.abs(c)
-    r = (F.when(c.isNull() | F.isnan(c) | (a == POS_INF()) | (a >= 1e15), c)
-         .when(a < 1e3, _half_away(c, 1e6))
-         .when(a < 1e6, _half_away(c, 1e3))
-         .when(a < 1e9, _half_away(c, 1.0))
-         .otherwise(_half_away(c, 1e-3)))
+    r = F.when(c.isNull() | F.isnan(c) | (a == POS_INF()) | (a >= SETTLE_GRID[-1][0]), c)
+    for bound, scale in SETTLE_GRID:
+        r = r.when(a < bound, _half_away(c, scale))
     return r
 
 
@@ -107,29 +112,28 @@ def settle_expr(name: str, bind: bool = False) -> Column:
     """
     v = "v" if bind else f"CAST(`{name}` AS DOUBLE)"
 
-    def half(scale: str) -> str:
-        a = f"(CAST(floor(abs({v}) * {scale} + 0.5D) AS DOUBLE) / {scale})"
+    def half(scale: float) -> str:
+        a = f"(CAST(floor(abs({v}) * {scale!r}D + 0.5D) AS DOUBLE) / {scale!r}D)"
         return f"(CASE WHEN {v} < 0 THEN 0.0D - {a} ELSE {a} END)"
     body = (f"CASE WHEN {v} IS NULL OR isnan({v}) OR abs({v}) = CAST('Infinity' AS DOUBLE) "
-            f"OR abs({v}) >= 1e15 THEN {v} "
-            f"WHEN abs({v}) < 1e3 THEN {half('1e6')} WHEN abs({v}) < 1e6 THEN {half('1e3')} "
-            f"WHEN abs({v}) < 1e9 THEN {half('1e0')} ELSE {half('1e-3')} END")
+            f"OR abs({v}) >= {SETTLE_GRID[-1][0]!r}D THEN {v} "
+            + " ".join(f"WHEN abs({v}) < {b!r}D THEN {half(sc)}" for b, sc in SETTLE_GRID)
+            + " END")
     if bind:
         body = f"transform(array(CAST(`{name}` AS DOUBLE)), v -> {body})[0]"
     return F.expr(body)
 
 
-def _half_away_sql(e: str, scale: str) -> str:
-    a = f"(CAST(floor(abs({e}) * {scale} + 0.5) AS DOUBLE) / {scale})"
+def _half_away_sql(e: str, scale: float) -> str:
+    a = f"(CAST(floor(abs({e}) * CAST({scale!r} AS DOUBLE) + 0.5) AS DOUBLE) / CAST({scale!r} AS DOUBLE))"
     return f"(CASE WHEN {e} < 0 THEN -{a} ELSE {a} END)"
 
 
 def settle_sql(expr: str) -> str:
     """DuckDB twin of :func:`settle` for oracle SQL strings."""
     e = f"CAST(({expr}) AS DOUBLE)"
-    r = (f"(CASE WHEN {e} IS NULL OR isnan({e}) OR isinf({e}) OR abs({e}) >= 1e15 THEN {e} "
-         f"WHEN abs({e}) < 1e3 THEN {_half_away_sql(e, '1e6')} "
-         f"WHEN abs({e}) < 1e6 THEN {_half_away_sql(e, '1e3')} "
-         f"WHEN abs({e}) < 1e9 THEN {_half_away_sql(e, '1.0')} "
-         f"ELSE {_half_away_sql(e, '1e-3')} END)")
+    r = (f"(CASE WHEN {e} IS NULL OR isnan({e}) OR isinf({e}) OR abs({e}) >= {SETTLE_GRID[-1][0]!r} "
+         f"THEN {e} "
+         + " ".join(f"WHEN abs({e}) < {b!r} THEN {_half_away_sql(e, sc)}" for b, sc in SETTLE_GRID)
+         + " END)")
     return f"(CASE WHEN {r} = 0 THEN 0.0 ELSE {r} END)"

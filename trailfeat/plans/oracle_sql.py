@@ -266,8 +266,8 @@ def oracle_sql() -> dict[str, str]:
     q["submission_ordinal"] = (f"WITH {PRED}, o AS (SELECT label, row_number() OVER (ORDER BY traj_id) AS ordinal "
                                f"FROM pr) SELECT CAST(ordinal AS BIGINT) AS ordinal FROM o WHERE label = '0.0'")
     q["join_predictions"] = (
-        "WITH us AS (SELECT user_id AS traj_id, round(least(1.0, avg(value) / 100.0), 4) AS score "
-        "FROM events GROUP BY user_id), uc AS (SELECT user_id AS traj_id, count(*) AS point_count "
+        "WITH us AS (SELECT user_id AS traj_id, least(1.0, floor(sum(CAST(round(value * 100) AS BIGINT)) "
+        "/ count(*)) / 10000.0) AS score FROM events GROUP BY user_id), uc AS (SELECT user_id AS traj_id, count(*) AS point_count "
         "FROM events GROUP BY user_id) "
         f"SELECT traj_id, {D('score', 'score')}, {I('point_count', 'point_count')}, "
         "score < 0.97 AS flagged FROM us JOIN uc USING (traj_id)")
