@@ -38,3 +38,16 @@ def test_stream_equals_batch_and_job(spark):
     batch = spark.read.parquet(os.path.join(d, "batch"))
     assert counts["trajectories"] == batch.count() == streamed.count()
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_features_job_counts_and_quarantine(spark):
+    d = tempfile.mkdtemp(prefix="trailfeat-job-")
+    src = os.path.join(d, "in")
+    lines = E.trajectory_lines(spark, SF_SMALL, corrupt=True)
+    lines.write.text(src)
+    counts = features_job(spark, src, os.path.join(d, "out"), quarantine_path=os.path.join(d, "bad"))
+    bad = spark.read.parquet(os.path.join(d, "bad"))
+    assert counts["lines"] == lines.count()
+    assert counts["quarantined"] == bad.count() > 0
+    assert counts["trajectories"] == spark.read.parquet(os.path.join(d, "out")).count()
+    assert {r.reason for r in bad.collect()} == {"bad_point"}
