@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .mathx import ZERO_GAP, _c, let, np_log1p
+from .mathx import ZERO_GAP, _c, let, nan_to_num, np_log1p
 
 def EMPTY() -> Column:
     return F.array().cast("array<double>")
@@ -130,7 +130,6 @@ def head_mid_tail(a) -> Column:
     repeated 6 times first. mid = len // 2; slices [0:3], [mid-2:mid+1],
     [len-3:len]. Returns ``struct<head, mid, tail>`` of ``array<double>``.
     """
-    from .mathx import nan_to_num
     rep = let(lambda v: F.when(F.size(v) <= 3, F.flatten(F.array_repeat(v, 6))).otherwise(v),
               pad_empty(a))
 

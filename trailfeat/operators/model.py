@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .evaluate import POS_WEIGHT, class_weights
-from .features import ml_table
+from .features import ml_feature_names, ml_table
 
 # Fixed values from the boosted-tree configuration. The learning-rate key in
 # that configuration is misspelt, so the trainer's default step (0.3) is the
@@ -58,7 +58,6 @@ def train_predict(features: DataFrame, **kw) -> DataFrame:
 
 def feature_importance(features: DataFrame, model=None, **kw) -> DataFrame:
     """The feature-weight dump: ``feature, importance`` (one row per feature)."""
-    from .features import ml_feature_names
     model = model or fit(features, **kw)
     names = ml_feature_names(features.columns)
     imp = model.featureImportances.toArray().tolist()
