@@ -71,3 +71,16 @@ def test_point_table_ordered_by_time_without_pos(spark):
     a = lf.filter("traj_id = 'a'").first()
     assert a.point_count == 3 and a.x_first == 0.0 and a.x_last == 2.0 and a.t_first == 10.0
     assert lf.filter("traj_id = 'b'").first().point_count == 1
+
+
+def test_long_equals_array_on_micro_fixtures(spark):
+    """Includes +Inf speeds (dt = -1) and NaN (dt < -1, steps of -1)."""
+    from pyspark.sql import functions as F
+    from test_micro_features import LINES
+    from trailfeat.operators.parse import good, parse_trajectories
+    df = spark.createDataFrame([(l,) for l in LINES.values()], "value string")
+    tr = good(parse_trajectories(df))
+    pts = explode_points(tr, keep=("traj_id", "aim", "label")).select(
+        "traj_id", "pos", "x", "y", "t", F.col("aim.ax").alias("ax"), F.col("aim.ay").alias("ay"), "label")
+    _compare(FT.feature_matrix(tr),
+             LF.feature_matrix_long(LF.step_series(LF.lag_points(pts, n_blocks=3)), n_blocks=3))
