@@ -51,3 +51,23 @@ def test_features_job_counts_and_quarantine(spark):
     assert counts["quarantined"] == bad.count() > 0
     assert counts["trajectories"] == spark.read.parquet(os.path.join(d, "out")).count()
     assert {r.reason for r in bad.collect()} == {"bad_point"}
+
+
+def test_point_features_job_equals_text_job(spark):
+    from trailfeat.operators.parse import explode_points
+    from trailfeat.plans.jobs import point_features_job
+    d = tempfile.mkdtemp(prefix="trailfeat-pts-")
+    tr = E.segment_trajectories(spark, SF_SMALL)
+    explode_points(tr, keep=("traj_id", "aim", "label")).select(
+        "traj_id", "pos", "x", "y", "t", F.col("aim.ax").alias("ax"), F.col("aim.ay").alias("ay"),
+        "label").write.parquet(os.path.join(d, "pts"))
+    point_features_job(spark, os.path.join(d, "pts"), os.path.join(d, "long"), n_blocks=4)
+    long_fm = spark.read.parquet(os.path.join(d, "long"))
+    arr = feature_matrix(tr)
+    cols = ["traj_id", "point_count", "backtrack_count", "x_median", "log_angle_diff_min", "aim_angle"]
+    a = {r.traj_id: r for r in arr.select(*cols).collect()}
+    b = {r.traj_id: r for r in long_fm.select(*cols).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        for c in cols[1:]:
+            assert abs(a[k][c] - b[k][c]) <= 1e-9 * max(1.0, abs(a[k][c])), (k, c)

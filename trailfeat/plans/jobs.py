@@ -43,6 +43,23 @@ def features_job(spark: SparkSession, input_path, output_path: str, labelled: bo
     return out
 
 
+def point_features_job(spark: SparkSession, input_path, output_path: str,
+                       key: str = "traj_id", order=("pos",), labelled: bool = True,
+                       n_blocks: int | None = None) -> None:
+    """Point table (parquet: ``key``, order columns, ``x, y, t, ax, ay``
+    [, ``label``]) -> the 70 features per trajectory, skew-safe for
+    trajectories of any length (see ``operators.longform``)."""
+    from ..operators import longform as LF
+    pts = spark.read.parquet(input_path)
+    if key != "traj_id":
+        pts = pts.withColumnRenamed(key, "traj_id")
+    if not labelled and "label" not in pts.columns:
+        pts = pts.withColumn("label", F.lit(None).cast("string"))
+    lagged = LF.lag_points(pts, order=tuple(order), n_blocks=n_blocks)
+    fm = LF.feature_matrix_long(LF.step_series(lagged), labelled=labelled, n_blocks=n_blocks)
+    sinks.write_features(fm, output_path)
+
+
 def submission_job(spark: SparkSession, input_path, output_path: str, kind: str = "score",
                    threshold: float = SCORE_THRESHOLD) -> None:
     """1-based line numbers of the rows flagged machine-made.
