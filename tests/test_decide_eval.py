@@ -50,3 +50,16 @@ def test_submission_job_line_numbers(spark, kind):
     got = sorted(int(r.value) for r in spark.read.text(out).collect())
     exp = [i + 1 for i, v in enumerate(vals) if (v < 0.97 if kind == "score" else v < 0.5)]
     assert got == exp
+
+
+def test_submission_numbering_spans_files_in_order(spark):
+    d = tempfile.mkdtemp(prefix="trailfeat-sub2-")
+    src = os.path.join(d, "preds")
+    os.makedirs(src)
+    with open(os.path.join(src, "part-00000"), "w") as f:
+        f.write("0.0\n1.0\n0.0\n")
+    with open(os.path.join(src, "part-00001"), "w") as f:
+        f.write("1.0\n0.0\n")
+    out = os.path.join(d, "out")
+    submission_job(spark, src, out, kind="class")
+    assert sorted(int(r.value) for r in spark.read.text(out).collect()) == [1, 3, 5]
