@@ -34,8 +34,9 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    ncpu = int(cpus) if cpus.isdigit() else (os.cpu_count() or 8)
     from trailfeat.session import local_session
-    spark = local_session(cpus, shuffle_partitions=max(8, 2 * int(cpus)), app="trailfeat-bench")
+    spark = local_session(cpus, shuffle_partitions=max(8, 2 * ncpu), app="trailfeat-bench")
     from trailfeat.plans.catalog import queries
     qs = queries()
     # warm-up: JVM, parquet readers, codegen caches
