@@ -71,3 +71,16 @@ def test_point_features_job_equals_text_job(spark):
     for k in a:
         for c in cols[1:]:
             assert abs(a[k][c] - b[k][c]) <= 1e-9 * max(1.0, abs(a[k][c])), (k, c)
+
+
+def test_train_job_writes_and_reports(spark):
+    from trailfeat.plans.jobs import train_job
+    d = tempfile.mkdtemp(prefix="trailfeat-train-")
+    fm = feature_matrix(good(parse_trajectories(E.trajectory_lines(spark, SF_SMALL))))
+    fm.write.parquet(os.path.join(d, "train"))
+    fm.drop("label").write.parquet(os.path.join(d, "score"))
+    m = train_job(spark, os.path.join(d, "train"), os.path.join(d, "score"), os.path.join(d, "pred"),
+                  model_path=os.path.join(d, "model"), rounds=3, max_depth=4)
+    assert 0.0 <= m["auc"] <= 1.0 and m["logloss"] > 0
+    assert spark.read.parquet(os.path.join(d, "pred")).count() == fm.count()
+    assert spark.read.parquet(os.path.join(d, "model_feature_weights")).count() == 69

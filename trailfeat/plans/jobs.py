@@ -82,15 +82,24 @@ def submission_job(spark: SparkSession, input_path, output_path: str, kind: str
 
 
 def train_job(spark: SparkSession, train_features_path: str, score_features_path: str,
-              output_path: str, model_path: str | None = None) -> None:
+              output_path: str, model_path: str | None = None, **model_args) -> dict:
     """Fit on labelled features, score the unlabelled ones, write predictions
-    (and the model plus its feature weights when ``model_path`` is set)."""
+    (and the model, its trees and feature weights when ``model_path`` is set).
+
+    Returns the configured evaluation metrics on the training set
+    (``logloss``, ``auc``), computed as distributed aggregates.
+    """
     from ..operators import model as M
+    from ..operators.evaluate import auc, logloss
     train = spark.read.parquet(train_features_path)
     score = spark.read.parquet(score_features_path)
-    mdl = M.fit(train)
+    mdl = M.fit(train, **model_args)
     M.predict(mdl, score).write.mode("overwrite").parquet(output_path)
     if model_path:
         M.dump(mdl, model_path)
         M.feature_importance(train, model=mdl).write.mode("overwrite").parquet(
             model_path.rstrip("/") + "_feature_weights")
+    fitted = M.predict(mdl, train).join(
+        train.select("traj_id", F.col("label").cast("double").alias("truth")), "traj_id")
+    return {"logloss": logloss(fitted, "score", "truth").first()["logloss"],
+            "auc": auc(fitted, "score", "truth").first()["auc"]}
