@@ -79,3 +79,19 @@ def test_feature_layout(parsed):
     fm = feature_matrix(parsed)
     assert fm.columns == ["traj_id"] + FEATURES + ["label"]
     assert len(FEATURES) == 70
+
+
+def test_head_mid_tail_slices(spark):
+    from pyspark.sql import functions as F
+    from trailfeat.functions.series import head_mid_tail
+    rows = [(1, [1.0, 2.0]), (2, [1.0, 2.0, 3.0, 4.0, 5.0]), (3, []), (4, [float("nan"), 7.0, 8.0, 9.0])]
+    df = spark.createDataFrame(rows, "k int, a array<double>")
+    got = {r.k: r.h for r in df.select("k", head_mid_tail("a").alias("h")).collect()}
+    # two values repeat 6 times: [1,2,1,2,...] (12 long), mid = 6
+    assert (got[1].head, got[1].mid, got[1].tail) == ([1.0, 2.0, 1.0], [1.0, 2.0, 1.0], [2.0, 1.0, 2.0])
+    # five values: mid = 2 -> [0:3]
+    assert (got[2].head, got[2].mid, got[2].tail) == ([1.0, 2.0, 3.0], [1.0, 2.0, 3.0], [3.0, 4.0, 5.0])
+    # empty -> [0] repeated
+    assert got[3].head == got[3].mid == got[3].tail == [0.0, 0.0, 0.0]
+    # NaN -> 0 after nan_to_num; four values: mid = 2
+    assert (got[4].head, got[4].tail) == ([0.0, 7.0, 8.0], [7.0, 8.0, 9.0])
