@@ -29,18 +29,22 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
-def slices(batch: pa.RecordBatch, text_index: int, max_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that the texts of a slice hold about ``max_bytes`` (one row at least)."""
+def slices(batch: pa.RecordBatch, text_index: int, max_bytes: int = 16 << 20,
+           column: pa.Array | None = None) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that the texts of a slice hold about ``max_bytes`` (one row at least).
+
+    The texts are the column at ``text_index``, or ``column`` where they lie inside a struct.
+    """
     n = batch.num_rows
     if n == 0:
         return
     if batch.nbytes <= max_bytes:
         yield batch
         return
-    col = batch.column(text_index)
+    sizes = (batch.column(text_index) if column is None else column).to_pandas().str.len().fillna(0).astype(int).tolist()
     start, size = 0, 0
     for i in range(n):
-        size += len(col[i].as_py() or "")
+        size += sizes[i]
         if size >= max_bytes:
             yield batch.slice(start, i + 1 - start)
             start, size = i + 1, 0
