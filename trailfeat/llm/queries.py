@@ -16,6 +16,14 @@ def op1_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality_rules as Q
+
+    docs = table(spark, sf_dir, "documents")
+    found = Q.judged(docs, Q.learn_from_labels(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return found.select("row.doc_id", *Q.COUNTS, "base_failed", "rule", "kept")
+
+
 #: The rules of the query; any table of this form can be passed to the operator.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -35,6 +43,30 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find_pii
+
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
+def op7_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import find_secrets
+
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontamination import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_scoring import cross_entropy_difference
+
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -54,8 +86,9 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_feistel_shards, op3_url_filters, op4_simhash, op6_best_fit_packing,
-                                    op10_token_files)}
+    return {f.__name__: f for f in (
+        op1_feistel_shards, op2_quality_rules, op3_url_filters, op4_simhash, op5_pii_crf, op6_best_fit_packing,
+        op7_secret_crf, op8_benchmark_leaks, op9_cross_entropy, op10_token_files)}
 
 
 _URL_PARTS = r"""
