@@ -1,0 +1,66 @@
+import re
+
+import duckdb
+import pytest
+from conftest import SF
+
+from trailfeat.llm import queries as Q
+from trailfeat.llm import url_filters as U
+
+RULES = "host string, path string, verdict string"
+
+
+def twin(url, rules, default="allow"):
+    host = path = ""
+    m = re.search(r"://([^/?#]*)([^?#]*)", url or "", re.S)
+    if m:
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in m.group(1))
+        path = m.group(2)
+    fits = [(len(h + p), len(h), v, h + p) for h, p, v in rules
+            if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fits) if fits else None
+    return host, path, best and best[3], best[2] if best else default
+
+
+def test_rules_by_hand(spark):
+    urls = [None, "", "no scheme", "http://", "HTTP://A.Example.ORG/en/12?x#y", "http://example.org/es/a", "http://org/",
+            "http://notorg/", "http://x.com/fr/", "http://x.com/fr", "ftp://com/de/1", "http://a.com#://b.org/",
+            "http://ex.org?/es/", "http://" + "a." * 3000 + "com/de/" + "p" * 100_000, "http://x.com/fr/\nnext://y.com/de/"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)] + [(4, urls[4])], "page_id long, url string")
+    got = U.filter_urls(pages, spark.createDataFrame(Q.URL_RULES, RULES)).collect()
+    assert sorted(map(repr, (tuple(r) for r in got))) == sorted(
+        repr((i, *twin(u, Q.URL_RULES))) for i, u in [*enumerate(urls), (4, urls[4])])
+
+
+def test_precedence_and_ties(spark):
+    rules = [("b.com", "", "allow"), ("com", "/x/", "block"), ("com", "/x/", "allow"), ("com", "/x/y", "allow"),
+             ("a.b.com", "/", "block")]
+    urls = ["http://b.com/x/", "http://c.com/x/", "http://c.com/x/yz", "http://a.b.com/x/y", "http://a.b.com"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: tuple(r)[1:] for r in U.filter_urls(pages, spark.createDataFrame(rules, RULES)).collect()}
+    assert got[0][2:] == ("com/x/", "block") and got[1][2:] == ("com/x/", "block")
+    assert got[2][2:] == ("com/x/y", "allow") and got[4][2:] == ("b.com", "allow")
+    assert got[3][2:] == ("a.b.com/", "block")
+
+
+def test_empty_tables_and_clashing_names(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/de/", "h", "p")], "page_id long, url string, host string, verdict string")
+    rules = spark.createDataFrame(Q.URL_RULES, RULES)
+    assert [tuple(r) for r in U.filter_urls(pages, rules).collect()] == [(1, "a.com", "/de/", "com/de/", "block")]
+    assert [tuple(r) for r in U.filter_urls(pages, rules.limit(0), default="block").collect()] == [
+        (1, "a.com", "/de/", None, "block")]
+    assert U.filter_urls(pages.limit(0), rules).collect() == []
+
+
+def test_bad_rules_are_rejected(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string")
+    for rule in [(None, "/", "allow"), ("com", "/", "maybe")]:
+        with pytest.raises(Exception, match="rule"):
+            U.filter_urls(pages, spark.createDataFrame([rule], RULES)).collect()
+
+
+def test_query_against_sql(spark):
+    got = sorted(map(repr, (tuple(r) for r in Q.op3_url_filters(spark, SF).collect())))
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{SF}/pages.parquet'")
+    assert got == sorted(map(repr, con.execute(Q.OP3_SQL).fetchall()))
