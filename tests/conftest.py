@@ -13,6 +13,6 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from trailfeat.session import local_session
-    s = local_session("*", shuffle_partitions=8)
+    s = local_session(os.environ.get("TEST_CORES", "*"), shuffle_partitions=8)
     yield s
     s.stop()

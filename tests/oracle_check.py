@@ -48,7 +48,7 @@ def main():
         spark.sparkContext.setLogLevel("ERROR")
     else:
         from trailfeat.session import local_session
-        spark = local_session(8)
+        spark = local_session(os.environ.get("TEST_CORES", "8"))
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf}/{t}.parquet"

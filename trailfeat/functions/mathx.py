@@ -76,7 +76,7 @@ def euclid2(dx, dy) -> Column:
 # scaling is exact, and a value whose binary denominator is small (decimals
 # such as k/100 or k/3200, halves of integers) never sits exactly on a
 # rounding boundary, where last-bit noise between engines would flip it.
-SETTLE_GRID = [(1e3, 2.0 ** 20), (1e6, 2.0 ** 10), (1e9, 1.0), (1e15, 2.0 ** -10)]
+SETTLE_GRID = [(1e6, 2.0 ** 20), (2.0 ** 42, 2.0 ** 10)]
 
 
 def _half_away(c: Column, scale: float) -> Column:
@@ -90,10 +90,11 @@ def _half_away(c: Column, scale: float) -> Column:
 def settle(c) -> Column:
     """Round a double for cross-engine comparison (not used by the library).
 
-    Last-bit differences between engines (summation order, ln(1+x) vs log1p)
-    vanish after rounding to a grid that scales with the magnitude
-    (``SETTLE_GRID``); NaN, +-Inf and values beyond 1e15 (e.g. MAX_DOUBLE) are
-    kept as they are, and -0.0 becomes 0.0.
+    For inexact statistics only: last-bit differences between engines (summation
+    order, ln(1+x) vs log1p) vanish after rounding to a grid of 2^-20 below 1e6 and
+    2^-10 below 2^42; NaN, +-Inf and larger values (e.g. MAX_DOUBLE) are kept as they
+    are, and -0.0 becomes 0.0. Exact values (coordinates, times, their differences,
+    counts) are returned as they are.
     """
     c = _c(c).cast("double")
     a = F.abs(c)
@@ -122,18 +123,3 @@ def settle_expr(name: str, bind: bool = False) -> Column:
     if bind:
         body = f"transform(array(CAST(`{name}` AS DOUBLE)), v -> {body})[0]"
     return F.expr(body)
-
-
-def _half_away_sql(e: str, scale: float) -> str:
-    a = f"(CAST(floor(abs({e}) * CAST({scale!r} AS DOUBLE) + 0.5) AS DOUBLE) / CAST({scale!r} AS DOUBLE))"
-    return f"(CASE WHEN {e} < 0 THEN -{a} ELSE {a} END)"
-
-
-def settle_sql(expr: str) -> str:
-    """DuckDB twin of :func:`settle` for oracle SQL strings."""
-    e = f"CAST(({expr}) AS DOUBLE)"
-    r = (f"(CASE WHEN {e} IS NULL OR isnan({e}) OR isinf({e}) OR abs({e}) >= {SETTLE_GRID[-1][0]!r} "
-         f"THEN {e} "
-         + " ".join(f"WHEN abs({e}) < {b!r} THEN {_half_away_sql(e, sc)}" for b, sc in SETTLE_GRID)
-         + " END)")
-    return f"(CASE WHEN {r} = 0 THEN 0.0 ELSE {r} END)"

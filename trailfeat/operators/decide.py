@@ -32,7 +32,7 @@ def flagged_count(flagged: DataFrame) -> DataFrame:
 
 
 def preview(df: DataFrame, k: int = 10, order=("traj_id",)) -> DataFrame:
-    """Deterministic first ``k`` rows (top-k per partition, then merged)."""
+    """Deterministic first ``k`` rows: a top-k per partition, then merged; ``k`` is the feature."""
     return df.orderBy(*order).limit(k)
 
 
@@ -44,7 +44,7 @@ def submission_ordinals(preds: DataFrame, order=("traj_id",), flag: Column | Non
     (no single-partition window, nothing collected).
     """
     flag = (F.col("label") == F.lit(MACHINE_CLASS)) if flag is None else flag
-    r = global_rank(preds.select(*order, flag.alias("_flag")), list(order), name="ordinal")
+    r = global_rank(preds.select(*order, flag.alias("_flag")), list(order))
     return r.filter("_flag").select((F.col("pos") + 1).alias("ordinal"))
 
 
@@ -62,6 +62,13 @@ def user_scores(events: DataFrame) -> DataFrame:
 
 def join_predictions(preds: DataFrame, trajs: DataFrame, key: str = "traj_id",
                      threshold: float = SCORE_THRESHOLD) -> DataFrame:
-    """Align predictions with trajectories by key (the reference relies on line order)."""
-    return preds.join(trajs, key).select(
-        "*", (F.col("score") < F.lit(threshold)).alias("flagged"))
+    """Align predictions with trajectories by key (the reference relies on line order).
+
+    An outer join: ``matched`` is ``both``, ``prediction`` or ``trajectory``, so rows
+    that only one side has are reported, not lost. ``flagged`` is null without a score.
+    """
+    p = preds.withColumn("_p", F.lit(True))
+    t = trajs.withColumn("_t", F.lit(True))
+    matched = F.when(F.col("_p") & F.col("_t"), "both").when(F.col("_p"), "prediction").otherwise("trajectory")
+    return p.join(t, key, "full_outer").select("*", (F.col("score") < F.lit(threshold)).alias("flagged"),
+                                               matched.alias("matched")).drop("_p", "_t")

@@ -18,23 +18,32 @@ def class_weights(df: DataFrame, label: str = "label", pos_weight: float = POS_W
     return df.withColumn("weight", F.when(F.col(label) == 1, F.lit(pos_weight)).otherwise(F.lit(1.0)))
 
 
-def auc(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """Exact ROC AUC by the rank-sum statistic, ties getting their mean rank.
+def score_counts(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """One row per distinct score: ``_s, _pos`` (rows with label 1), ``_cnt``."""
+    return df.groupBy(F.col(score).alias("_s")).agg(
+        F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("_pos"), F.count(F.lit(1)).alias("_cnt"))
+
+
+def auc_of_counts(counts: DataFrame) -> DataFrame:
+    """Exact ROC AUC by the rank-sum statistic from ``score_counts``, ties getting their mean rank.
 
-    Rows are first reduced to one row per distinct score; the cumulative
-    count below each score comes from the blocked ordered scan, so neither a
-    single-partition window nor the driver is involved.
+    The cumulative count below each score comes from the blocked ordered scan.
+    Twice the rank sum is added up in 38-digit decimals (exact), and only the last
+    quotient is a double. NULL when either class is missing.
     """
-    g = (df.groupBy(F.col(score).alias("_s"))
-         .agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("_pos"),
-              F.count(F.lit(1)).alias("_cnt"))
-         .withColumn("_all", F.lit(0)))
-    r = sequence(g, ["_all"], ["_s"], sum_cols=["_cnt"], name="auc")
-    mean_rank = F.col("_cnt_cum") - (F.col("_cnt") - 1) / 2.0
-    tot = r.agg(F.sum(F.col("_pos") * mean_rank).alias("rs"),
+    r = sequence(counts.withColumn("_all", F.lit(0)), ["_all"], ["_s"], sum_cols=["_cnt"])
+    wide = lambda c: c.cast("decimal(19,0)")
+    twice_mean_rank = 2 * F.col("_cnt_cum") - F.col("_cnt") + 1
+    tot = r.agg(F.sum((wide(F.col("_pos")) * wide(twice_mean_rank)).cast("decimal(38,0)")).alias("rs"),
                 F.sum("_pos").alias("p"), F.sum("_cnt").alias("n"))
     p, n = F.col("p"), F.col("n") - F.col("p")
-    return tot.select(((F.col("rs") - p * (p + 1) / 2.0) / (p * n)).alias("auc"))
+    over = F.col("rs") - (wide(p) * wide(p + 1)).cast("decimal(38,0)")
+    return tot.select(F.when((p > 0) & (n > 0), over.cast("double") / (2.0 * p.cast("double") * n.cast("double"))).alias("auc"))
+
+
+def auc(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """Exact ROC AUC over the rows of ``df`` (see :func:`auc_of_counts`)."""
+    return auc_of_counts(score_counts(df, score, label))
 
 
 def logloss(df: DataFrame, score: str = "score", label: str = "label",

@@ -7,6 +7,8 @@ expressions: no shuffle, no Python.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,21 +49,20 @@ _EMIT = [
 ]
 
 
-_COLUMN_CACHE: dict = {}
+_COLUMN_CACHE: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
-def _per_context(key, build):
+def _per_context(df: DataFrame, key, build):
     """Build a list of column expressions once per SparkContext.
 
     The expressions refer to columns by name only, so one set serves every
     DataFrame; re-creating thousands of JVM column objects per query costs
-    seconds of driver time.
+    seconds of driver time. The cache lives as long as the context does.
     """
-    from pyspark import SparkContext
-    k = (id(SparkContext._active_spark_context), key)
-    if k not in _COLUMN_CACHE:
-        _COLUMN_CACHE[k] = build()
-    return _COLUMN_CACHE[k]
+    own = _COLUMN_CACHE.setdefault(df.sparkSession.sparkContext, {})
+    if key not in own:
+        own[key] = build()
+    return own[key]
 
 
 def _series_steps():
@@ -89,7 +90,7 @@ def with_series(trajs: DataFrame) -> DataFrame:
     computed once per row.
     """
     df = trajs
-    for step in _per_context("series", _series_steps):
+    for step in _per_context(trajs, "series", _series_steps):
         df = df.select("*", *step)
     return df.drop("_speed_raw", "_accel_raw", "_angle_raw")
 
@@ -103,7 +104,7 @@ def with_summaries(series_df: DataFrame, names=None) -> DataFrame:
     """Add ``<series>_stats`` structs (first,last,std,mean,median,max,min)."""
     names = tuple(names or SERIES)
     src = {"x": "xs", "y": "ys", "t": "ts"}
-    cols = _per_context(("summaries", names),
+    cols = _per_context(series_df, ("summaries", names),
                         lambda: [A.summary(src.get(n, n)).alias(f"{n}_stats") for n in names])
     return series_df.select("*", *cols)
 
@@ -138,15 +139,12 @@ def feature_matrix(trajs: DataFrame, labelled: bool = True, keep=("traj_id",),
     reference computes but never emits (it writes the mean twice); the ML
     table uses it in place of the duplicate.
     """
-    needed = ["x", "y", "t", "time_delta", "log_speed", "log_accel", "log_angle",
-              "aim_distance", "log_speed_diff", "log_accel_diff", "log_angle_diff",
-              "aim_distance_diff"]
-    df = with_summaries(with_series(trajs), needed)
+    df = with_summaries(with_series(trajs))
 
     def build():
         raw, guarded = _feature_columns()
         return raw + [nan_to_num(c).alias(n) for c, n in zip(guarded, FEATURES[GUARDED_FROM:])]
-    cols = list(keep) + list(_per_context("features", build))
+    cols = list(keep) + list(_per_context(df, "features", build))
     if with_speed_median:
         cols.append(nan_to_num(F.col("log_speed_stats.median")).alias("log_speed_median"))
     if labelled:
@@ -159,30 +157,33 @@ def ml_feature_names(columns) -> list[str]:
     return names + (["log_speed_median"] if "log_speed_median" in columns else [])
 
 
-def ml_table(features: DataFrame, label_col: str = "label") -> DataFrame:
+def ml_table(features: DataFrame, label_col: str = "label", keep=()) -> DataFrame:
     """Features with a ``double`` label and a ``features`` vector for Spark ML.
 
+    NaN becomes 0 and infinities the largest doubles in all columns: the trainer
+    takes finite numbers only, and the reference writes NaN as 0 before training.
     The duplicate speed-mean column is left out; ``log_speed_median`` takes
     its place when present (see ``feature_matrix(with_speed_median=True)``).
     """
     from pyspark.ml.feature import VectorAssembler
     cols = ml_feature_names(features.columns)
-    df = features.select("traj_id", *[F.col(c).cast("double").alias(c) for c in cols],
+    df = features.select("traj_id", *[nan_to_num(F.col(c).cast("double")).alias(c) for c in cols],
                          *([F.col(label_col).cast("double").alias("label")]
-                           if label_col in features.columns else []))
+                           if label_col in features.columns else []), *keep)
     return VectorAssembler(inputCols=cols, outputCol="features",
                            handleInvalid="keep").transform(df)
 
 
-def feature_text(features: DataFrame, labelled: bool = True) -> DataFrame:
+def feature_text(features: DataFrame, labelled: bool = True, with_id: bool = False) -> DataFrame:
     """Space-joined text rows in the reference's output layout.
 
     NaN renders as ``0``; numbers use Spark's double rendering (see README).
+    ``with_id`` puts ``traj_id`` before the numbers.
     """
     def txt(c):
         col = F.col(c)
         if c in ("point_count", "backtrack_count"):
             return col.cast("string")
         return F.when(F.isnan(col), F.lit("0")).otherwise(col.cast("string"))
-    parts = [txt(c) for c in FEATURES] + ([F.col("label")] if labelled else [])
-    return features.select(F.concat_ws(" ", *parts).alias("value"))
+    parts = ([F.col("traj_id").cast("string")] if with_id else []) + [txt(c) for c in FEATURES]
+    return features.select(F.concat_ws(" ", *parts, *([F.col("label")] if labelled else [])).alias("value"))

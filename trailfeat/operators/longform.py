@@ -1,226 +1,360 @@
 """Long form: one row per point, for sources that already hold points as rows.
 
 Input is a *lagged* point table (``traj_id, pos, x, y, t`` plus
-``x_lag1, x_lag2, ...``) as produced by
-:func:`trailfeat.plans.sequence.sequence` or
-:func:`trailfeat.sources.events.lagged_points`. From there:
+``x_lag1, x_lag2, ...``, and ``n``, the trajectory's points, where stated) as
+produced by :func:`lag_points` or :func:`trailfeat.sources.events.lagged_points`.
+From there:
 
 * per-step series are row expressions on the current and previous rows;
 * first/last/mean/std/max/min/count are ordinary grouped aggregates, which
   Spark pre-aggregates map-side, so a trajectory holding a third of all rows
   costs one partial row per task, not one task;
-* exact medians rank every series value with the same skew-safe ordered scan
-  and keep only the one or two middle rows per series.
+* exact medians are part of the same aggregate, except for trajectories with
+  more than ``rows_per_block`` points: there a bracket around the middle rank is
+  found first, and only the values inside it are ranked.
 
-The results equal the array form row for row (tests/test_longform.py).
+A trajectory is never cut, whatever its length. The results equal the array form
+row for row (tests/test_longform.py).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import series as S
 from ..functions import stats as A
-from ..functions.mathx import NAN, nan_to_num, np_log1p, zero_gap
-from ..plans.sequence import sequence
+from ..functions.mathx import MAX_DOUBLE, ZERO_GAP, nan_to_num, np_log1p, zero_gap
+from ..plans.sequence import ROWS_PER_BLOCK, sequence
 from .features import FEATURES, GUARDED_FROM, _per_context
 
 STEP_SERIES = ["time_delta", "log_speed", "log_accel", "log_angle"]
 DIFF_SERIES = ["log_speed_diff", "log_accel_diff", "log_angle_diff"]
-MEDIAN_SERIES = ["x", "y", "t"] + STEP_SERIES + DIFF_SERIES
 
 
-def _step(x, x1, y, y1, t, t1):
-    dx, dy, dt = x - x1, y - y1, zero_gap(t - t1)
-    speed = np_log1p(F.abs(dx)) - np_log1p(dt)
-    accel = np_log1p(speed) - np_log1p(dt)
-    angle = np_log1p(dy) - np_log1p(dx)
-    return dx, dy, dt, speed, accel, angle
+def _log1p(e: str) -> str:
+    """``np_log1p`` as SQL text, for short expressions."""
+    return f"CASE WHEN {e} < -1 THEN double('NaN') WHEN {e} = -1 THEN double('-Infinity') ELSE log1p({e}) END"
+
+
+def _gap(e: str) -> str:
+    """``zero_gap`` as SQL text."""
+    return f"CASE WHEN {e} = 0 THEN {ZERO_GAP!r}D ELSE {e} END"
+
+
+def _finite(e: str) -> str:
+    """``nan_to_num`` as SQL text."""
+    return (f"CASE WHEN isnan({e}) THEN 0.0D WHEN {e} = double('Infinity') THEN {MAX_DOUBLE!r}D "
+            f"WHEN {e} = double('-Infinity') THEN -{MAX_DOUBLE!r}D ELSE {e} END")
 
 
 def step_series(lp: DataFrame) -> DataFrame:
-    """Add ``dx, dy, time_delta, log_speed, log_accel, log_angle`` (NULL at pos 0)
-    and the second differences ``log_*_diff`` (NULL at pos < 2)."""
-    c = F.col
-    dx, dy, dt, sp, ac, an = _step(c("x"), c("x_lag1"), c("y"), c("y_lag1"), c("t"), c("t_lag1"))
-    df = lp.select("*", dx.alias("dx"), dy.alias("dy"), dt.alias("time_delta"),
-                   sp.alias("log_speed"), an.alias("log_angle"))
-    df = df.select("*", (np_log1p(c("log_speed")) - np_log1p(c("time_delta"))).alias("log_accel"))
-    if "x_lag2" in lp.columns:
-        _, _, pdt, psp, _, pan = _step(c("x_lag1"), c("x_lag2"), c("y_lag1"), c("y_lag2"),
-                                       c("t_lag1"), c("t_lag2"))
-        pac = np_log1p(psp) - np_log1p(pdt)
-        df = df.select("*", (c("log_speed") - psp).alias("log_speed_diff"),
-                       (c("log_accel") - pac).alias("log_accel_diff"),
-                       (c("log_angle") - pan).alias("log_angle_diff"))
+    """Add ``dx, dy, step_distance_x, time_delta, log_speed, log_accel, log_angle`` (NULL at
+    pos 0) and the second differences ``log_*_diff`` (NULL at pos < 2)."""
+    df = lp.selectExpr("*", "x - x_lag1 AS dx", "y - y_lag1 AS dy", "abs(x - x_lag1) AS step_distance_x",
+                       f"{_gap('(t - t_lag1)')} AS time_delta")
+    two = "x_lag2" in lp.columns
+    if two:
+        df = df.selectExpr("*", "abs(x_lag1 - x_lag2) AS _pd", "x_lag1 - x_lag2 AS _pdx", "y_lag1 - y_lag2 AS _pdy",
+                           f"{_gap('(t_lag1 - t_lag2)')} AS _pdt")
+    df = df.selectExpr("*", f"{_log1p('step_distance_x')} - ({_log1p('time_delta')}) AS log_speed",
+                       f"{_log1p('dy')} - ({_log1p('dx')}) AS log_angle",
+                       *([f"{_log1p('_pd')} - ({_log1p('_pdt')}) AS _psp", f"{_log1p('_pdy')} - ({_log1p('_pdx')}) AS _pan"]
+                         if two else []))
+    df = df.selectExpr("*", f"{_log1p('log_speed')} - ({_log1p('time_delta')}) AS log_accel")
+    if two:
+        df = df.selectExpr("*", "log_speed - _psp AS log_speed_diff",
+                           f"log_accel - ({_log1p('_psp')} - ({_log1p('_pdt')})) AS log_accel_diff",
+                           "log_angle - _pan AS log_angle_diff").drop("_pd", "_pdx", "_pdy", "_pdt", "_psp", "_pan")
     return df
 
 
-def _stats_aggs(v: str) -> list[Column]:
-    col = F.col(v)
-    ordered = F.when(col.isNotNull(), F.col("pos"))
-    return [F.count(col).alias(f"{v}__n"),
-            F.min_by(col, ordered).alias(f"{v}__first"),
-            F.max_by(col, ordered).alias(f"{v}__last"),
-            F.avg(col).alias(f"{v}__mean"),
-            F.stddev_pop(col).alias(f"{v}__std"),
-            F.max(col).alias(f"{v}__max"),
-            F.min(col).alias(f"{v}__min"),
-            F.max(F.isnan(col).cast("int")).alias(f"{v}__nan")]
+def _stats_aggs(v: str) -> list[str]:
+    at = f"CASE WHEN {v} IS NOT NULL THEN pos END"
+    return [f"count({v}) AS {v}__n", f"min_by({v}, {at}) AS {v}__first", f"max_by({v}, {at}) AS {v}__last",
+            f"avg({v}) AS {v}__mean", f"stddev_pop({v}) AS {v}__std", f"max({v}) AS {v}__max", f"min({v}) AS {v}__min",
+            f"max(CAST(isnan({v}) AS INT)) AS {v}__nan"]
+
+
+#: Rank error of the brackets around the middle of a long trajectory, as 1 / BRACKET.
+BRACKET = 100_000
+
 
+def heavy_keys(points: DataFrame, key: str = "traj_id", rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """Trajectories with more than ``rows_per_block`` points (at most one for so many rows of the table)."""
+    return points.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_block).select(key)
 
-def series_medians(steps: DataFrame, names=MEDIAN_SERIES, key: str = "traj_id",
-                   n_blocks: int | None = None) -> DataFrame:
-    """Exact per-trajectory medians of several series, skew-safe.
 
-    Values are stacked as ``(key, sid, v)``, ranked within ``(key, sid)`` by
-    the blocked ordered scan, and only the middle row(s) and the largest row
-    (NaN sorts last, and any NaN makes the median NaN) are kept.
+def _light_median(v: str) -> str:
+    """Exact median of the non-NaN values of trajectories that are not heavy."""
+    return f"percentile(CASE WHEN _heavy IS NULL AND NOT isnan({v}) THEN CAST({v} AS DOUBLE) END, 0.5D) AS {v}__median"
+
+
+def heavy_medians(steps: DataFrame, names, key: str = "traj_id", bracket: int = BRACKET) -> DataFrame:
+    """``(key, <series>__heavy ...)``: exact medians of the non-NaN values of few, long trajectories.
+
+    ``percentile_approx`` gives two values around the middle whose ranks are off
+    by ``n / bracket`` at most; the values below them are counted, and those
+    between them (a few times ``n / bracket``) are counted by value and ranked. A
+    rank outside the bracket raises an error, so no approximation reaches the result.
     """
     names = list(names)
-    # series id as a 1-byte index: this stack is the largest shuffle of the long form
-    stacked = (steps.select(key, "pos", F.explode(F.array(*[
-        F.struct(F.lit(i).cast("byte").alias("sid"), F.col(n).cast("double").alias("v"))
-        for i, n in enumerate(names)]))
-        .alias("_s")).select(key, "_s.sid", "_s.v", F.col("pos").alias("_at"))
-        .filter(F.col("v").isNotNull()))
-    # ``_at`` (the point position) breaks ties: block edges can only fall between
-    # distinct (key, order) tuples, so a value repeated across a hot trajectory
-    # must not form one unsplittable run.
-    r = sequence(stacked, [key, "sid"], ["v", "_at"], with_count=True, n_blocks=n_blocks,
-                 name="median")
-    n, pos = F.col("seq_n"), F.col("pos")
-    lo, hi = F.floor((n - 1) / 2), F.floor(n / 2)
-    mid = (pos == lo) | (pos == hi)
-    sel = r.filter(mid | (pos == n - 1))
-    # one grouped pass over at most three rows per (trajectory, series)
-    out = []
-    for i, nm in enumerate(names):
-        this = F.col("sid") == F.lit(i).cast("byte")
-        m = F.avg(F.when(this & mid, F.col("v")))
-        bad = F.max(F.when(this & (pos == n - 1), F.isnan("v").cast("int")))
-        out.append(F.when(bad == 1, NAN()).otherwise(m).alias(f"{nm}__median"))
-    return sel.groupBy(key).agg(*out)
-
-
-def trajectory_summaries(steps: DataFrame, key: str = "traj_id",
-                         extra=("ax", "ay", "label"), n_blocks: int | None = None,
-                         medians=None) -> DataFrame:
+    # NaN is no value here
+    long = steps.selectExpr(key, *[f"CASE WHEN NOT isnan({v}) THEN CAST({v} AS DOUBLE) END AS {v}" for v in names])
+    ends = f"array({0.5 - 2 / bracket!r}D, {0.5 + 2 / bracket!r}D)"
+    around = long.groupBy(key).agg(*[F.expr(f"percentile_approx({v}, {ends}, {bracket}) AS _b_{v}") for v in names])
+    seen = long.join(F.broadcast(around), key)
+    counts = seen.groupBy(key).agg(*[F.expr(
+        f"named_struct('sid', {i}, 'n', count({v}), 'below', sum(CAST({v} < _b_{v}[0] AS BIGINT))) AS _c_{v}")
+        for i, v in enumerate(names)])
+    inside = seen.selectExpr(key, "inline(array(" + ", ".join(
+        f"named_struct('sid', {i}, 'v', CASE WHEN {v} BETWEEN _b_{v}[0] AND _b_{v}[1] THEN {v} END)"
+        for i, v in enumerate(names)) + "))").where("v is not null")
+    ranked = inside.groupBy(key, "sid", "v").count().selectExpr(
+        "*", f"sum(count) OVER (PARTITION BY {key}, sid ORDER BY v ROWS UNBOUNDED PRECEDING) AS upto")
+    sized = counts.selectExpr(key, f"inline(array({', '.join(f'_c_{v}' for v in names)}))")
+    placed = ranked.join(F.broadcast(sized), [key, "sid"])
+
+    def holds(rank: str) -> str:
+        return f"max(CASE WHEN below + upto - count <= {rank} AND {rank} <= below + upto - 1 THEN v END)"
+
+    found = placed.groupBy(key, "sid").agg(F.expr(f"{holds('floor((n - 1) / 2)')} AS lo"), F.expr(f"{holds('floor(n / 2)')} AS hi"))
+    found = found.selectExpr(key, "sid", "CASE WHEN lo IS NULL OR hi IS NULL THEN "
+                             "CAST(raise_error('middle rank outside its bracket') AS DOUBLE) ELSE (lo + hi) / 2 END AS m")
+    return found.groupBy(key).agg(*[F.expr(f"max(CASE WHEN sid = {i} THEN m END) AS {v}__heavy") for i, v in enumerate(names)])
+
+
+def trajectory_summaries(steps: DataFrame, key: str = "traj_id", medians=None, heavy: DataFrame | None = None,
+                         rows_per_block: int = ROWS_PER_BLOCK, heavy_steps: DataFrame | None = None) -> DataFrame:
     """One row per trajectory: count, backtracks and the raw (unguarded)
     first/last/std/mean/median/max/min of every series, with the reference's
     short-trajectory rules applied. Columns are ``<series>_<stat>``.
 
-    Medians are the expensive part (every value is ranked); ``medians``
-    limits them to the listed series (the others' ``_median`` is NULL).
+    The constants ``ax, ay, label`` (where present) are those of the first point;
+    ``reason`` says why a trajectory is bad (``no_id``, ``bad_point``,
+    ``bad_target``, or ``varying_constants`` when they differ between points) and
+    is null for good ones. ``medians`` limits the medians to some series (the
+    others' ``_median`` is NULL). ``heavy`` are the trajectories above
+    ``rows_per_block`` points, and ``heavy_steps`` their steps, where the caller can
+    tell them before the steps are made.
     """
     have_diff = "log_speed_diff" in steps.columns
     series = ["x", "y", "t"] + STEP_SERIES + (DIFF_SERIES if have_diff else [])
     ranked = [v for v in series if medians is None or v in medians]
-    # per-trajectory constants are grouping columns (a hash aggregate), not first()
-    consts = [e for e in extra if e in steps.columns]
-    base = steps.groupBy(key, *consts).agg(*_per_context(("aggs", tuple(series)),
-                                                         lambda: _base_aggs(series)))
-    med = series_medians(steps, ranked, key, n_blocks)
-    for v in series:
-        if v not in ranked:
-            med = med.withColumn(f"{v}__median", F.lit(None).cast("double"))
-    df = base.join(med, key, "left")
+    consts = [c for c in ("ax", "ay", "label") if c in steps.columns]
+    heavy = heavy_keys(steps, key, rows_per_block) if heavy is None else heavy
+    marked = steps.join(F.broadcast(heavy.withColumn("_heavy", F.lit(True))), key, "left")
+    base = marked.groupBy(key).agg(*_per_context(
+        steps, ("aggs", tuple(series), tuple(ranked), tuple(consts)), lambda: _base_aggs(series, ranked, consts)))
+    only = steps.join(F.broadcast(heavy), key, "left_semi") if heavy_steps is None else heavy_steps
+    df = base.join(heavy_medians(only, ranked, key), key, "left")
     out = [F.col(key), *[F.col(e) for e in consts]]
-    out += _per_context(("outs", tuple(series)), lambda: _summary_outputs(series))
+    out += _per_context(steps, ("outs", tuple(series), tuple(ranked), tuple(consts), key),
+                        lambda: _summary_outputs(series, ranked, consts, key))
     return df.select(*out)
 
 
-def _base_aggs(series) -> list[Column]:
-    aggs = [F.count(F.lit(1)).alias("point_count"),
-            F.sum(F.when(F.col("dx") < 0, 1).otherwise(0)).cast("long").alias("backtrack_count")]
+def _constant(c: str) -> str:
+    """A number that tells values of a constant apart (null is a value too)."""
+    return f"xxhash64({c})" if c == "label" else f"coalesce(CAST({c} AS DOUBLE), double('NaN'))"
+
+
+def _base_aggs(series, ranked, consts) -> list[Column]:
+    aggs = ["count(1) AS point_count", "count(x + y + t) AS _whole",
+            "CAST(sum(CASE WHEN dx < 0 THEN 1 ELSE 0 END) AS BIGINT) AS backtrack_count"]
+    for c in consts:
+        aggs += [f"max(CASE WHEN pos = 0 THEN {c} END) AS {c}",
+                 f"min({_constant(c)}) AS _min_{c}", f"max({_constant(c)}) AS _max_{c}"]
     for v in series:
         aggs += _stats_aggs(v)
-    return aggs
+    return [F.expr(e) for e in aggs + [_light_median(v) for v in ranked]]
 
 
-def _summary_outputs(series) -> list[Column]:
+def _summary_outputs(series, ranked, consts, key) -> list[Column]:
     """Guards and short-trajectory fallbacks over the grouped aggregates."""
-
-    n = F.col("point_count")
-    c = F.col
-    fallback = {
-        "time_delta": zero_gap(c("t__first") - c("t__first")),
-        "log_speed": F.lit(0.0), "log_accel": F.lit(0.0), "log_angle": F.lit(0.0),
-    }
+    reason = f"CASE WHEN {key} IS NULL THEN 'no_id' WHEN _whole < point_count THEN 'bad_point'"
+    if "ax" in consts:
+        reason += " WHEN ax IS NULL OR ay IS NULL THEN 'bad_target'"
+    for e in consts:
+        reason += f" WHEN _min_{e} != _max_{e} THEN 'varying_constants'"
+    out = ["point_count", "backtrack_count", f"{reason} END AS reason"]
+    fallback = {"time_delta": _gap("(t__first - t__first)"), "log_speed": "0.0D", "log_accel": "0.0D", "log_angle": "0.0D"}
     for s in ("log_speed", "log_accel", "log_angle"):
-        fallback[f"{s}_diff"] = F.when(n == 1, F.lit(0.0)).otherwise(c(f"{s}__first") - c(f"{s}__first"))
-    out = [c("point_count").cast("long").alias("point_count"), c("backtrack_count")]
+        fallback[f"{s}_diff"] = f"(CASE WHEN point_count = 1 THEN 0.0D ELSE {s}__first - {s}__first END)"
     for v in series:
-        bad = c(f"{v}__nan") == 1
-        stats = {
-            "first": c(f"{v}__first"), "last": c(f"{v}__last"),
-            "std": F.when(bad, NAN()).otherwise(c(f"{v}__std")),
-            "mean": F.when(bad, NAN()).otherwise(c(f"{v}__mean")),
-            "median": c(f"{v}__median"),
-            "max": F.when(bad, NAN()).otherwise(c(f"{v}__max")),
-            "min": F.when(bad, NAN()).otherwise(c(f"{v}__min")),
-        }
+        def or_nan(e: str, v: str = v) -> str:
+            return f"CASE WHEN {v}__nan = 1 THEN double('NaN') ELSE {e} END"
+        stats = {"first": f"{v}__first", "last": f"{v}__last",
+                 **{k: or_nan(f"{v}__{k}") for k in ("std", "mean", "max", "min")},
+                 "median": or_nan(f"coalesce({v}__heavy, {v}__median)") if v in ranked else "CAST(NULL AS DOUBLE)"}
         if v in fallback:
-            fb = fallback[v]
-            one = {"first": fb, "last": fb, "std": F.abs(fb - fb), "mean": fb, "median": fb,
-                   "max": fb, "min": fb}
-            stats = {k: F.when(c(f"{v}__n") == 0, one[k]).otherwise(e) for k, e in stats.items()}
-        out += [e.alias(f"{v}_{k}") for k, e in stats.items()]
-    return out
+            one = fallback[v]
+            stats = {k: f"CASE WHEN {v}__n = 0 THEN {f'abs({one} - {one})' if k == 'std' else one} ELSE {e} END"
+                     for k, e in stats.items()}
+        out += [f"{stats[k]} AS {v}_{k}" for k in A.STATS]
+    return [F.expr(e) for e in out]
+
 
+def aim_pair() -> tuple[Column, Column]:
+    """The two-value target distance, from the last point (columns ``x_last, y_last, ax, ay``)."""
+    xl, yl, ax, ay = F.col("x_last"), F.col("y_last"), F.col("ax"), F.col("ay")
+    return (F.sqrt((xl - ax) * (xl - ax) + (xl - ay) * (xl - ay)), F.sqrt((yl - ax) * (yl - ax) + (yl - ay) * (yl - ay)))
 
-def feature_matrix_long(steps: DataFrame, labelled: bool = True, key: str = "traj_id",
-                        n_blocks: int | None = None) -> DataFrame:
-    """The 70 features from a lagged point table (same columns as the array form)."""
+
+def feature_matrix_long(steps: DataFrame, labelled: bool = True, key: str = "traj_id", heavy: DataFrame | None = None,
+                        rows_per_block: int = ROWS_PER_BLOCK, heavy_steps: DataFrame | None = None,
+                        with_speed_median: bool = False, with_reason: bool = False) -> DataFrame:
+    """The 70 features from a lagged point table (same columns as the array form).
+
+    ``with_reason`` adds ``reason`` (null for good trajectories); without it bad
+    ones (see :func:`trajectory_summaries`) are refused with an error.
+    """
     used = {f[:-len("_median")] for f in FEATURES if f.endswith("_median")}
-    s = trajectory_summaries(steps, key, n_blocks=n_blocks, medians=used)
-    c = F.col
-    xl, yl, ax, ay = c("x_last"), c("y_last"), c("ax"), c("ay")
-    d1 = F.sqrt((xl - ax) * (xl - ax) + (xl - ay) * (xl - ay))
-    d2 = F.sqrt((yl - ax) * (yl - ax) + (yl - ay) * (yl - ay))
-    s = s.select("*", A.summary(F.array(d1, d2)).alias("aim_distance_stats"),
-                 A.summary(F.array(d2 - d1)).alias("aim_distance_diff_stats"))
-    named = {}
-    for v in ("x", "y", "t", "time_delta", "log_speed", "log_accel", "log_angle",
-              "log_speed_diff", "log_accel_diff", "log_angle_diff"):
-        for k in A.STATS:
-            named[f"{v}_{k}"] = c(f"{v}_{k}")
-    for v in ("aim_distance", "aim_distance_diff"):
-        for k in A.STATS:
-            named[f"{v}_{k}"] = c(f"{v}_stats.{k}")
-    named["point_count"] = c("point_count")
-    named["backtrack_count"] = c("backtrack_count")
-    fdx, fdy = xl - ax, yl - ay
-    named["final_dis"] = F.sqrt(fdx * fdx + fdy * fdy)
-    named["final_dx"], named["final_dy"] = fdx, fdy
-    named["log_speed_mean_dup"] = c("log_speed_mean")
-    named["aim_angle"] = np_log1p(c("y_first") - ay) - np_log1p(c("x_first") - ax)
-    cols = [c(key)]
-    for i, f in enumerate(FEATURES):
-        e = named[f]
-        cols.append((nan_to_num(e) if i >= GUARDED_FROM else e).alias(f))
-    if labelled:
-        cols.append(c("label"))
-    return s.select(*cols)
-
-
-def first_last(lp: DataFrame, key: str = "traj_id") -> DataFrame:
-    """First and last x, y, t of every trajectory (W2) via partial aggregates."""
+    used |= {"log_speed"} if with_speed_median else set()
+    s = trajectory_summaries(steps, key, medians=used, heavy=heavy, rows_per_block=rows_per_block,
+                             heavy_steps=heavy_steps)
+    d1, d2 = aim_pair()
+    s = s.select("*", d1.alias("_d1"), d2.alias("_d2"))
+    nan = "isnan(_d1) OR isnan(_d2)"
+    named = {f"aim_distance_{k}": e for k, e in {
+        "first": "_d1", "last": "_d2", "mean": "(_d1 + _d2) / 2", "median": "(_d1 + _d2) / 2", "max": "greatest(_d1, _d2)",
+        "min": f"CASE WHEN {nan} THEN double('NaN') ELSE least(_d1, _d2) END"}.items()}
+    # a series of one value
+    named |= {f"aim_distance_diff_{k}": "_d2 - _d1" for k in ("first", "last", "mean", "median", "max", "min")}
+    bad = f"CAST(raise_error(concat('bad trajectory ', coalesce(CAST({key} AS STRING), '?'), ': ', reason)) AS BIGINT)"
+    named["point_count"] = "point_count" if with_reason else f"CASE WHEN reason IS NOT NULL THEN {bad} ELSE point_count END"
+    named["final_dis"] = "sqrt((x_last - ax) * (x_last - ax) + (y_last - ay) * (y_last - ay))"
+    named["final_dx"], named["final_dy"] = "x_last - ax", "y_last - ay"
+    named["log_speed_mean_dup"] = "log_speed_mean"
+    named["aim_angle"] = f"{_log1p('(y_first - ay)')} - ({_log1p('(x_first - ax)')})"
+    s = s.selectExpr(key, *[f"{named.get(f, f)} AS {f}" for f in FEATURES], *(["log_speed_median"] if with_speed_median else []),
+                     *(["label"] if labelled else []), *(["reason"] if with_reason else []))
+    guarded = [*FEATURES[GUARDED_FROM:], "log_speed_median"]
+    return s.selectExpr(*[f"{_finite(c)} AS {c}" if c in guarded else c for c in s.columns])
+
+
+def _rows(steps: DataFrame, index: Column, value: Column, key: str, *extra) -> DataFrame:
+    return steps.select(key, *extra, index.cast("long").alias("i"), value.alias("v")).where("i is not null")
+
+
+def series_rows(steps: DataFrame, name: str, key: str = "traj_id", *extra) -> DataFrame:
+    """``(key, i, v)`` of one step or difference series on whole trajectories (needs ``n``).
+
+    Rules for short ones: one point gives one value (the difference of a point to
+    itself, or 0; none for ``step_distance_x``), two points one second difference.
+    """
+    pos, n, v = F.col("pos"), F.col("n"), F.col(name)
+    if name in DIFF_SERIES:
+        of = F.col(name[:-len("_diff")])
+        index = F.when(pos >= 2, pos - 2).when((n == 2) & (pos == 1), 0).when(n == 1, 0)
+        value = F.when(pos >= 2, v).when(n == 2, of - of).otherwise(F.lit(0.0))
+    else:
+        own = {"dx": F.col("x") - F.col("x"), "dy": F.col("y") - F.col("y"),
+               "time_delta": zero_gap(F.col("t") - F.col("t"))}.get(name, F.lit(0.0))
+        index = F.when(pos >= 1, pos - 1)
+        index = index if name == "step_distance_x" else index.when(n == 1, 0)
+        value = F.when(pos >= 1, v).otherwise(own)
+    return _rows(steps, index, value, key, *extra)
+
+
+SLICED_SERIES = ["log_speed", "log_accel", "log_angle", *DIFF_SERIES]
+
+
+def head_mid_tail_rows(steps: DataFrame, names=SLICED_SERIES, key: str = "traj_id") -> DataFrame:
+    """``(key, series, part, i, v)``: three values each from the head, middle and tail of every series (needs ``n``).
+
+    A row knows from its index which slices it is in, so only those rows go on;
+    series of at most three values are gathered (bounded) and take the array rule.
+    """
+    out = None
+    for name in names:
+        off = 2 if name in DIFF_SERIES else 1
+        m = F.greatest(F.col("n") - off, F.lit(1))
+        one = series_rows(steps, name, key, m.alias("m")).withColumn("series", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    mid = F.floor(F.col("m") / 2)
+    slots = [F.when(F.col("i") < 3, F.struct(F.lit("head").alias("part"), F.col("i").alias("at"))),
+             F.when((F.col("i") >= mid - 2) & (F.col("i") < mid + 1), F.struct(F.lit("mid").alias("part"), (F.col("i") - mid + 2).alias("at"))),
+             F.when(F.col("i") >= F.col("m") - 3, F.struct(F.lit("tail").alias("part"), (F.col("i") - F.col("m") + 3).alias("at")))]
+    long = out.where("m > 3").select(key, "series", "v", F.explode(F.array_compact(F.array(*slots))).alias("s")).select(
+        key, "series", "s.part", F.col("s.at").cast("long").alias("i"), nan_to_num("v").alias("v"))
+    arrays = out.where("m <= 3").groupBy(key, "series").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("a"))
+    cut = arrays.select(key, "series", S.head_mid_tail(F.col("a.v")).alias("h"))
+    short = cut.select(key, "series", F.explode(F.array(*[F.struct(F.lit(p).alias("part"), F.col(f"h.{p}").alias("vals"))
+                                                          for p in ("head", "mid", "tail")])).alias("p"))
+    short = short.select(key, "series", "p.part", F.posexplode("p.vals").alias("i", "v")).select(
+        key, "series", "part", F.col("i").cast("long").alias("i"), "v")
+    return long.unionByName(short)
+
+
+def linear_rows(steps: DataFrame, key: str = "traj_id") -> DataFrame:
+    """``(key, kind, i, v)``: dx / dt, and diff(dx) / diff(dt) with the zero-gap guard (needs ``n`` and two lags)."""
+    pos, n = F.col("pos"), F.col("n")
+    dx, dt = F.col("dx"), F.col("time_delta")
+    dx1, dt1 = F.col("x_lag1") - F.col("x_lag2"), zero_gap(F.col("t_lag1") - F.col("t_lag2"))
+    x0, t0 = F.col("x") - F.col("x"), zero_gap(F.col("t") - F.col("t"))
+    speed = _rows(steps, F.when(pos >= 1, pos - 1).when(n == 1, 0), F.when(pos >= 1, dx / dt).otherwise(x0 / t0), key,
+                  F.lit("speed").alias("kind"))
+    accel = _rows(steps, F.when(pos >= 2, pos - 2).when((n == 2) & (pos == 1), 0).when(n == 1, 0),
+                  F.when(pos >= 2, (dx - dx1) / zero_gap(dt - dt1)).when(n == 2, (dx - dx) / zero_gap(dt - dt))
+                  .otherwise((x0 - x0) / zero_gap(t0 - t0)), key, F.lit("accel").alias("kind"))
+    return speed.unionByName(accel)
+
+
+def aim_distance_rows(points: DataFrame, key: str = "traj_id") -> DataFrame:
+    """``(key, i, v)``: the distance of every point to the target."""
+    dx, dy = F.col("x") - F.col("ax"), F.col("y") - F.col("ay")
+    return points.select(key, F.col("pos").alias("i"), F.sqrt(dx * dx + dy * dy).alias("v"))
+
+
+def continuity(steps: DataFrame, key: str = "traj_id") -> DataFrame:
+    """sum(|d|) / n of x, y and t (divides by n, not n - 1); 0 for one point."""
+    return steps.groupBy(key).agg(*[F.coalesce(
+        F.sum(F.abs(F.col(c) - F.col(f"{c}_lag1"))) / F.count(F.lit(1)), F.lit(0.0)).alias(f"c{c}") for c in "xyt"])
+
+
+def ends(points: DataFrame, key: str = "traj_id", extra=()) -> DataFrame:
+    """Count, first and last x, y, t of every trajectory, and its numeric constants, by partial aggregates."""
     aggs = []
     for v in ("x", "y", "t"):
         aggs += [F.min_by(v, "pos").alias(f"{v}_first"), F.max_by(v, "pos").alias(f"{v}_last")]
-    return lp.groupBy(key).agg(F.count(F.lit(1)).alias("point_count"), *aggs)
+    return points.groupBy(key).agg(F.count(F.lit(1)).alias("point_count"), *aggs, *[F.max(c).alias(c) for c in extra])
+
+
+def final_offset(points: DataFrame, key: str = "traj_id") -> DataFrame:
+    """``dis, dx, dy`` from the last point to the target."""
+    dx, dy = F.col("x_last") - F.col("ax"), F.col("y_last") - F.col("ay")
+    return ends(points, key, ("ax", "ay")).select(key, F.sqrt(dx * dx + dy * dy).alias("dis"), dx.alias("dx"), dy.alias("dy"))
+
+
+def net_displacement(points: DataFrame, key: str = "traj_id") -> DataFrame:
+    """Last minus first of x and y, and the absolute difference of t."""
+    return ends(points, key).select(key, (F.col("x_last") - F.col("x_first")).alias("dx"),
+                                    (F.col("y_last") - F.col("y_first")).alias("dy"),
+                                    F.abs(F.col("t_last") - F.col("t_first")).alias("dt"))
+
+
+def aim_angle(points: DataFrame, key: str = "traj_id") -> DataFrame:
+    """log1p(y0 - ay) - log1p(x0 - ax) from the first point."""
+    return ends(points, key, ("ax", "ay")).select(key, (
+        np_log1p(F.col("y_first") - F.col("ay")) - np_log1p(F.col("x_first") - F.col("ax"))).alias("aim_angle"))
+
+
+def aim_distance_pairs(points: DataFrame, key: str = "traj_id") -> DataFrame:
+    """``(key, aim0, aim1)``: the two-value target distance of every trajectory."""
+    d1, d2 = aim_pair()
+    return ends(points, key, ("ax", "ay")).select(key, d1.alias("aim0"), d2.alias("aim1"))
 
 
 def lag_points(points: DataFrame, key: str = "traj_id", order=("pos",), lags: int = 2,
-               n_blocks: int | None = None) -> DataFrame:
-    """Generic point table -> lagged point table via the skew-safe scan.
+               rows_per_block: int | None = None) -> DataFrame:
+    """Generic point table -> lagged point table (with ``n``) via the skew-safe scan.
 
-    Points are ordered by ``order`` within ``key``; when the table has no
-    ``pos`` column, the 0-based position from the scan becomes ``pos``.
+    Points are ordered by ``order`` within ``key``; equal orders are refused.
+    When the table has no ``pos`` column, the 0-based position from the scan
+    becomes ``pos``.
     """
-    if "pos" in points.columns:
-        return sequence(points, [key], list(order), lag_cols=["x", "y", "t"], lags=lags,
-                        n_blocks=n_blocks, name="lag", pos_col="_seqpos").drop("_seqpos")
-    return sequence(points, [key], list(order), lag_cols=["x", "y", "t"], lags=lags,
-                    n_blocks=n_blocks, name="lag", pos_col="pos")
+    pos = "_seqpos" if "pos" in points.columns else "pos"
+    out = sequence(points, [key], list(order), lag_cols=["x", "y", "t"], lags=lags, with_count=True,
+                   rows_per_block=rows_per_block, pos_col=pos).withColumnRenamed("seq_n", "n")
+    return out.drop("pos").withColumnRenamed("_seqpos", "pos") if pos == "_seqpos" else out

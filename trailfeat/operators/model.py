@@ -7,20 +7,22 @@ Here Spark ML's ``GBTClassifier`` plays that part.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .evaluate import POS_WEIGHT, class_weights
 from .features import ml_feature_names, ml_table
 
-# Fixed values from the boosted-tree configuration. The learning-rate key in
-# that configuration is misspelt, so the trainer's default step (0.3) is the
-# one that took effect.
+# Fixed values from the boosted-tree configuration. Its learning-rate key is
+# misspelt, so the external trainer may have used its own default (0.3); pass
+# ``step_size`` to get that.
 MAX_DEPTH = 10
-STEP_SIZE = 0.3
+STEP_SIZE = 0.02
 MIN_INSTANCES = 1
 MIN_INFO_GAIN = 0.0
 ROUNDS = 10
+MAX_BINS = 64
 
 
 def gbt(max_depth: int = MAX_DEPTH, step_size: float = STEP_SIZE, rounds: int = ROUNDS,
@@ -28,28 +30,33 @@ def gbt(max_depth: int = MAX_DEPTH, step_size: float = STEP_SIZE, rounds: int =
     from pyspark.ml.classification import GBTClassifier
     return GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                          maxDepth=max_depth, stepSize=step_size, maxIter=rounds,
-                         minInstancesPerNode=MIN_INSTANCES, minInfoGain=MIN_INFO_GAIN,
+                         minInstancesPerNode=MIN_INSTANCES, minInfoGain=MIN_INFO_GAIN, maxBins=MAX_BINS,
                          subsamplingRate=1.0, featureSubsetStrategy="all", seed=seed)
 
 
-def fit(features: DataFrame, pos_weight: float = POS_WEIGHT, **kw):
-    """Train on a labelled feature matrix (``label`` is 0/1 text or number)."""
-    # Tree training scans the cached table once per level and round: keep one
-    # partition per core at most (coalesce never increases the count).
-    par = features.sparkSession.sparkContext.defaultParallelism
-    train = class_weights(ml_table(features), pos_weight=pos_weight).coalesce(par).persist()
+def fit(features: DataFrame, pos_weight: float = POS_WEIGHT, max_rows: int | None = None, **kw):
+    """Train on a labelled feature matrix (``label`` is 0/1 text or number).
+
+    ``max_rows`` bounds the labelled rows used: those whose id comes first by hash.
+    The table is kept in memory and on disk in the input's own partitions, as the
+    trainer passes over it once per level and round.
+    """
+    if max_rows is not None:
+        features = features.orderBy(F.xxhash64("traj_id"), "traj_id").limit(max_rows)
+    train = class_weights(ml_table(features), pos_weight=pos_weight).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return gbt(**kw).fit(train)
     finally:
         train.unpersist()
 
 
-def predict(model, features: DataFrame) -> DataFrame:
-    """``traj_id, score (P[label = 1]), prediction``."""
+def predict(model, features: DataFrame, keep=()) -> DataFrame:
+    """``traj_id, score (P[label = 1]), prediction`` and the columns ``keep`` of ``features``."""
     from pyspark.ml.functions import vector_to_array
-    out = model.transform(ml_table(features))
+    held = [F.col(c).alias(f"_keep_{c}") for c in keep]
+    out = model.transform(ml_table(features, keep=held))
     return out.select("traj_id", vector_to_array("probability")[1].alias("score"),
-                      F.col("prediction").alias("prediction"))
+                      F.col("prediction").alias("prediction"), *[F.col(f"_keep_{c}").alias(c) for c in keep])
 
 
 def train_predict(features: DataFrame, **kw) -> DataFrame:

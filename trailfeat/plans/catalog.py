@@ -1,35 +1,44 @@
 """Registered queries: one per operator of the inventory, each ``(spark, sf_dir) -> DataFrame``.
 
 Inputs are the driver tables; trajectories come from ``events``
-(:mod:`trailfeat.sources.events`). Array-form queries read bounded 32-point
-segments as *text lines* and go through the parser, as the reference's input
-does; long-form queries use whole users as trajectories through the skew-safe
-ordered scan.
-
-Outputs are flat: series are exploded to ``(traj_id, i, value)`` rows, and
-every double is passed through :func:`settle` so results compare across
-engines (the library functions themselves return full precision).
+(:mod:`trailfeat.sources.events`). Series, summary, count and matrix queries run
+on whole users in long form. The text queries read trajectory lines, one per user
+and calendar week, through the parser, as the reference's input does.
+
+Outputs are flat: series are rows ``(traj_id, i, value)``. Exact values
+(coordinates, times, their differences, counts, copied values) are returned as
+they are; inexact statistics are passed through :func:`settle` so results compare
+across engines (the library functions themselves return full precision).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import series as S
 from ..functions import stats as A
-from ..functions.mathx import nan_to_num, np_log1p, settle, settle_expr
+from ..functions.mathx import nan_to_num, np_log1p, settle_expr
 from ..operators import decide as D
 from ..operators import evaluate as EV
 from ..operators import features as FT
 from ..operators import longform as LF
 from ..operators import parse as P
+from ..session import scratch_path
 from ..sources import events as E
+from ..sources import sinks
+from ..sources import text as TX
+from .jobs import submission_job
 
+POINT = ("x", "y", "t", "ax", "ay")
+#: Summary fields that copy a value of the series, and series whose values are exact.
+COPIED = ("first", "last", "max", "min")
+EXACT_SERIES = ("x", "y", "t", "time_delta")
+EXACT_FEATURES = tuple(f"{v}_{k}" for v in EXACT_SERIES for k in COPIED) + ("final_dx", "final_dy")
 
-def settled(df: DataFrame) -> DataFrame:
-    """Round doubles (see ``settle``) and widen integers to long.
+
+def settled(df: DataFrame, exact=()) -> DataFrame:
+    """Round doubles other than ``exact`` (see ``settle``) and widen integers to long.
 
     Wide outputs (the 70-feature matrices) evaluate the rounding inside a
     lambda so the comparison wrapper does not push the generated code of the
@@ -39,9 +48,8 @@ def settled(df: DataFrame) -> DataFrame:
     wide = len(doubles) > 16
     cols = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            e = settle_expr(f.name, bind=wide)
-            cols.append(e.alias(f.name))
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name not in exact:
+            cols.append(settle_expr(f.name, bind=wide).alias(f.name))
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             cols.append(F.col(f.name).cast("long").alias(f.name))
         else:
@@ -59,27 +67,45 @@ def trajs(spark, sf, labelled=True, view="B") -> DataFrame:
     return P.good(P.parse_trajectories(lines(spark, sf, labelled, view), labelled=labelled))
 
 
-def series_table(spark, sf) -> DataFrame:
-    return FT.with_series(trajs(spark, sf))
+def steps(spark, sf, view="B") -> DataFrame:
+    """Whole users with every step series, and ``n``."""
+    return LF.step_series(E.lagged_points(spark, sf, view, with_count=True))
+
+
+def points(spark, sf, view="B") -> DataFrame:
+    return E.lagged_points(spark, sf, view, lags=1)
 
 
-def _exploded(df: DataFrame, col, *extra) -> DataFrame:
-    return settled(df.select("traj_id", *extra, F.posexplode(col).alias("i", "v")))
+def summaries_of(spark, sf, view, fn, **kw) -> DataFrame:
+    """``fn(steps, heavy=..., heavy_steps=...)`` with the heavy users read off the event table itself."""
+    heavy = LF.heavy_keys(E.events(spark, sf).select(F.col("user_id").alias("traj_id")))
+    long = LF.step_series(E.lagged_points(spark, sf, view, users=heavy))
+    return fn(LF.step_series(E.lagged_points(spark, sf, view)), heavy=heavy, heavy_steps=long, **kw)
 
 
 # ---------------------------------------------------------------- parse
 
-def q_parse_labelled(spark, sf):
-    t = trajs(spark, sf, labelled=True)
-    return settled(P.explode_points(t, keep=("traj_id", "aim", "label")).select(
+def _points_of(t: DataFrame, labelled: bool) -> DataFrame:
+    keep = ("traj_id", "aim") + (("label",) if labelled else ())
+    return settled(P.explode_points(t, keep=keep).select(
         "traj_id", "pos", "x", "y", "t", F.col("aim.ax").alias("ax"), F.col("aim.ay").alias("ay"),
-        "label"))
+        *(["label"] if labelled else [])), POINT)
+
+
+def q_parse_labelled(spark, sf):
+    return _points_of(trajs(spark, sf, labelled=True), True)
 
 
 def q_parse_unlabelled(spark, sf):
-    t = trajs(spark, sf, labelled=False)
-    return settled(P.explode_points(t, keep=("traj_id", "aim")).select(
-        "traj_id", "pos", "x", "y", "t", F.col("aim.ax").alias("ax"), F.col("aim.ay").alias("ay")))
+    return _points_of(trajs(spark, sf, labelled=False), False)
+
+
+def _scan_text(labelled: bool):
+    def q(spark, sf):
+        path = scratch_path(spark, "lines")
+        lines(spark, sf, labelled).write.text(path)
+        return _points_of(P.good(TX.read_trajectories(spark, path, labelled=labelled)), labelled)
+    return q
 
 
 def q_parse_points(spark, sf):
@@ -87,7 +113,7 @@ def q_parse_points(spark, sf):
     ln = lines(spark, sf, view="A")
     f = F.split("value", " ", -1)
     pts = ln.select(F.get(f, 0).alias("traj_id"), P.parse_point_list(F.get(f, 1)).alias("points"))
-    return settled(P.explode_points(pts))
+    return settled(P.explode_points(pts), POINT)
 
 
 def q_parse_quarantine(spark, sf):
@@ -96,7 +122,7 @@ def q_parse_quarantine(spark, sf):
 
 
 def q_explode_points(spark, sf):
-    return settled(P.explode_points(E.segment_trajectories(spark, sf)))
+    return settled(P.explode_points(E.calendar_trajectories(spark, sf)), POINT)
 
 
 # ---------------------------------------------------------------- maths
@@ -108,7 +134,7 @@ def _math_arg(spark, sf):
 
 def q_np_log1p(spark, sf):
     a = _math_arg(spark, sf)
-    return settled(a.select("event_id", "arg", np_log1p("arg").alias("log1p")))
+    return settled(a.select("event_id", "arg", np_log1p("arg").alias("log1p")), ("arg",))
 
 
 def q_nan_to_num(spark, sf):
@@ -117,140 +143,146 @@ def q_nan_to_num(spark, sf):
     return settled(a.select("event_id", v.alias("raw"), nan_to_num(v).alias("clean")))
 
 
-# ---------------------------------------------------------------- series (array form)
+# ---------------------------------------------------------------- series (whole users)
 
 def q_series_diff(spark, sf):
-    s = series_table(spark, sf)
-    d = s.select("traj_id", S.first_diff("xs").alias("dx"), S.first_diff("ys").alias("dy"))
-    return settled(d.select("traj_id", F.posexplode(F.arrays_zip("dx", "dy")).alias("i", "z"))
-                   .select("traj_id", "i", F.col("z.dx").alias("dx"), F.col("z.dy").alias("dy")))
-
-
-def q_step_distance_x(spark, sf):
-    return _exploded(series_table(spark, sf), S.step_distance_x("xs"))
+    dy = F.when(F.col("pos") >= 1, F.col("dy")).otherwise(F.col("y") - F.col("y")).alias("dy")
+    return LF.series_rows(steps(spark, sf), "dx", "traj_id", dy).select("traj_id", "i", F.col("v").alias("dx"), "dy")
 
 
 def _series_key(name):
     def q(spark, sf):
-        return _exploded(series_table(spark, sf), name)
+        return settled(LF.series_rows(steps(spark, sf), name), ("v",) if name in ("step_distance_x", "time_delta") else ())
     q.__name__ = f"q_{name}"
     return q
 
 
 def q_aim_distance(spark, sf):
-    t = trajs(spark, sf)
-    return _exploded(t, S.aim_distance("points", "aim"))
+    return settled(LF.aim_distance_rows(points(spark, sf)))
+
+
+def q_aim_distance_compat(spark, sf):
+    pair = LF.aim_distance_pairs(points(spark, sf))
+    return settled(pair.select("traj_id", F.posexplode(F.array("aim0", "aim1")).alias("i", "v")))
+
+
+def q_aim_distance_diff(spark, sf):
+    pair = LF.aim_distance_pairs(points(spark, sf))
+    return settled(pair.select("traj_id", F.lit(0).alias("i"), (F.col("aim1") - F.col("aim0")).alias("v")))
 
 
 def q_head_mid_tail(spark, sf):
-    s = series_table(spark, sf).select("traj_id", S.head_mid_tail("log_speed").alias("h"))
-    parts = [F.struct(F.lit(p).alias("part"), F.col(f"h.{p}").alias("vals"))
-             for p in ("head", "mid", "tail")]
-    e = s.select("traj_id", F.explode(F.array(*parts)).alias("p"))
-    return settled(e.select("traj_id", F.col("p.part").alias("part"),
-                            F.posexplode("p.vals").alias("i", "v")))
+    return settled(LF.head_mid_tail_rows(steps(spark, sf)))
 
 
 def q_linear_speed_accel(spark, sf):
-    s = series_table(spark, sf).select("traj_id", S.linear_speed_accel("xs", "ts").alias("l"))
-    parts = [F.struct(F.lit(p).alias("kind"), F.col(f"l.{p}").alias("vals"))
-             for p in ("speed", "accel")]
-    e = s.select("traj_id", F.explode(F.array(*parts)).alias("p"))
-    return settled(e.select("traj_id", F.col("p.kind").alias("kind"),
-                            F.posexplode("p.vals").alias("i", "v")))
+    return settled(LF.linear_rows(steps(spark, sf)))
 
 
-# ---------------------------------------------------------------- summaries (array form)
+# ---------------------------------------------------------------- summaries (whole users)
 
 def _stats_key(name):
-    src = {"x": "xs", "y": "ys", "t": "ts"}.get(name, name)
-
     def q(spark, sf):
-        s = series_table(spark, sf).select("traj_id", A.summary(src).alias("s"))
-        return settled(s.select("traj_id", *[F.col(f"s.{k}").alias(k) for k in A.STATS]))
+        exact = COPIED if name in EXACT_SERIES else ()
+        if name.startswith("aim_distance"):
+            pair = LF.aim_distance_pairs(points(spark, sf))
+            values = F.array("aim0", "aim1") if name == "aim_distance" else F.array(F.col("aim1") - F.col("aim0"))
+            return settled(pair.select("traj_id", A.summary(values).alias("s")).select("traj_id", "s.*"))
+        s = summaries_of(spark, sf, "B", LF.trajectory_summaries, medians=[name])
+        return settled(s.select("traj_id", *[F.col(f"{name}_{k}").alias(k) for k in A.STATS]), exact)
     q.__name__ = f"q_stats_{name}"
     return q
 
 
 def q_point_count(spark, sf):
-    return settled(trajs(spark, sf).select(
-        "traj_id", A.point_count(S.coords("points", "x")).alias("point_count")))
+    return E.events(spark, sf).groupBy(F.col("user_id").alias("traj_id")).agg(F.count(F.lit(1)).alias("point_count"))
 
 
 def q_backtrack_count(spark, sf):
-    return settled(trajs(spark, sf).select(
-        "traj_id", A.backtrack_count(S.coords("points", "x")).alias("backtrack_count")))
+    back = F.sum(F.when(F.col("dx") < 0, 1).otherwise(0)).cast("long")
+    return LF.step_series(points(spark, sf, "A")).groupBy("traj_id").agg(back.alias("backtrack_count"))
 
 
 def q_continuity(spark, sf):
-    s = series_table(spark, sf)
-    return settled(s.select("traj_id", A.continuity("xs").alias("cx"),
-                            A.continuity("ys").alias("cy"), A.continuity("ts").alias("ct")))
+    return settled(LF.continuity(points(spark, sf)))
 
 
 def q_final_offset(spark, sf):
-    s = series_table(spark, sf).select("traj_id", A.final_offset("xs", "ys", "aim").alias("o"))
-    return settled(s.select("traj_id", "o.dis", "o.dx", "o.dy"))
+    return settled(LF.final_offset(points(spark, sf)), ("dx", "dy"))
 
 
 def q_net_displacement(spark, sf):
-    s = series_table(spark, sf).select("traj_id", A.net_displacement("xs", "ys", "ts").alias("o"))
-    return settled(s.select("traj_id", "o.dx", "o.dy", "o.dt"))
+    return settled(LF.net_displacement(points(spark, sf)), ("dx", "dy", "dt"))
 
 
 def q_aim_angle(spark, sf):
-    s = series_table(spark, sf)
-    return settled(s.select("traj_id", A.aim_angle("xs", "ys", "aim").alias("aim_angle")))
+    return settled(LF.aim_angle(points(spark, sf)))
 
 
 def q_traj_count(spark, sf):
-    return lines(spark, sf).agg(F.count(F.lit(1)).alias("traj_count"))
+    return E.events(spark, sf).agg(F.countDistinct("user_id").alias("traj_count"))
 
 
 # ---------------------------------------------------------------- feature matrix
 
 def q_feature_matrix_train(spark, sf):
-    return settled(FT.feature_matrix(trajs(spark, sf, labelled=True), labelled=True))
+    return settled(FT.feature_matrix(trajs(spark, sf, labelled=True), labelled=True), EXACT_FEATURES)
 
 
 def q_feature_matrix_test(spark, sf):
-    return settled(FT.feature_matrix(trajs(spark, sf, labelled=False), labelled=False))
+    return settled(FT.feature_matrix(trajs(spark, sf, labelled=False), labelled=False), EXACT_FEATURES)
 
 
 def q_feature_text_export(spark, sf):
-    return FT.feature_text(FT.feature_matrix(trajs(spark, sf)), labelled=True)
+    """The feature text written, read back as text and split into numbers."""
+    path = scratch_path(spark, "feature-text")
+    sinks.write_feature_text(FT.feature_matrix(trajs(spark, sf)), path, with_id=True)
+    parts = F.split("value", " ", -1)
+    numbers = F.transform(F.slice(parts, 2, F.size(parts) - 1), lambda v: v.cast("double"))
+    back = spark.read.text(path).select(F.get(parts, 0).alias("traj_id"), F.posexplode(numbers).alias("position", "value"))
+    return settled(back)
 
 
-# ---------------------------------------------------------------- long form (whole users)
+def _matrix(spark, sf, view):
+    fm = summaries_of(spark, sf, view, LF.feature_matrix_long, with_speed_median=True)
+    return settled(fm, EXACT_FEATURES)
 
-def q_series_diff_long(spark, sf):
-    lp = LF.step_series(E.lagged_points(spark, sf, "A", lags=1))
-    return settled(lp.select("traj_id", "pos", "dx", "dy", "time_delta"))
 
+def q_feature_matrix_long(spark, sf):
+    return _matrix(spark, sf, "B")
 
-def q_first_last_long(spark, sf):
-    return settled(LF.first_last(E.lagged_points(spark, sf, "A", lags=1)))
 
+def q_feature_matrix_long_raw(spark, sf):
+    return _matrix(spark, sf, "A")
 
-def q_feature_matrix_long(spark, sf):
-    return settled(LF.feature_matrix_long(LF.step_series(E.lagged_points(spark, sf, "B"))))
 
+def q_series_diff_long(spark, sf):
+    lp = LF.step_series(points(spark, sf, "A"))
+    return lp.select("traj_id", "pos", "dx", "dy", "time_delta")
 
-def q_feature_matrix_long_raw(spark, sf):
-    return settled(LF.feature_matrix_long(LF.step_series(E.lagged_points(spark, sf, "A"))))
+
+def q_first_last_long(spark, sf):
+    """First and last values (W2) in one aggregate, ordered by time and event id in one number."""
+    ev = E.events(spark, sf)
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)").cast("decimal(19,0)")
+    at = (micros * F.lit(10 ** 18).cast("decimal(19,0)") + F.col("event_id")).cast("decimal(38,0)")
+    g = ev.withColumn("at", at).groupBy(F.col("user_id").alias("traj_id")).agg(
+        F.count(F.lit(1)).alias("point_count"), F.min_by("value", "at").alias("x_first"),
+        F.max_by("value", "at").alias("x_last"), F.min_by(F.col("k").cast("double"), "at").alias("y_first"),
+        F.max_by(F.col("k").cast("double"), "at").alias("y_last"), F.min("ts").alias("_t0"), F.max("ts").alias("_t1"))
+    return g.select("traj_id", "point_count", "x_first", "x_last", "y_first", "y_last", F.lit(0.0).alias("t_first"),
+                    E.whole_ms("_t0", "_t1").alias("t_last"))
 
 
 def q_stats_long_log_angle(spark, sf):
-    s = LF.trajectory_summaries(LF.step_series(E.lagged_points(spark, sf, "A")),
-                                medians=["log_angle"])
+    s = summaries_of(spark, sf, "A", LF.trajectory_summaries, medians=["log_angle"])
     return settled(s.select("traj_id", *[F.col(f"log_angle_{k}").alias(k) for k in A.STATS]))
 
 
 # ---------------------------------------------------------------- decisions
 
 def q_traj_preview(spark, sf):
-    t = trajs(spark, sf)
-    return D.preview(t.select("traj_id", F.size("points").cast("long").alias("point_count")), 10)
+    return D.preview(q_point_count(spark, sf), 10)
 
 
 def q_decide_by_class(spark, sf):
@@ -261,6 +293,32 @@ def q_decide_by_score(spark, sf):
     return D.by_score(E.predictions(spark, sf)).select("traj_id")
 
 
+def _prediction_text(spark, sf, kind: str) -> str:
+    """Prediction lines in the order of their ids, written to the shared folder."""
+    path = scratch_path(spark, f"predictions-{kind}")
+    p = E.predictions(spark, sf)
+    value = F.col("label") if kind == "class" else F.concat_ws("\t", F.col("traj_id").cast("string"), F.col("score").cast("string"))
+    p.orderBy("traj_id").select(value.alias("value")).write.text(path)
+    return path
+
+
+def q_scan_class_text(spark, sf):
+    preds = TX.line_numbers(TX.read_class_predictions(spark, _prediction_text(spark, sf, "class")))
+    return D.by_class(preds).select("ordinal")
+
+
+def q_scan_score_text(spark, sf):
+    preds = TX.line_numbers(TX.read_score_predictions(spark, _prediction_text(spark, sf, "score")))
+    return D.by_score(preds).select("ordinal", "score")
+
+
+def q_submission_text(spark, sf):
+    """From prediction text to the submission file, read back as text."""
+    out = scratch_path(spark, "submission")
+    submission_job(spark, _prediction_text(spark, sf, "score"), out, kind="score")
+    return spark.read.text(out).select(F.col("value").cast("long").alias("ordinal"))
+
+
 def q_flagged_count(spark, sf):
     return D.flagged_count(D.by_score(E.predictions(spark, sf)))
 
@@ -270,17 +328,17 @@ def q_submission_ordinal(spark, sf):
 
 
 def q_join_predictions(spark, sf):
-    ev = E.table(spark, sf, "events")
-    preds = D.user_scores(ev)
-    tr = ev.groupBy(F.col("user_id").alias("traj_id")).agg(F.count(F.lit(1)).alias("point_count"))
-    return settled(D.join_predictions(preds, tr))
+    preds = D.user_scores(E.table(spark, sf, "events"))
+    return settled(D.join_predictions(preds, q_point_count(spark, sf)))
 
 
 # ---------------------------------------------------------------- evaluation / model
 
 def q_class_weights(spark, sf):
-    fm = FT.feature_matrix(trajs(spark, sf))
-    return settled(EV.class_weights(fm.select("traj_id", F.col("label").cast("double").alias("label"))))
+    users = E.events(spark, sf).select("user_id").distinct()
+    labels = users.select(F.col("user_id").alias("traj_id"), *E.target_cols(F.col("user_id"))).select(
+        "traj_id", F.col("label").cast("double").alias("label"))
+    return EV.class_weights(labels)
 
 
 def q_eval_auc(spark, sf):
@@ -291,20 +349,28 @@ def q_eval_logloss(spark, sf):
     return settled(EV.logloss(E.predictions(spark, sf), score="score", label="truth"))
 
 
+#: Points from which on a trajectory of the training fixture has label 1.
+LABEL_POINTS = 14
+
+
+def _learnable(spark, sf) -> DataFrame:
+    """Features with a label that one feature decides: every class is known beforehand."""
+    fm = FT.feature_matrix(trajs(spark, sf), with_speed_median=True)
+    return fm.withColumn("label", (F.col("point_count") >= LABEL_POINTS).cast("int").cast("string"))
+
+
 def q_gbt_train_predict(spark, sf):
     from ..operators import model as M
-    fm = FT.feature_matrix(trajs(spark, sf), with_speed_median=True)
-    return M.train_predict(fm)
+    return M.train_predict(_learnable(spark, sf), rounds=3).select("traj_id", "prediction")
 
 
 def q_feature_importance(spark, sf):
     from ..operators import model as M
-    fm = FT.feature_matrix(trajs(spark, sf), with_speed_median=True)
-    return M.feature_importance(fm)
+    return settled(M.feature_importance(_learnable(spark, sf), rounds=3))
 
 
-SERIES_KEYS = ["time_delta", "log_speed", "log_accel", "log_angle", "log_speed_diff",
-               "log_accel_diff", "log_angle_diff", "aim_distance_diff"]
+SERIES_KEYS = ["step_distance_x", "time_delta", "log_speed", "log_accel", "log_angle", "log_speed_diff",
+               "log_accel_diff", "log_angle_diff"]
 STATS_KEYS = ["x", "y", "t", "time_delta", "log_speed", "log_accel", "log_angle", "aim_distance",
               "log_speed_diff", "log_accel_diff", "log_angle_diff", "aim_distance_diff"]
 
@@ -315,15 +381,17 @@ def queries() -> dict:
         "parse_unlabelled": q_parse_unlabelled,
         "parse_points": q_parse_points,
         "parse_quarantine": q_parse_quarantine,
+        "scan_labelled_text": _scan_text(True),
+        "scan_unlabelled_text": _scan_text(False),
         "explode_points": q_explode_points,
         "np_log1p": q_np_log1p,
         "nan_to_num": q_nan_to_num,
         "series_diff": q_series_diff,
-        "step_distance_x": q_step_distance_x,
     }
     for k in SERIES_KEYS:
         q[k] = _series_key(k)
-    q["aim_distance_compat"] = _series_key("aim_distance")
+    q["aim_distance_diff"] = q_aim_distance_diff
+    q["aim_distance_compat"] = q_aim_distance_compat
     q["aim_distance"] = q_aim_distance
     q["head_mid_tail"] = q_head_mid_tail
     q["linear_speed_accel"] = q_linear_speed_accel
@@ -348,6 +416,9 @@ def queries() -> dict:
         "traj_preview": q_traj_preview,
         "decide_by_class": q_decide_by_class,
         "decide_by_score": q_decide_by_score,
+        "scan_class_text": q_scan_class_text,
+        "scan_score_text": q_scan_score_text,
+        "submission_text": q_submission_text,
         "flagged_count": q_flagged_count,
         "submission_ordinal": q_submission_ordinal,
         "join_predictions": q_join_predictions,

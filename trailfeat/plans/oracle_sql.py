@@ -1,18 +1,47 @@
 """DuckDB SQL twins of the registered queries (the correctness oracle).
 
-Written independently of the Spark code: plain ``PARTITION BY`` windows,
-``lag`` and grouped aggregates over the driver's ``events`` view, with the
-short-trajectory rules spelled out as extra ``UNION ALL`` rows. Doubles go
-through ``settle_sql`` exactly like the Spark side goes through ``settle``.
+Plain ``PARTITION BY`` windows, ``lag`` and grouped aggregates over the driver's
+``events`` view, with the short-trajectory rules spelled out as extra ``UNION
+ALL`` rows. Fixed values (feature order, guard, constants, the rounding grid) are
+written out here again and not taken from the engine's modules.
 """
 
 from __future__ import annotations
 
-from ..functions.mathx import MAX_DOUBLE, settle_sql
-from ..operators.features import FEATURES, GUARDED_FROM
-
-SEG = 32
 STATS = ("first", "last", "std", "mean", "median", "max", "min")
+# The feature order of the reference's output rows (70 columns).
+FEATURE_ORDER = """
+point_count backtrack_count
+x_first x_mean x_median x_std x_max x_min x_last
+y_first y_mean y_median y_std y_max y_min y_last
+t_first t_mean t_median t_std t_max t_min t_last
+time_delta_first time_delta_mean time_delta_median time_delta_std time_delta_max time_delta_min time_delta_last
+final_dis final_dx final_dy
+log_speed_mean log_speed_mean_dup log_speed_max log_speed_min
+log_accel_mean log_accel_median log_accel_max log_accel_min
+log_angle_mean log_angle_median log_angle_max log_angle_min
+aim_distance_first aim_distance_last aim_distance_mean aim_distance_median aim_distance_max aim_distance_min
+log_speed_diff_mean log_speed_diff_median log_speed_diff_max log_speed_diff_min
+log_accel_diff_mean log_accel_diff_median log_accel_diff_max log_accel_diff_min
+log_angle_diff_mean log_angle_diff_median log_angle_diff_max log_angle_diff_min
+aim_distance_diff_first aim_distance_diff_last aim_distance_diff_mean
+aim_distance_diff_median aim_distance_diff_max aim_distance_diff_min
+aim_angle
+""".split()
+RAW_FEATURES = 33            # the first 33 columns are emitted as they are, the others after nan_to_num
+EXACT = {f"{v}_{k}" for v in ("x", "y", "t", "time_delta") for k in ("first", "last", "max", "min")} | {"final_dx", "final_dy"}
+
+
+def settle(e: str) -> str:
+    """Half away from zero on a grid of 2^-20 below 1e6 and 2^-10 below 2^42; other values as they are."""
+    e = f"CAST(({e}) AS DOUBLE)"
+
+    def half(scale: int) -> str:
+        a = f"(CAST(floor(abs({e}) * {scale}.0::DOUBLE + 0.5) AS DOUBLE) / {scale}.0::DOUBLE)"
+        return f"(CASE WHEN {e} < 0 THEN -{a} ELSE {a} END)"
+    r = (f"(CASE WHEN {e} IS NULL OR isnan({e}) OR isinf({e}) OR abs({e}) >= 4398046511104.0 THEN {e} "
+         f"WHEN abs({e}) < 1e6 THEN {half(1048576)} ELSE {half(1024)} END)")
+    return f"(CASE WHEN {r} = 0 THEN 0.0 ELSE {r} END)"
 
 
 def L(e: str) -> str:
@@ -27,12 +56,17 @@ def G(e: str) -> str:
 
 
 def N2N(e: str) -> str:
-    return (f"(CASE WHEN isnan({e}) THEN 0.0 WHEN ({e}) = 'inf'::DOUBLE THEN {MAX_DOUBLE!r} "
-            f"WHEN ({e}) = '-inf'::DOUBLE THEN -{MAX_DOUBLE!r} ELSE ({e}) END)")
+    return (f"(CASE WHEN isnan({e}) THEN 0.0 WHEN ({e}) = 'inf'::DOUBLE THEN 1.7976931348623157e308 "
+            f"WHEN ({e}) = '-inf'::DOUBLE THEN -1.7976931348623157e308 ELSE ({e}) END)")
 
 
 def D(e: str, alias: str) -> str:
-    return f"{settle_sql(e)} AS {alias}"
+    return f"{settle(e)} AS {alias}"
+
+
+def X(e: str, alias: str) -> str:
+    """An exact double."""
+    return f"CAST({e} AS DOUBLE) AS {alias}"
 
 
 def I(e: str, alias: str) -> str:
@@ -43,11 +77,11 @@ EV = ("ev AS (SELECT event_id, ts, user_id, value, "
       "CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)")
 
 VIEW = {
-    "A": ("pv AS (SELECT user_id AS uid, event_id, row_number() OVER w - 1 AS upos, "
+    "A": ("pv AS (SELECT user_id AS uid, ts, row_number() OVER w - 1 AS upos, "
           "value AS x, CAST(k AS DOUBLE) AS y, "
           "CAST((epoch_us(ts) - epoch_us(first_value(ts) OVER w)) // 1000 AS DOUBLE) AS t "
           "FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))"),
-    "B": ("pv AS (SELECT user_id AS uid, event_id, row_number() OVER w - 1 AS upos, "
+    "B": ("pv AS (SELECT user_id AS uid, ts, row_number() OVER w - 1 AS upos, "
           "CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER w AS DOUBLE) / 100 AS x, "
           "CAST(sum(k) OVER w AS DOUBLE) AS y, CAST(sum(event_id % 3) OVER w AS DOUBLE) AS t "
           "FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id "
@@ -58,10 +92,11 @@ TARGET = ("CAST((uid * 7) % 500 AS DOUBLE) AS ax, CAST((uid * 3) % 100 AS DOUBLE
           "CAST(uid % 2 AS VARCHAR) AS label")
 
 
-def points_cte(view: str = "B", segmented: bool = True) -> str:
-    if segmented:
-        tid = f"CAST(uid AS VARCHAR) || '-' || CAST(upos // {SEG} AS VARCHAR)"
-        pos = f"upos % {SEG}"
+def points_cte(view: str = "B", weekly: bool = False) -> str:
+    """Whole users, or (the text form) a user's points of one calendar week."""
+    if weekly:
+        tid = "CAST(uid AS VARCHAR) || '-' || strftime(date_trunc('week', ts), '%Y%m%d')"
+        pos = "row_number() OVER (PARTITION BY uid, date_trunc('week', ts) ORDER BY upos) - 1"
     else:
         tid, pos = "uid", "upos"
     return (f"{EV}, {VIEW[view]}, "
@@ -127,18 +162,18 @@ sst AS (SELECT traj_id, sid, arg_min(v, i) AS "first", arg_max(v, i) AS "last",
 """
 
 
-def base(view: str = "B", segmented: bool = True) -> str:
-    return f"WITH {points_cte(view, segmented)}, {SERIES_CTE}"
+def base(view: str = "B", weekly: bool = False) -> str:
+    return f"WITH {points_cte(view, weekly)}, {SERIES_CTE}"
 
 
-def series_sql(sid: str, view="B") -> str:
-    return (f"{base(view)} SELECT traj_id, {I('i', 'i')}, {D('v', 'v')} "
-            f"FROM ser WHERE sid = '{sid}'")
+def series_sql(sid: str, view="B", exact=False) -> str:
+    return f"{base(view)} SELECT traj_id, {I('i', 'i')}, {(X if exact else D)('v', 'v')} FROM ser WHERE sid = '{sid}'"
 
 
-def stats_sql(sid: str, view="B", segmented=True) -> str:
-    cols = ", ".join(D(f'"{k}"', k) for k in STATS)
-    return f"{base(view, segmented)} SELECT traj_id, {cols} FROM sst WHERE sid = '{sid}'"
+def stats_sql(sid: str, view="B") -> str:
+    exact = sid in ("x", "y", "t", "time_delta")
+    cols = ", ".join((X if exact and k in ("first", "last", "max", "min") else D)(f'"{k}"', k) for k in STATS)
+    return f"{base(view)} SELECT traj_id, {cols} FROM sst WHERE sid = '{sid}'"
 
 
 def _feature_exprs() -> list[tuple[str, str]]:
@@ -150,11 +185,11 @@ def _feature_exprs() -> list[tuple[str, str]]:
         "aim_angle": f"{L('y0 - ay')} - {L('x0 - ax')}",
         "log_speed_mean_dup": "log_speed_mean",
     }
-    for i, f in enumerate(FEATURES):
+    for i, f in enumerate(FEATURE_ORDER):
         if f in ("point_count", "backtrack_count"):
             continue
         e = special.get(f, f)
-        out.append((N2N(e) if i >= GUARDED_FROM else e, f))
+        out.append((N2N(e) if i >= RAW_FEATURES else e, f))
     return out
 
 
@@ -165,13 +200,26 @@ def _pivot_cols() -> str:
                      for s in sids for k in STATS)
 
 
-def feature_sql(view="B", segmented=True, labelled=True) -> str:
-    cols = ", ".join(D(e, a) for e, a in _feature_exprs())
+def _features(view: str, weekly: bool) -> str:
+    return (f"{base(view, weekly)}, pv2 AS (SELECT traj_id, {_pivot_cols()} FROM sst "
+            f"GROUP BY traj_id), fx AS (SELECT * FROM ad JOIN pv2 USING (traj_id))")
+
+
+def feature_sql(view="B", weekly=False, labelled=True, speed_median=False) -> str:
+    cols = ", ".join((X if a in EXACT else D)(e, a) for e, a in _feature_exprs())
+    more = f", {D(N2N('log_speed_median'), 'log_speed_median')}" if speed_median else ""
     lab = ", label" if labelled else ""
-    return (f"{base(view, segmented)}, pv2 AS (SELECT traj_id, {_pivot_cols()} FROM sst "
-            f"GROUP BY traj_id), fx AS (SELECT * FROM ad JOIN pv2 USING (traj_id)) "
-            f"SELECT traj_id, {I('n', 'point_count')}, {I('backs', 'backtrack_count')}, "
-            f"{cols}{lab} FROM fx")
+    return (f"{_features(view, weekly)} SELECT traj_id, {I('n', 'point_count')}, {I('backs', 'backtrack_count')}, "
+            f"{cols}{more}{lab} FROM fx")
+
+
+def feature_text_sql() -> str:
+    """The text export as (trajectory, position, number): NaN is written as 0, the label comes last."""
+    values = ["n", "backs", *[e for e, _ in _feature_exprs()], "CAST(label AS DOUBLE)"]
+    listed = ", ".join(f"CAST({v} AS DOUBLE)" for v in values)
+    return (f"{_features('B', True)}, long AS (SELECT traj_id, unnest([{listed}]) AS v, "
+            f"generate_subscripts([{listed}], 1) - 1 AS position FROM fx) "
+            f"SELECT traj_id, {I('position', 'position')}, {D('CASE WHEN isnan(v) THEN 0.0 ELSE v END', 'value')} FROM long")
 
 
 PRED = ("pr AS (SELECT event_id AS traj_id, round(least(1.0, value / 100.0), 4) AS score, "
@@ -181,42 +229,43 @@ PRED = ("pr AS (SELECT event_id AS traj_id, round(least(1.0, value / 100.0), 4)
 
 def oracle_sql() -> dict[str, str]:
     b = base()
+    week = points_cte(weekly=True)
     q = {}
-    q["parse_labelled"] = (f"WITH {points_cte()} SELECT traj_id, {I('pos', 'pos')}, {D('x', 'x')}, "
-                           f"{D('y', 'y')}, {D('t', 't')}, {D('ax', 'ax')}, {D('ay', 'ay')}, label FROM pts")
-    q["parse_unlabelled"] = (f"WITH {points_cte()} SELECT traj_id, {I('pos', 'pos')}, {D('x', 'x')}, "
-                             f"{D('y', 'y')}, {D('t', 't')}, {D('ax', 'ax')}, {D('ay', 'ay')} FROM pts")
-    q["parse_points"] = (f"WITH {points_cte('A')} SELECT traj_id, {I('pos', 'pos')}, {D('x', 'x')}, "
-                         f"{D('y', 'y')}, {D('t', 't')} FROM pts")
-    q["parse_quarantine"] = (f"WITH {points_cte()} SELECT DISTINCT traj_id, CASE WHEN uid % 10 = 0 "
-                             f"AND upos_seg = 0 THEN 'bad_point' END AS reason FROM "
-                             f"(SELECT traj_id, uid, CAST(split_part(traj_id, '-', 2) AS BIGINT) AS upos_seg FROM pts)")
-    q["explode_points"] = q["parse_points"].replace(points_cte("A"), points_cte("B"))
+    xyt = f"{X('x', 'x')}, {X('y', 'y')}, {X('t', 't')}"
+    aim = f"{X('ax', 'ax')}, {X('ay', 'ay')}"
+    q["parse_labelled"] = f"WITH {week} SELECT traj_id, {I('pos', 'pos')}, {xyt}, {aim}, label FROM pts"
+    q["parse_unlabelled"] = f"WITH {week} SELECT traj_id, {I('pos', 'pos')}, {xyt}, {aim} FROM pts"
+    q["scan_labelled_text"], q["scan_unlabelled_text"] = q["parse_labelled"], q["parse_unlabelled"]
+    q["parse_points"] = f"WITH {points_cte('A', True)} SELECT traj_id, {I('pos', 'pos')}, {xyt} FROM pts"
+    q["explode_points"] = f"WITH {week} SELECT traj_id, {I('pos', 'pos')}, {xyt} FROM pts"
+    q["parse_quarantine"] = (f"WITH {week} SELECT traj_id, CASE WHEN count(*) = 13 THEN 'bad_point' END AS reason "
+                             f"FROM pts GROUP BY traj_id")
     arg = "(value - 50.0) / 25.0"
-    q["np_log1p"] = (f"SELECT {I('event_id', 'event_id')}, {D(arg, 'arg')}, {D(L(arg), 'log1p')} FROM events")
+    q["np_log1p"] = (f"SELECT {I('event_id', 'event_id')}, {X(arg, 'arg')}, {D(L(arg), 'log1p')} FROM events")
     raw = f"({L(arg)} - {L(f'({arg}) * -1.0')})"
     q["nan_to_num"] = f"SELECT {I('event_id', 'event_id')}, {D(raw, 'raw')}, {D(N2N(raw), 'clean')} FROM events"
-    q["series_diff"] = (f"{b} SELECT a.traj_id, {I('a.i', 'i')}, {D('a.v', 'dx')}, {D('b.v', 'dy')} "
+    q["series_diff"] = (f"{b} SELECT a.traj_id, {I('a.i', 'i')}, {X('a.v', 'dx')}, {X('b.v', 'dy')} "
                         f"FROM ser a JOIN ser b ON a.traj_id = b.traj_id AND a.i = b.i "
                         f"AND a.sid = 'dx' AND b.sid = 'dy'")
-    q["step_distance_x"] = series_sql("step_distance_x")
-    for k in ["time_delta", "log_speed", "log_accel", "log_angle", "log_speed_diff",
+    for k in ["step_distance_x", "time_delta"]:
+        q[k] = series_sql(k, exact=True)
+    for k in ["log_speed", "log_accel", "log_angle", "log_speed_diff",
               "log_accel_diff", "log_angle_diff", "aim_distance_diff"]:
         q[k] = series_sql(k)
     q["aim_distance_compat"] = series_sql("aim_distance")
     q["aim_distance"] = (f"{b} SELECT traj_id, {I('pos', 'i')}, "
                          f"{D('sqrt((x - ax) * (x - ax) + (y - ay) * (y - ay))', 'v')} FROM s5")
-    # head / mid / tail of log_speed after nan_to_num; <= 3 values repeat 6 times
+    # head / mid / tail of six series after nan_to_num; <= 3 values repeat 6 times
     q["head_mid_tail"] = (
-        f"{b}, ls AS (SELECT traj_id, i, {N2N('v')} AS v, count(*) OVER (PARTITION BY traj_id) AS m "
-        f"FROM ser WHERE sid = 'log_speed'), "
+        f"{b}, ls AS (SELECT traj_id, sid AS series, i, {N2N('v')} AS v, count(*) OVER (PARTITION BY traj_id, sid) AS m "
+        f"FROM ser WHERE sid IN ('log_speed', 'log_accel', 'log_angle', 'log_speed_diff', 'log_accel_diff', 'log_angle_diff')), "
         f"rr AS (SELECT *, unnest(CASE WHEN m <= 3 THEN range(6) ELSE [0] END) AS r FROM ls), "
-        f"rep AS (SELECT traj_id, CASE WHEN m <= 3 THEN r * m + i ELSE i END AS j, v, "
+        f"rep AS (SELECT traj_id, series, CASE WHEN m <= 3 THEN r * m + i ELSE i END AS j, v, "
         f"CASE WHEN m <= 3 THEN 6 * m ELSE m END AS len FROM rr), "
-        f"parts AS (SELECT traj_id, 'head' AS part, j AS i, v FROM rep WHERE j < 3 "
-        f"UNION ALL SELECT traj_id, 'mid', j - (len // 2 - 2), v FROM rep WHERE j >= len // 2 - 2 AND j < len // 2 + 1 "
-        f"UNION ALL SELECT traj_id, 'tail', j - (len - 3), v FROM rep WHERE j >= len - 3) "
-        f"SELECT traj_id, part, {I('i', 'i')}, {D('v', 'v')} FROM parts")
+        f"parts AS (SELECT traj_id, series, 'head' AS part, j AS i, v FROM rep WHERE j < 3 "
+        f"UNION ALL SELECT traj_id, series, 'mid', j - (len // 2 - 2), v FROM rep WHERE j >= len // 2 - 2 AND j < len // 2 + 1 "
+        f"UNION ALL SELECT traj_id, series, 'tail', j - (len - 3), v FROM rep WHERE j >= len - 3) "
+        f"SELECT traj_id, series, part, {I('i', 'i')}, {D('v', 'v')} FROM parts")
     # linear forms: dx / dt and diff(dx) / guard(diff(dt)), zip-truncated
     q["linear_speed_accel"] = (
         f"{b}, dxs AS (SELECT traj_id, i, v FROM ser WHERE sid = 'dx'), "
@@ -236,30 +285,35 @@ def oracle_sql() -> dict[str, str]:
               "log_speed_diff", "log_accel_diff", "log_angle_diff", "aim_distance_diff"]:
         q[f"stats_{k}"] = stats_sql(k)
     q["point_count"] = f"{b} SELECT traj_id, {I('n', 'point_count')} FROM tr"
-    q["backtrack_count"] = f"{b} SELECT traj_id, {I('backs', 'backtrack_count')} FROM tr"
+    q["backtrack_count"] = f"{base('A')} SELECT traj_id, {I('backs', 'backtrack_count')} FROM tr"
     cont = ", ".join(
         D(f"CASE WHEN n > 1 THEN sum(abs(d{c})) / n ELSE 0.0 END", f"c{c}") for c in "xyt")
     q["continuity"] = (f"{b}, dd AS (SELECT traj_id, n, x - x1 AS dx, y - y1 AS dy, t - t1 AS dt "
                        f"FROM s5) SELECT traj_id, {cont} FROM dd GROUP BY traj_id, n")
     q["final_offset"] = (f"{b} SELECT traj_id, {D('sqrt((xl - ax) * (xl - ax) + (yl - ay) * (yl - ay))', 'dis')}, "
-                         f"{D('xl - ax', 'dx')}, {D('yl - ay', 'dy')} FROM tr")
-    q["net_displacement"] = (f"{b} SELECT traj_id, {D('xl - x0', 'dx')}, {D('yl - y0', 'dy')}, "
-                             f"{D('abs(tl - t0)', 'dt')} FROM tr")
+                         f"{X('xl - ax', 'dx')}, {X('yl - ay', 'dy')} FROM tr")
+    q["net_displacement"] = (f"{b} SELECT traj_id, {X('xl - x0', 'dx')}, {X('yl - y0', 'dy')}, "
+                             f"{X('abs(tl - t0)', 'dt')} FROM tr")
     q["aim_angle"] = f"{b} SELECT traj_id, {D(L('y0 - ay') + ' - ' + L('x0 - ax'), 'aim_angle')} FROM tr"
-    q["traj_count"] = f"WITH {points_cte()} SELECT CAST(count(DISTINCT traj_id) AS BIGINT) AS traj_count FROM pts"
-    q["feature_matrix_train"] = feature_sql()
-    q["feature_matrix_test"] = feature_sql(labelled=False)
-    bA = base("A", segmented=False)
+    q["traj_count"] = "SELECT CAST(count(DISTINCT user_id) AS BIGINT) AS traj_count FROM events"
+    q["feature_matrix_train"] = feature_sql(weekly=True)
+    q["feature_matrix_test"] = feature_sql(weekly=True, labelled=False)
+    q["feature_text_export"] = feature_text_sql()
+    bA = base("A")
     q["series_diff_long"] = (f"{bA} SELECT CAST(traj_id AS BIGINT) AS traj_id, {I('pos', 'pos')}, "
-                             f"{D('dx', 'dx')}, {D('dy', 'dy')}, {D('dt', 'time_delta')} FROM s5")
+                             f"{X('dx', 'dx')}, {X('dy', 'dy')}, {X('dt', 'time_delta')} FROM s5")
     q["first_last_long"] = (f"{bA} SELECT CAST(traj_id AS BIGINT) AS traj_id, {I('n', 'point_count')}, "
-                            f"{D('x0', 'x_first')}, {D('xl', 'x_last')}, {D('y0', 'y_first')}, "
-                            f"{D('yl', 'y_last')}, {D('t0', 't_first')}, {D('tl', 't_last')} FROM tr")
-    q["feature_matrix_long"] = feature_sql("B", segmented=False)
-    q["feature_matrix_long_raw"] = feature_sql("A", segmented=False)
-    q["stats_long_log_angle"] = stats_sql("log_angle", "A", segmented=False)
+                            f"{X('x0', 'x_first')}, {X('xl', 'x_last')}, {X('y0', 'y_first')}, "
+                            f"{X('yl', 'y_last')}, {X('t0', 't_first')}, {X('tl', 't_last')} FROM tr")
+    q["feature_matrix_long"] = feature_sql("B", speed_median=True)
+    q["feature_matrix_long_raw"] = feature_sql("A", speed_median=True)
+    q["stats_long_log_angle"] = stats_sql("log_angle", "A")
     q["traj_preview"] = (f"WITH {points_cte()} SELECT traj_id, CAST(count(*) AS BIGINT) AS point_count "
                          f"FROM pts GROUP BY traj_id ORDER BY traj_id LIMIT 10")
+    numbered = f"WITH {PRED}, o AS (SELECT *, row_number() OVER (ORDER BY traj_id) AS ordinal FROM pr)"
+    q["scan_class_text"] = f"{numbered} SELECT {I('ordinal', 'ordinal')} FROM o WHERE label = '0.0'"
+    q["scan_score_text"] = f"{numbered} SELECT {I('ordinal', 'ordinal')}, score FROM o WHERE score < 0.97"
+    q["submission_text"] = f"{numbered} SELECT {I('ordinal', 'ordinal')} FROM o WHERE score < 0.97"
     q["decide_by_class"] = f"WITH {PRED} SELECT traj_id FROM pr WHERE label = '0.0'"
     q["decide_by_score"] = f"WITH {PRED} SELECT traj_id FROM pr WHERE score < 0.97"
     q["flagged_count"] = f"WITH {PRED} SELECT CAST(count(*) AS BIGINT) AS flagged FROM pr WHERE score < 0.97"
@@ -270,9 +324,14 @@ def oracle_sql() -> dict[str, str]:
         "/ count(*)) / 10000.0) AS score FROM events GROUP BY user_id), uc AS (SELECT user_id AS traj_id, count(*) AS point_count "
         "FROM events GROUP BY user_id) "
         f"SELECT traj_id, {D('score', 'score')}, {I('point_count', 'point_count')}, "
-        "score < 0.97 AS flagged FROM us JOIN uc USING (traj_id)")
-    q["class_weights"] = (f"{b} SELECT traj_id, {D('CAST(label AS DOUBLE)', 'label')}, "
-                          f"{D('CASE WHEN CAST(label AS DOUBLE) = 1 THEN 10.0 ELSE 1.0 END', 'weight')} FROM tr")
+        "score < 0.97 AS flagged, 'both' AS matched FROM us JOIN uc USING (traj_id)")
+    q["class_weights"] = ("SELECT DISTINCT user_id AS traj_id, CAST(user_id % 2 AS DOUBLE) AS label, "
+                          "CASE WHEN user_id % 2 = 1 THEN 10.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM events")
+    q["gbt_train_predict"] = (f"WITH {week} SELECT traj_id, CASE WHEN count(*) >= 14 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END "
+                              "AS prediction FROM pts GROUP BY traj_id")
+    names = [f for f in FEATURE_ORDER if f != "log_speed_mean_dup"] + ["log_speed_median"]
+    q["feature_importance"] = (f"SELECT feature, CASE WHEN feature = 'point_count' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END "
+                               f"AS importance FROM (SELECT unnest({names}) AS feature)")
     q["eval_auc"] = (
         f"WITH {PRED}, g AS (SELECT score, sum(CASE WHEN truth = 1 THEN 1 ELSE 0 END) AS p, count(*) AS c "
         "FROM pr GROUP BY score), r AS (SELECT *, sum(c) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED "

@@ -3,11 +3,10 @@ shared folder used to materialise intermediate tables."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -33,34 +32,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` (or a checkpoint dir already set on the
-    context). Only a local-mode session without either gets a fresh temporary
-    folder; on a cluster the setting is required, because a machine-local
-    folder would not survive the loss of the executor that wrote it.
+    This is ``spark.checkpoint.dir`` (or a checkpoint dir already set on the
+    context). Only where neither is set, as in tests, a fresh temporary folder is
+    set; on a cluster that is refused, because a machine-local folder would not
+    survive the loss of the executor that wrote it.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if not sc.master.split("[")[0] == "local":  # every task runs in this very process
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         d = tempfile.mkdtemp(prefix="trailfeat-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # noqa: BLE001 - some deployments reject core confs at runtime
-            pass
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
-    return d
+    return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
-
-    Cuts the lineage (a lost executor only costs re-reading the files) and
-    freezes values that depend on physical placement, such as
-    ``spark_partition_id()``. Parquet keeps later scans column-pruned.
-    """
-    spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), f"trailfeat-{name}-{uuid.uuid4().hex}")
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for a table under the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/trailfeat-{name}-{uuid.uuid4().hex}"

@@ -16,6 +16,10 @@ Every view is built with the skew-safe ordered scan of
 spread over many tasks. The lag columns of view B come from the same single
 pass: the sum up to the previous row is the running sum minus the row's own
 increment.
+
+The text form holds a whole trajectory in one line, as the reference's input
+does. There a trajectory is what a user did in one calendar unit (a week unless
+given), a boundary that lies in the data; no point is left out.
 """
 
 from __future__ import annotations
@@ -27,16 +31,16 @@ from ..operators.parse import format_points
 from ..plans.sequence import sequence
 
 ORDER = ["ts", "event_id"]
-# Text trajectories are cut into consecutive segments of this many points,
-# so a text line (an array row) stays bounded however many events a user has.
-SEGMENT_POINTS = 32
+#: Calendar unit that bounds a trajectory of the text form (``week``, ``month``, ``year``).
+TEXT_UNIT = "week"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _events(spark, sf_dir) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_id, ts, user_id, value, k`` (k from the JSON properties)."""
     return table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "value",
         F.get_json_object("props", "$.k").cast("long").alias("k"))
@@ -48,25 +52,31 @@ def target_cols(user: Column) -> list[Column]:
             (user % 2).cast("string").alias("label")]
 
 
+def whole_ms(start: str, end: str) -> Column:
+    """Whole milliseconds between two timestamps."""
+    return F.expr(f"timestampdiff(MICROSECOND, {start}, {end}) div 1000").cast("double")
+
+
 def lagged_points(spark: SparkSession, sf_dir: str, view: str = "B",
-                  lags: int = 2) -> DataFrame:
-    """``traj_id, event_id, pos, x, y, t, x_lag1.., y_lag.., t_lag.., ax, ay, label``.
+                  lags: int = 2, with_count: bool = False, users: DataFrame | None = None) -> DataFrame:
+    """``traj_id, event_id, ts, pos, x, y, t, x_lag1.., y_lag.., t_lag.., ax, ay, label[, n]``.
 
     One row per event; ``*_lagj`` is NULL when the point has no j-th
-    predecessor. ``traj_id`` is the user id.
+    predecessor. ``traj_id`` is the user id; ``n`` the trajectory's points. ``users``
+    (a few ``traj_id``) restricts the users before anything else is done.
     """
-    ev = _events(spark, sf_dir)
+    ev = events(spark, sf_dir)
+    if users is not None:
+        ev = ev.join(F.broadcast(users.select(F.col("traj_id").alias("user_id"))), "user_id", "left_semi")
     u = F.col("user_id")
     if view == "A":
         s = sequence(ev, ["user_id"], ORDER, lag_cols=["value", "k", "ts"], lags=lags,
-                     first_cols=["ts"], name="viewA")
-        def ms(c):
-            return F.expr(f"timestampdiff(MICROSECOND, ts_first, {c}) div 1000").cast("double")
-        cols = [F.col("value").alias("x"), F.col("k").cast("double").alias("y"), ms("ts").alias("t")]
+                     first_cols=["ts"], with_count=with_count)
+        cols = [F.col("value").alias("x"), F.col("k").cast("double").alias("y"), whole_ms("ts_first", "ts").alias("t")]
         for j in range(1, lags + 1):
             cols += [F.col(f"value_lag{j}").alias(f"x_lag{j}"),
                      F.col(f"k_lag{j}").cast("double").alias(f"y_lag{j}"),
-                     ms(f"ts_lag{j}").alias(f"t_lag{j}")]
+                     whole_ms("ts_first", f"ts_lag{j}").alias(f"t_lag{j}")]
     elif view == "B":
         inc = ev.select("event_id", "ts", "user_id",
                         F.round(F.col("value") * 100).cast("long").alias("xi"),
@@ -75,7 +85,7 @@ def lagged_points(spark: SparkSession, sf_dir: str, view: str = "B",
         # scan only needs increment lags up to j - 1
         s = sequence(inc, ["user_id"], ORDER,
                      lag_cols=["xi", "yi", "ti"] if lags >= 2 else [], lags=lags - 1,
-                     sum_cols=["xi", "yi", "ti"], name="viewB")
+                     sum_cols=["xi", "yi", "ti"], with_count=with_count)
         scale = {"x": 100.0, "y": 1.0, "t": 1.0}
         cols = []
         for a, i in (("x", "xi"), ("y", "yi"), ("t", "ti")):
@@ -88,7 +98,8 @@ def lagged_points(spark: SparkSession, sf_dir: str, view: str = "B",
                 cols.append(F.when(F.col("pos") >= j, back / scale[a]).alias(f"{a}_lag{j}"))
     else:
         raise ValueError(f"unknown view {view!r}")
-    return s.select(u.alias("traj_id"), "event_id", "pos", *cols, *target_cols(u))
+    return s.select(u.alias("traj_id"), "event_id", "ts", "pos", *cols, *target_cols(u),
+                    *([F.col("seq_n").alias("n")] if with_count else []))
 
 
 def points(spark: SparkSession, sf_dir: str, view: str = "B") -> DataFrame:
@@ -96,19 +107,17 @@ def points(spark: SparkSession, sf_dir: str, view: str = "B") -> DataFrame:
     return lagged_points(spark, sf_dir, view, lags=1).select("traj_id", "pos", "x", "y", "t")
 
 
-def segment_trajectories(spark: SparkSession, sf_dir: str, view: str = "B",
-                         seg: int = SEGMENT_POINTS) -> DataFrame:
-    """Array-form trajectories: consecutive runs of ``seg`` points of a user.
+def calendar_trajectories(spark: SparkSession, sf_dir: str, view: str = "B", unit: str = TEXT_UNIT) -> DataFrame:
+    """Array-form trajectories ``traj_id, points, aim, label``: a user's points of one calendar unit.
 
-    ``traj_id = '<user>-<segment>'``; each group holds at most ``seg`` rows,
-    so collecting it into an array is bounded.
+    ``traj_id = '<user>-<first day of the unit as yyyymmdd>'``.
     """
     p = lagged_points(spark, sf_dir, view, lags=1)
-    g = p.select(F.concat_ws("-", F.col("traj_id").cast("string"),
-                             F.floor(F.col("pos") / seg).cast("string")).alias("traj_id"),
-                 (F.col("pos") % seg).alias("spos"), "x", "y", "t", "ax", "ay", "label")
+    day = F.translate(F.trunc(F.to_date("ts"), unit).cast("string"), "-", "")
+    g = p.select(F.concat_ws("-", F.col("traj_id").cast("string"), day).alias("traj_id"),
+                 "pos", "x", "y", "t", "ax", "ay", "label")
     return (g.groupBy("traj_id")
-            .agg(F.array_sort(F.collect_list(F.struct("spos", "x", "y", "t"))).alias("_p"),
+            .agg(F.array_sort(F.collect_list(F.struct("pos", "x", "y", "t"))).alias("_p"),
                  F.first("ax").alias("ax"), F.first("ay").alias("ay"), F.first("label").alias("label"))
             .select("traj_id",
                     F.transform("_p", lambda q: F.struct(q["x"].alias("x"), q["y"].alias("y"),
@@ -118,22 +127,20 @@ def segment_trajectories(spark: SparkSession, sf_dir: str, view: str = "B",
 
 def trajectory_lines(spark: SparkSession, sf_dir: str, labelled: bool = True, view: str = "B",
                      corrupt: bool = False) -> DataFrame:
-    """Text lines ``id x,y,t;...; ax,ay [label]`` built from the segments.
+    """Text lines ``id x,y,t;...; ax,ay [label]`` of the calendar trajectories.
 
-    With ``corrupt`` the first y of each user's first segment is replaced by
-    the token ``a`` for users with ``user_id % 10 == 0`` (quarantine fixture).
+    With ``corrupt`` the first y of a trajectory with exactly 13 points is replaced
+    by the token ``a`` (quarantine fixture).
     """
-    tr = segment_trajectories(spark, sf_dir, view)
+    tr = calendar_trajectories(spark, sf_dir, view)
     body = format_points("points")
     if corrupt:
-        uid = F.split("traj_id", "-").getItem(0).cast("long")
-        sg = F.split("traj_id", "-").getItem(1)
         first = F.col("points")[0]
         bad_first = F.concat_ws(",", first["x"].cast("string"), F.lit("a"), first["t"].cast("string"))
         rest = F.slice("points", 2, F.greatest(F.size("points") - 1, F.lit(0)))
         bad_body = F.concat(bad_first, F.lit(";"),
                             F.when(F.size(rest) > 0, format_points(rest)).otherwise(F.lit("")))
-        body = F.when(((uid % 10) == 0) & (sg == "0"), bad_body).otherwise(body)
+        body = F.when(F.size("points") == 13, bad_body).otherwise(body)
     tgt = F.concat_ws(",", F.col("aim.ax").cast("string"), F.col("aim.ay").cast("string"))
     parts = [F.col("traj_id"), body, tgt] + ([F.col("label")] if labelled else [])
     return tr.select(F.concat_ws(" ", *parts).alias("value"))

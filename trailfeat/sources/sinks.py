@@ -14,18 +14,17 @@ def write_features(features: DataFrame, path: str, mode: str = "overwrite") -> N
 
 
 def write_feature_text(features: DataFrame, path: str, labelled: bool = True,
-                       mode: str = "overwrite") -> None:
+                       mode: str = "overwrite", with_id: bool = False) -> None:
     """Compatible sink: one space-joined line per trajectory (NaN -> ``0``)."""
-    feature_text(features, labelled).write.mode(mode).text(path)
+    feature_text(features, labelled, with_id).write.mode(mode).text(path)
 
 
 def write_submission(ids: DataFrame, path: str, col: str = "ordinal",
                      mode: str = "overwrite") -> None:
-    """One id per line."""
-    ids.select(F.col(col).cast("string").alias("value")).write.mode(mode).text(path)
+    """One id per line, ascending over the files in name order (a range sort)."""
+    ids.select(col).orderBy(col).select(F.col(col).cast("string").alias("value")).write.mode(mode).text(path)
 
 
-def write_quarantine(parsed: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_quarantine(bad: DataFrame, path: str, mode: str = "overwrite", columns=("traj_id", "reason")) -> None:
     """Bad records with their reason, as parquet."""
-    parsed.filter(F.col("reason").isNotNull()).select("traj_id", "reason") \
-        .write.mode(mode).parquet(path)
+    bad.filter(F.col("reason").isNotNull()).select(*columns).write.mode(mode).parquet(path)
