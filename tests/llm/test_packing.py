@@ -97,5 +97,7 @@ def test_odd_rows(odd, none):
     assert sorted(r["doc_tokens"] for r in rows if r["doc_id"] in (1, 2)) == [1, 1]
     assert sum(r["doc_id"] == 4 for r in rows) == 3 and sum(r["doc_id"] is None for r in rows) == 2
     assert P.pack_documents(none, path, 1).collect() == []
-    with_ids = P.pack_documents(odd.where("doc_id = 7"), path, 1, with_ids=True).collect()
+    with_ids = P.pack_documents(odd.where("doc_id = 7"), path, 1, id_bytes=4).collect()
     assert len(with_ids[0]["ids"]) == 4 * with_ids[0]["length"]
+    narrow = P.pack_documents(odd.where("doc_id = 7"), path, 1, id_bytes=2).collect()
+    assert np.frombuffer(narrow[0]["ids"], "<u2").tolist() == np.frombuffer(with_ids[0]["ids"], "<u4").tolist()

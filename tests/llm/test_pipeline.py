@@ -42,7 +42,7 @@ def test_stages_and_result(spark, tmp_path):
     for r in packed:
         rooms[r["sequence_id"]] = rooms.get(r["sequence_id"], 0) + r["length"]
     assert max(rooms.values()) <= 2048
-    ids = np.frombuffer(packed[0]["ids"], "<u4")
+    ids = np.frombuffer(packed[0]["ids"], "<u2")
     assert len(ids) == packed[0]["length"]
 
 

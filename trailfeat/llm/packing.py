@@ -105,8 +105,15 @@ def _pieces(tokenizer: str, end_id: int, window: int):
                         ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])
     end = np.uint32(end_id).astype("<u4").tobytes()
 
-    def run(batches: Iterator[pa.RecordBatch], with_ids: bool) -> Iterator[pa.RecordBatch]:
+    def kept(part: bytes, id_bytes: int) -> bytes | None:
+        if id_bytes in (0, 4):
+            return part if id_bytes else None
+        return np.frombuffer(part, "<u4").astype("<u2", casting="same_kind").tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch], id_bytes: int) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
+        if id_bytes == 2 and max(enc.tok.get_vocab_size(), end_id + 1) > 1 << 16:
+            raise ValueError("two bytes do not hold every id of this vocabulary")
         for whole in batches:
             for batch in slices(whole, 1):
                 rows = []
@@ -115,18 +122,23 @@ def _pieces(tokenizer: str, end_id: int, window: int):
                     total = len(ids) // 4
                     for start in range(0, total, window):
                         part = ids[4 * start:4 * (start + window)]
-                        rows.append((doc, start, len(part) // 4, zlib.crc32(part), total, part if with_ids else None))
+                        rows.append((doc, start, len(part) // 4, zlib.crc32(part), total, kept(part, id_bytes)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
     return run
 
 
 def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, id_col: str = "doc_id",
-                  text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """The pieces of every document: full windows, then the rest; ``ids`` holds their ids when asked for."""
+                  text_col: str = "text", id_bytes: int = 0) -> DataFrame:
+    """The pieces of every document: full windows, then the rest.
+
+    ``ids`` holds their ids, little-endian, in ``id_bytes`` (2 or 4) bytes each; 0 leaves it null.
+    """
+    if id_bytes not in (0, 2, 4):
+        raise ValueError("id_bytes must be 0, 2 or 4")
     run = _pieces(tokenizer, end_id, window)
     return map_arrow(docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")),
-                     lambda batches: run(batches, with_ids),
+                     lambda batches: run(batches, id_bytes),
                      "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
 
 
@@ -159,7 +171,7 @@ def pack_pieces(pieces: DataFrame, window: int = WINDOW, lane_rows: int = LANE_R
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, id_col: str = "doc_id",
-                   text_col: str = "text", with_ids: bool = False, lane_rows: int = LANE_ROWS) -> DataFrame:
+                   text_col: str = "text", id_bytes: int = 0, lane_rows: int = LANE_ROWS) -> DataFrame:
     """Every piece with its place: sequence, offset, and (when asked for) its ids."""
-    pieces = cut_documents(docs, tokenizer, end_id, window, id_col, text_col, with_ids)
-    return pack_pieces(pieces if with_ids else pieces.drop("ids"), window, lane_rows)
+    pieces = cut_documents(docs, tokenizer, end_id, window, id_col, text_col, id_bytes)
+    return pack_pieces(pieces if id_bytes else pieces.drop("ids"), window, lane_rows)
