@@ -44,7 +44,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), end_id=1, with_ids=True)
+    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), end_id=1, id_bytes=2)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
