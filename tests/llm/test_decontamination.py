@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from conftest import SF
+from .conftest import SF
 
 from trailfeat.llm import decontamination as D
 from trailfeat.llm import queries as Q

@@ -2,7 +2,7 @@ import math
 from collections import Counter
 
 import pytest
-from conftest import SF
+from .conftest import SF
 
 from trailfeat.llm import lm_scoring as L
 from trailfeat.llm import queries as Q

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import SF
+from .conftest import SF
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 

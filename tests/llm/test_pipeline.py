@@ -1,7 +1,7 @@
 import re
 
 import numpy as np
-from conftest import SF
+from .conftest import SF
 
 import corpus_pipeline as C
 from trailfeat.llm import decontamination as D

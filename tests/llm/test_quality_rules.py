@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import SF
+from .conftest import SF
 from pyspark.sql import functions as F
 
 from trailfeat.llm import quality_rules as R

@@ -4,7 +4,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 import xxhash
-from conftest import SF
+from .conftest import SF
 from pyspark.sql import functions as F
 
 from trailfeat.llm import queries as Q

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
-from conftest import SF
+from .conftest import SF
 
 from trailfeat.llm import crf, pii, secrets, spans
 from trailfeat.llm import queries as Q

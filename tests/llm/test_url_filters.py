@@ -2,7 +2,7 @@ import re
 
 import duckdb
 import pytest
-from conftest import SF
+from .conftest import SF
 
 from trailfeat.llm import queries as Q
 from trailfeat.llm import url_filters as U

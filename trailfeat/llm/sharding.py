@@ -77,7 +77,7 @@ def number_rows(rows: DataFrame, n: int, rows_per_range: int = ROWS_PER_RANGE) -
     ranges, so that the counts and the numbers come from the same rows.
     """
     bits = max(0, math.ceil(math.log2(max(1, n / rows_per_range))))
-    span = F.lit(0).cast("long") if bits == 0 else F.shiftrightunsigned(F.col("h"), 64 - bits)
+    span = F.lit(0).cast("long") if bits == 0 else F.shiftright(F.col("h"), 64 - bits)
     ranged = rows.withColumn("h", F.xxhash64("id")).withColumn("range", span)
     heavy = (rows.groupBy(F.xxhash64("id").alias("h")).count().where(F.col("count") > rows_per_range)
              .select(span.alias("range"), "h", F.ceil(F.col("count") / rows_per_range).alias("parts"))
@@ -85,7 +85,7 @@ def number_rows(rows: DataFrame, n: int, rows_per_range: int = ROWS_PER_RANGE) -
     # part 2j: hashes between the heavy ones; part 2j + 1: heavy hash j, split further by a salt
     ranged = ranged.join(heavy, "range", "left").withColumn("salt", F.monotonically_increasing_id())
     below = F.expr("size(filter(heavy, v -> v.h < h))")
-    parts = F.expr("element_at(filter(heavy, v -> v.h = h), 1).parts")
+    parts = F.expr("get(filter(heavy, v -> v.h = h), 0).parts")
     ranged = ranged.select(
         "range", "h", "id", "tie", "salt", "row",
         F.when(F.col("heavy").isNull(), 0).otherwise(2 * below + F.when(parts.isNull(), 0).otherwise(1)).alias("part"),
