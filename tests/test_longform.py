@@ -26,7 +26,6 @@ def test_array_equals_long_on_weeks(spark):
     pts = explode_points(tr, keep=("traj_id", "aim", "label")).select(
         "traj_id", "pos", "x", "y", "t", F.col("aim.ax").alias("ax"), F.col("aim.ay").alias("ay"), "label")
     _compare(arr, LF.feature_matrix_long(LF.step_series(LF.lag_points(pts))))
-    _compare(arr, LF.feature_matrix_long(LF.step_series(LF.lag_points(pts, rows_per_block=5)), rows_per_block=5))
 
 
 def test_long_form_hot_trajectory(spark):
@@ -37,7 +36,7 @@ def test_long_form_hot_trajectory(spark):
     rows += [("small", 0, 1.0, 1.0, 1.0, 0.0, 0.0, "0")]
     schema = "traj_id string, pos long, x double, y double, t double, ax double, ay double, label string"
     pts = spark.createDataFrame(rows, schema)
-    lf = LF.feature_matrix_long(LF.step_series(LF.lag_points(pts, rows_per_block=200)), rows_per_block=200)
+    lf = LF.feature_matrix_long(LF.step_series(LF.lag_points(pts, rows_per_block=200)), heavy=LF.heavy_keys(pts, rows_per_block=200))
     arr_in = pts.groupBy("traj_id").agg(
         F.array_sort(F.collect_list(F.struct("pos", "x", "y", "t"))).alias("p"),
         F.first("ax").alias("ax"), F.first("ay").alias("ay"), F.first("label").alias("label"))
@@ -59,7 +58,7 @@ def test_median_with_massive_ties(spark):
     rows += [("even", i, float(i % 2), 1.0, float(i), 0.0, 0.0, "1") for i in range(600)]
     pts = spark.createDataFrame(rows, schema)
     steps = LF.step_series(LF.lag_points(pts, rows_per_block=400))
-    got = {r.traj_id: r for r in LF.trajectory_summaries(steps, rows_per_block=400).collect()}
+    got = {r.traj_id: r for r in LF.trajectory_summaries(steps, heavy=LF.heavy_keys(pts, rows_per_block=400)).collect()}
     assert got["hot"].x_median == float(np.median(xs)) and np.isnan(got["hot"].y_median)
     assert got["hot"].t_median == float(np.median([i * i % 1013 for i in range(n)])) and got["hot"].point_count == n
     assert got["even"].x_median == 0.5
@@ -154,4 +153,4 @@ def test_long_equals_array_on_micro_fixtures(spark):
     pts = explode_points(tr, keep=("traj_id", "aim", "label")).select(
         "traj_id", "pos", "x", "y", "t", F.col("aim.ax").alias("ax"), F.col("aim.ay").alias("ay"), "label")
     _compare(FT.feature_matrix(tr),
-             LF.feature_matrix_long(LF.step_series(LF.lag_points(pts, rows_per_block=2)), rows_per_block=2))
+             LF.feature_matrix_long(LF.step_series(LF.lag_points(pts, rows_per_block=2)), heavy=LF.heavy_keys(pts, rows_per_block=2)))

@@ -65,7 +65,7 @@ def test_point_features_job_equals_text_job(spark):
     explode_points(tr, keep=("traj_id", "aim", "label")).select(
         "traj_id", "pos", "x", "y", "t", F.col("aim.ax").alias("ax"), F.col("aim.ay").alias("ay"),
         "label").write.parquet(os.path.join(d, "pts"))
-    point_features_job(spark, os.path.join(d, "pts"), os.path.join(d, "long"), rows_per_block=5)
+    point_features_job(spark, os.path.join(d, "pts"), os.path.join(d, "long"))
     long_fm = spark.read.parquet(os.path.join(d, "long"))
     arr = feature_matrix(tr)
     cols = ["traj_id", "point_count", "backtrack_count", "x_median", "log_angle_diff_min", "aim_angle"]

@@ -80,9 +80,14 @@ def _stats_aggs(v: str) -> list[str]:
 BRACKET = 100_000
 
 
-def heavy_keys(points: DataFrame, key: str = "traj_id", rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """Trajectories with more than ``rows_per_block`` points (at most one for so many rows of the table)."""
-    return points.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_block).select(key)
+def heavy_keys(points: DataFrame, key: str = "traj_id", rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame | None:
+    """Trajectories with more than ``rows_per_block`` points (at most one for so many rows), or None without any.
+
+    Runs one small aggregate, so that plans hold the branch for such trajectories
+    only where there are some.
+    """
+    found = points.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_block).select(key)
+    return None if found.isEmpty() else found
 
 
 def _light_median(v: str) -> str:
@@ -125,7 +130,7 @@ def heavy_medians(steps: DataFrame, names, key: str = "traj_id", bracket: int =
 
 
 def trajectory_summaries(steps: DataFrame, key: str = "traj_id", medians=None, heavy: DataFrame | None = None,
-                         rows_per_block: int = ROWS_PER_BLOCK, heavy_steps: DataFrame | None = None) -> DataFrame:
+                         heavy_steps: DataFrame | None = None) -> DataFrame:
     """One row per trajectory: count, backtracks and the raw (unguarded)
     first/last/std/mean/median/max/min of every series, with the reference's
     short-trajectory rules applied. Columns are ``<series>_<stat>``.
@@ -134,20 +139,25 @@ def trajectory_summaries(steps: DataFrame, key: str = "traj_id", medians=None, h
     ``reason`` says why a trajectory is bad (``no_id``, ``bad_point``,
     ``bad_target``, or ``varying_constants`` when they differ between points) and
     is null for good ones. ``medians`` limits the medians to some series (the
-    others' ``_median`` is NULL). ``heavy`` are the trajectories above
-    ``rows_per_block`` points, and ``heavy_steps`` their steps, where the caller can
-    tell them before the steps are made.
+    others' ``_median`` is NULL). ``heavy`` are the trajectories too long for one task
+    (see :func:`heavy_keys`; None: there are none), and ``heavy_steps`` their steps
+    where the caller can make them from fewer points.
     """
     have_diff = "log_speed_diff" in steps.columns
     series = ["x", "y", "t"] + STEP_SERIES + (DIFF_SERIES if have_diff else [])
     ranked = [v for v in series if medians is None or v in medians]
     consts = [c for c in ("ax", "ay", "label") if c in steps.columns]
-    heavy = heavy_keys(steps, key, rows_per_block) if heavy is None else heavy
-    marked = steps.join(F.broadcast(heavy.withColumn("_heavy", F.lit(True))), key, "left")
-    base = marked.groupBy(key).agg(*_per_context(
+    if heavy is None:
+        marked = steps.withColumn("_heavy", F.lit(None).cast("boolean"))
+    else:
+        marked = steps.join(F.broadcast(heavy.withColumn("_heavy", F.lit(True))), key, "left")
+    df = marked.groupBy(key).agg(*_per_context(
         steps, ("aggs", tuple(series), tuple(ranked), tuple(consts)), lambda: _base_aggs(series, ranked, consts)))
-    only = steps.join(F.broadcast(heavy), key, "left_semi") if heavy_steps is None else heavy_steps
-    df = base.join(heavy_medians(only, ranked, key), key, "left")
+    if heavy is None:
+        df = df.select("*", *[F.lit(None).cast("double").alias(f"{v}__heavy") for v in ranked])
+    else:
+        only = steps.join(F.broadcast(heavy), key, "left_semi") if heavy_steps is None else heavy_steps
+        df = df.join(heavy_medians(only, ranked, key), key, "left")
     out = [F.col(key), *[F.col(e) for e in consts]]
     out += _per_context(steps, ("outs", tuple(series), tuple(ranked), tuple(consts), key),
                         lambda: _summary_outputs(series, ranked, consts, key))
@@ -202,7 +212,7 @@ def aim_pair() -> tuple[Column, Column]:
 
 
 def feature_matrix_long(steps: DataFrame, labelled: bool = True, key: str = "traj_id", heavy: DataFrame | None = None,
-                        rows_per_block: int = ROWS_PER_BLOCK, heavy_steps: DataFrame | None = None,
+                        heavy_steps: DataFrame | None = None,
                         with_speed_median: bool = False, with_reason: bool = False) -> DataFrame:
     """The 70 features from a lagged point table (same columns as the array form).
 
@@ -211,8 +221,7 @@ def feature_matrix_long(steps: DataFrame, labelled: bool = True, key: str = "tra
     """
     used = {f[:-len("_median")] for f in FEATURES if f.endswith("_median")}
     used |= {"log_speed"} if with_speed_median else set()
-    s = trajectory_summaries(steps, key, medians=used, heavy=heavy, rows_per_block=rows_per_block,
-                             heavy_steps=heavy_steps)
+    s = trajectory_summaries(steps, key, medians=used, heavy=heavy, heavy_steps=heavy_steps)
     d1, d2 = aim_pair()
     s = s.select("*", d1.alias("_d1"), d2.alias("_d2"))
     nan = "isnan(_d1) OR isnan(_d2)"

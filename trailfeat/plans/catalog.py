@@ -79,7 +79,7 @@ def points(spark, sf, view="B") -> DataFrame:
 def summaries_of(spark, sf, view, fn, **kw) -> DataFrame:
     """``fn(steps, heavy=..., heavy_steps=...)`` with the heavy users read off the event table itself."""
     heavy = LF.heavy_keys(E.events(spark, sf).select(F.col("user_id").alias("traj_id")))
-    long = LF.step_series(E.lagged_points(spark, sf, view, users=heavy))
+    long = None if heavy is None else LF.step_series(E.lagged_points(spark, sf, view, users=heavy))
     return fn(LF.step_series(E.lagged_points(spark, sf, view)), heavy=heavy, heavy_steps=long, **kw)
 
 

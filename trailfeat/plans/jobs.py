@@ -78,9 +78,9 @@ def point_features_job(spark: SparkSession, input_path, output_path: str,
     def steps(points):
         return LF.step_series(LF.lag_points(points, order=tuple(order), rows_per_block=rows_per_block))
 
-    fm = LF.feature_matrix_long(
-        steps(named), labelled=labelled, heavy=heavy, rows_per_block=rows_per_block, with_speed_median=True,
-        heavy_steps=steps(named.join(F.broadcast(heavy), "traj_id", "left_semi")), with_reason=mode == "quarantine")
+    long = None if heavy is None else steps(named.join(F.broadcast(heavy), "traj_id", "left_semi"))
+    fm = LF.feature_matrix_long(steps(named), labelled=labelled, heavy=heavy, heavy_steps=long, with_speed_median=True,
+                                with_reason=mode == "quarantine")
     nameless = pts.where("traj_id is null").select("traj_id", F.lit("no_id").alias("reason"))
     if mode == "strict":
         if not nameless.isEmpty():
