@@ -146,7 +146,9 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, vocabulary: int
     # at most `vocabulary` words reach the driver
     top = [bytes(r["word"]) for r in word_counts(docs).orderBy(F.desc("n"), "word").limit(vocabulary).collect()]
     wanted = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("wanted")).distinct()
-    marked = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("wanted"), "left").select(
+    # The labels grow with the corpus: a shuffled join at every size, hashed on the ids so that texts are not sorted.
+    marked = docs.select("doc_id", "text").join(
+        wanted.hint("shuffle_hash"), F.col("doc_id") == F.col("wanted"), "left").select(
         "text", F.col("wanted").isNotNull().alias("target"))
     losses = spark.sparkContext.broadcast(loss_tables(checkpointed(bigram_counts(marked, top)), len(top)))
     ids, size = spark.sparkContext.broadcast({w: i for i, w in enumerate(top)}), len(top)
