@@ -1,8 +1,9 @@
+import io
 import zlib
 
 import numpy as np
 import pytest
-from conftest import SF
+from .conftest import SF
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -16,9 +17,8 @@ ODD_TEXTS = ["", " a", "a ", "a  b", "a\tb c", "<|endoftext|> x <|endoftext|>y",
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
-def test_encoder_equals_the_library(documents, name, monkeypatch):
-    monkeypatch.setattr("trailfeat.llm.bpe.CACHE_WORDS", 500)  # the cache starts anew many times
-    enc = Encoder(Q.tokenizer_path(name))
+def test_encoder_equals_the_library(documents, name):
+    enc = Encoder(Q.tokenizer_path(name), cache_words=500)  # the cache starts anew many times
     lib = Tokenizer.from_file(Q.tokenizer_path(name))
     for t in ODD_TEXTS + list(documents.values()):
         assert np.frombuffer(enc.encode(t), "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids
@@ -37,10 +37,18 @@ def test_random_access_reads_ranges():
     rng = np.random.default_rng(5)
     lengths = [3, 0, 50, 1, 200]
     ids = rng.integers(0, 49_408, sum(lengths)).astype(np.uint32)
-    f = T.TokenFile(T.file_bytes([4, None, 9, 9, 12], lengths, ids, 17, bucket=3, block_ids=16))
+    out, at = io.BytesIO(), 0
+    w = T.FileWriter(out, 17, bucket=3, block_ids=16)
+    for d, n in zip([4, None, 9, 9, 12], lengths):
+        w.add(d, ids[at:at + n])
+        at += n
+    w.close()
+    f = T.TokenFile(out.getvalue())
     assert f.docs.tolist() == [4, 0, 9, 9, 12] and f.null.tolist() == [False, True, False, False, False]
     for a, b in [(0, 0), (0, 1), (15, 17), (40, 254), (0, 254), (253, 254)]:
         assert (f.ids(a, b) == ids[a:b]).all()
+    with pytest.raises(ValueError):
+        T.TokenFile(out.getvalue()[:-1])
     assert f.starts.tolist() == [0, 3, 3, 53, 54, 254]
 
 

@@ -15,7 +15,7 @@ from array import array
 
 import numpy as np
 
-#: Entries of the word cache of one worker; beyond it the cache starts anew.
+#: Entries of each of a worker's two caches (words, and runs within them); beyond it a cache starts anew.
 CACHE_WORDS = 600_000
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -39,7 +39,8 @@ def _byte_letters() -> list[str]:
 class Encoder:
     """``encode(text)`` gives the ids as bytes, four per id."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+        self.cache_words = cache_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -59,7 +60,7 @@ class Encoder:
         """Ids of one pre-token."""
         got = self.runs.get(run)
         if got is None:
-            if len(self.runs) >= CACHE_WORDS:
+            if len(self.runs) >= self.cache_words:
                 self.runs.clear()
             if run.isascii():
                 mapped = "\u0120" + run[1:] if run[0] == " " else run
@@ -96,10 +97,10 @@ class Encoder:
             return [cache[p] for p in pieces]
         except KeyError:
             missing = {p for p in pieces if p not in cache}
-        if len(cache) + len(missing) > CACHE_WORDS:
+        if len(cache) + len(missing) > self.cache_words:
             cache.clear()
             missing = set(pieces)
-        if len(missing) > CACHE_WORDS:  # one text with more different words than the cache holds
+        if len(missing) > self.cache_words:  # one text with more different words than the cache holds
             return [self._piece(p, True) for p in pieces]
         for p in missing:
             cache[p] = self._piece(p, True)
@@ -116,8 +117,13 @@ class Encoder:
         return self._piece(first, False) + b"".join(self._all(rest))
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cache_words: int = CACHE_WORDS) -> Encoder:
     """The worker's encoder for a tokenizer file (loaded once)."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, cache_words)
     return _ENCODERS[path]
+
+
+def release() -> None:
+    """Drop the worker's encoders and their caches, where later stages need the memory."""
+    _ENCODERS.clear()

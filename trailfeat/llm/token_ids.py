@@ -5,16 +5,17 @@ Each id takes ``width`` bits, the least that hold every id of the vocabulary
 
 ====================  ==================================================
 ``TIDS``              magic, 4 bytes
-six u64               width, ids per block, ids, blocks, documents, bucket
+blocks                ids, least significant bit first, each from a new byte
 u64 x blocks          byte offset of each block, from the start of the file
-i64 x documents       document ids, with a bitmap of the null ones after them
+i64 x documents       document ids, and after them a bitmap of the null ones
 u8 x ceil(docs / 8)   (bit set: the id is null)
 u64 x (documents + 1) first id of each document in the file, then the total
-blocks                ids, least significant bit first, each from a new byte
+six u64               width, ids per block, ids, blocks, documents, bucket
+``TIDS``              magic again
 ====================  ==================================================
 
 All numbers are little-endian. A block can be unpacked by itself, so any range
-of ids is read from the blocks that hold it.
+of ids is read from the blocks that hold it; a file is written block by block.
 
 Documents are dealt to buckets by bounds on the document id (approximate
 percentiles of that column alone), tokenized after their range is known,
@@ -33,7 +34,9 @@ from __future__ import annotations
 
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -41,14 +44,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .bpe import encoder
+from .bpe import encoder, release
 from .common import checkpointed, map_arrow, slices, texts
 
 MAGIC = b"TIDS"
 BLOCK_IDS = 65_536
-FILE_IDS = 16 << 20
+FILE_IDS = 8 << 20
 BUCKET_ROWS = 20_000
 MAX_BUCKETS = 10_000
+#: Cached words of one worker: the sort of the packed ids needs memory at the same time.
+CACHE_WORDS = 300_000
 
 
 def width_of(vocabulary: int) -> int:
@@ -77,35 +82,63 @@ def unpack(data: bytes | memoryview, width: int, count: int) -> np.ndarray:
     return np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel()
 
 
-def file_bytes(docs: list[int | None], lengths: list[int], ids: np.ndarray, width: int, bucket: int = 0,
-               block_ids: int = BLOCK_IDS) -> bytes:
-    """One file of whole documents."""
-    blocks = [pack(ids[at:at + block_ids], width) for at in range(0, len(ids), block_ids)]
-    null = np.packbits(np.array([d is None for d in docs], np.uint8), bitorder="little").tobytes()
-    head = 4 + 48 + 8 * len(blocks) + 8 * len(docs) + len(null) + 8 * (len(docs) + 1)
-    offsets = head + np.concatenate([[0], np.cumsum([len(b) for b in blocks])[:-1]]) if blocks else np.zeros(0)
-    return b"".join([
-        MAGIC, np.array([width, block_ids, len(ids), len(blocks), len(docs), bucket], "<u8").tobytes(),
-        offsets.astype("<u8").tobytes(), np.array([d if d is not None else 0 for d in docs], "<i8").tobytes(), null,
-        np.concatenate([[0], np.cumsum(lengths)]).astype("<u8").tobytes(), *blocks])
+class FileWriter:
+    """Writes one file to a binary stream, holding one block of ids and the index of documents."""
+
+    def __init__(self, out: BinaryIO, width: int, bucket: int = 0, block_ids: int = BLOCK_IDS):
+        self.out, self.width, self.bucket, self.block_ids = out, width, bucket, block_ids
+        self.docs: list[int | None] = []
+        self.starts, self.offsets = [0], []
+        self.held: list[np.ndarray] = []
+        self.held_ids, self.at = 0, 4
+        out.write(MAGIC)
+
+    def add(self, doc: int | None, ids: np.ndarray) -> None:
+        self.docs.append(doc)
+        self.starts.append(self.starts[-1] + len(ids))
+        self.held.append(ids)
+        self.held_ids += len(ids)
+        if self.held_ids >= self.block_ids:
+            whole = np.concatenate(self.held)
+            full = len(whole) // self.block_ids * self.block_ids
+            for k in range(0, full, self.block_ids):
+                self._block(whole[k:k + self.block_ids])
+            self.held, self.held_ids = [whole[full:]], len(whole) - full
+
+    def _block(self, ids: np.ndarray) -> None:
+        data = pack(ids, self.width)
+        self.offsets.append(self.at)
+        self.out.write(data)
+        self.at += len(data)
+
+    def close(self) -> None:
+        if self.held_ids:
+            self._block(np.concatenate(self.held))
+        null = np.packbits(np.array([d is None for d in self.docs], np.uint8), bitorder="little")
+        for numbers in (np.array(self.offsets, "<u8"), np.array([d if d is not None else 0 for d in self.docs], "<i8"),
+                        null, np.array(self.starts, "<u8"),
+                        np.array([self.width, self.block_ids, self.starts[-1], len(self.offsets), len(self.docs),
+                                  self.bucket], "<u8")):
+            self.out.write(numbers.tobytes())
+        self.out.write(MAGIC)
 
 
 class TokenFile:
     """Reads a file's bytes: documents, and any range of ids."""
 
     def __init__(self, data: bytes | memoryview):
-        if bytes(data[:4]) != MAGIC:
-            raise ValueError("not a token file")
-        self.data = memoryview(data)
-        self.width, self.block_ids, self.total, blocks, docs, self.bucket = np.frombuffer(data, "<u8", 6, 4).tolist()
-        at = 52
-        self.offsets = np.frombuffer(data, "<u8", blocks, at)
-        at += 8 * blocks
-        self.docs = np.frombuffer(data, "<i8", docs, at)
-        at += 8 * docs
-        self.null = np.unpackbits(np.frombuffer(data, np.uint8, -(-docs // 8), at), bitorder="little")[:docs].astype(bool)
-        at += -(-docs // 8)
+        data = memoryview(data)
+        if len(data) < 56 or bytes(data[:4]) != MAGIC or bytes(data[-4:]) != MAGIC:
+            raise ValueError("not a whole token file")
+        self.data, tail = data, len(data) - 52
+        self.width, self.block_ids, self.total, blocks, docs, self.bucket = np.frombuffer(data, "<u8", 6, tail).tolist()
+        at = tail - 8 * (docs + 1)
         self.starts = np.frombuffer(data, "<u8", docs + 1, at).astype(np.int64)
+        at -= -(-docs // 8)
+        self.null = np.unpackbits(np.frombuffer(data, np.uint8, -(-docs // 8), at), bitorder="little")[:docs].astype(bool)
+        at -= 8 * docs
+        self.docs = np.frombuffer(data, "<i8", docs, at)
+        self.offsets = np.frombuffer(data, "<u8", blocks, at - 8 * blocks)
 
     def block(self, k: int) -> np.ndarray:
         count = min(self.block_ids, self.total - k * self.block_ids)
@@ -129,45 +162,42 @@ def _store(folder: str):
 
 def _writer(folder: str, tokenizer: str, end_id: int, width: int, file_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         store, root = _store(folder)
-        state = {"bucket": None, "part": 0}
-        docs: list[int | None] = []
-        lengths: list[int] = []
-        packed: list[bytes] = []
-        rows, held = [], 0
-
-        def flush() -> None:
-            if not docs:
-                return
-            ids = np.concatenate([unpack(p, width, n) for p, n in zip(packed, lengths, strict=True)])
-            name = f"{state['bucket']:08d}-{state['part']:06d}.tids"
-            own = f"{root}/_{name}.{uuid.uuid4().hex}"
-            with store.open_output_stream(own) as f:
-                f.write(file_bytes(docs, lengths, ids, width, state["bucket"]))
+        rows, now, stream, name, own = [], None, None, "", ""
+
+        def close() -> None:
+            now.close()
+            stream.close()
+            if store.get_file_info(f"{root}/{name}").type.name != "NotFound":
+                store.delete_file(f"{root}/{name}")  # from an earlier attempt: the same bytes
             store.move(own, f"{root}/{name}")
-            rows.append((name, state["bucket"], state["part"], len(docs), len(ids)))
-            state["part"] += 1
-            docs.clear(), lengths.clear(), packed.clear()
+            rows.append((name, now.bucket, part, len(now.docs), now.starts[-1]))
 
+        part = 0
         for batch in batches:
             for bucket, doc, n, data in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if bucket != state["bucket"] or held >= file_ids:
-                    flush()
-                    held = 0
-                if bucket != state["bucket"]:
-                    state["bucket"], state["part"] = bucket, 0
-                docs.append(doc), lengths.append(n), packed.append(data)
-                held += n
-        flush()
+                if now is not None and (bucket != now.bucket or now.starts[-1] >= file_ids):
+                    close()
+                    part = part + 1 if bucket == now.bucket else 0
+                    now = None
+                if now is None:
+                    name = f"{bucket:08d}-{part:06d}.tids"
+                    own = f"{root}/_{name}.{uuid.uuid4().hex}"
+                    stream = store.open_output_stream(own)
+                    now = FileWriter(stream, width, bucket)
+                now.add(doc, unpack(data, width, n))
+        if now is not None:
+            close()
         names = ["file", "bucket", "part", "docs", "ids"]
         kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
         cols = list(zip(*rows, strict=True)) or [()] * 5
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(tokenizer), np.uint32(end_id).astype("<u4").tobytes()
+        enc, end = encoder(tokenizer, CACHE_WORDS), np.uint32(end_id).astype("<u4").tobytes()
         for whole in batches:
-            for batch in slices(whole, 3):
+            for batch in slices(whole, 3, 4 << 20):
                 ids = [np.frombuffer(enc.encode(t) + end, "<u4") for t in texts(batch.column(3))]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), batch.column(2), pa.array([len(i) for i in ids], pa.int64()),
@@ -213,27 +243,32 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary:
     return files.selectExpr("*", "sum(ids) over (order by bucket, part) - ids as before")
 
 
-def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    """``(file, doc_id, start, n_tokens, ids)`` for every document; ``start`` counts from the file's first id."""
+def read_token_files(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
+    """``(file, doc_id, start, n_tokens, ids_crc32, ids)`` for every document.
+
+    ``start`` counts from the file's first id; ``ids`` (little-endian unsigned
+    32-bit) is null without ``with_ids``.
+    """
+    names = ["file", "doc_id", "start", "n_tokens", "ids_crc32", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for i in range(batch.num_rows):
                 name, tf = batch.column(0)[i].as_py(), TokenFile(batch.column(1)[i].as_buffer())
-                for at in range(0, len(tf.docs), 1000):
-                    begin = tf.starts[at:at + 1001]
-                    ids = tf.ids(int(begin[0]), int(begin[-1]))
-                    cuts = begin - begin[0]
-                    n = len(begin) - 1
+                for at in range(0, len(tf.docs), 500):
+                    begin = tf.starts[at:at + 501]
+                    whole = tf.ids(int(begin[0]), int(begin[-1]))
+                    cuts, n = begin - begin[0], len(begin) - 1
+                    ids = [whole[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                     yield pa.RecordBatch.from_arrays([
                         pa.array([name] * n), pa.array(tf.docs[at:at + n], mask=tf.null[at:at + n]),
-                        pa.array(begin[:-1]), pa.array(np.diff(begin)),
-                        pa.array([ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())],
-                        ["file", "doc_id", "start", "n_tokens", "ids"])
+                        pa.array(begin[:-1]), pa.array(np.diff(begin)), pa.array([zlib.crc32(x) for x in ids], pa.int64()),
+                        pa.array(ids if with_ids else [None] * n, pa.binary())], names)
 
     found = spark.read.format("binaryFile").option("pathGlobFilter", "[0-9]*.tids").load(folder)
     return map_arrow(found.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content"), run,
-                     "file string, doc_id long, start long, n_tokens long, ids binary")
+                     "file string, doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
 
 def token_file_rows(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int) -> DataFrame:
@@ -243,6 +278,6 @@ def token_file_rows(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: in
     files = write_token_files(docs, folder, tokenizer, vocabulary, end_id)
     if files.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
-    rows = read_token_files(spark, folder).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    rows = read_token_files(spark, folder, with_ids=False).drop("ids")
     return rows.join(F.broadcast(files.select("file", "before")), "file").select(
         "doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
