@@ -63,6 +63,14 @@ def test_query_against_the_library(spark, documents):
     assert not got
 
 
+@pytest.mark.parametrize("bounds", [[], [5], [1, 5, 5, 5, 9], list(range(0, 40, 3)), [-7] * 8 + [2] * 9])
+def test_bounds_by_binary_search(spark, bounds):
+    df = spark.range(-10, 45).withColumnRenamed("id", "doc_id")
+    got = df.select("doc_id", T.bounds_below(bounds, "<").alias("b"), T.bounds_below(bounds, "<=").alias("u")).collect()
+    for r in got:
+        assert (r["b"], r["u"]) == (sum(x < r["doc_id"] for x in bounds), sum(x <= r["doc_id"] for x in bounds))
+
+
 def test_hot_ids_small_files_and_order(spark, tmp_path):
     docs = spark.range(400).select(F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("doc_id"),
                                    F.concat(F.lit("word "), F.col("id") % 4).alias("text"))

@@ -40,7 +40,7 @@ from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -51,7 +51,7 @@ MAGIC = b"TIDS"
 BLOCK_IDS = 65_536
 FILE_IDS = 8 << 20
 BUCKET_ROWS = 20_000
-MAX_BUCKETS = 10_000
+MAX_BUCKETS = 1 << 16
 #: Cached words of one worker: the sort of the packed ids needs memory at the same time.
 CACHE_WORDS = 300_000
 
@@ -206,6 +206,18 @@ def _writer(folder: str, tokenizer: str, end_id: int, width: int, file_ids: int)
     return tokens, run
 
 
+def bounds_below(bounds: list[int], how: str) -> Column:
+    """How many of the ascending ``bounds`` are below (``<``) or at most (``<=``) ``doc_id``, by binary search."""
+    if not bounds:
+        return F.lit(0)
+    top = 1 << (len(bounds).bit_length() - 1)
+    steps = ", ".join(str(top >> i) for i in range(top.bit_length()))
+    # one text literal, folded to an array once
+    limits = f"cast(split('{','.join(map(str, bounds))}', ',') as array<bigint>)"
+    return F.expr(f"aggregate(array({steps}), 0, (lo, s) -> CASE WHEN lo + s <= {len(bounds)} "
+                  f"AND get({limits}, lo + s - 1) {how} doc_id THEN lo + s ELSE lo END)")
+
+
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int, end_id: int,
                       id_col: str = "doc_id", text_col: str = "text", file_ids: int = FILE_IDS,
                       bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -220,18 +232,18 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary:
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     buckets = max(1, min(MAX_BUCKETS, -(-rows.count() // bucket_rows)))
     # at most MAX_BUCKETS bounds reach the driver
-    wanted = [i / buckets for i in range(1, buckets)]
-    bounds = (rows.agg(F.percentile_approx("doc_id", wanted, 100 * buckets)).first()[0] or []) if wanted else []
-    limits = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<bigint>")
+    wanted = f"cast(split('{','.join(str(i / buckets) for i in range(1, buckets))}', ',') as array<double>)"
+    found = rows.agg(F.expr(f"percentile_approx(doc_id, {wanted}, {10 * buckets})")).first()[0] if buckets > 1 else None
+    bounds = found or []
     # bounds below the id, and as many buckets more as bounds repeat it: an id that fills several is spread over them
-    below = F.coalesce(F.size(F.filter(limits, lambda b: b < F.col("doc_id"))), F.lit(0))
-    equal = F.coalesce(F.size(F.filter(limits, lambda b: b == F.col("doc_id"))), F.lit(0))
+    below, upto = bounds_below(bounds, "<"), bounds_below(bounds, "<=")
+    equal = upto - below
     nulls = rows.where("doc_id is null").count()
     null_parts = max(1, -(-nulls // bucket_rows))
     dealt = rows.withColumn("tie", F.xxhash64("text")).withColumn("salt", F.monotonically_increasing_id())
     mixed = F.xxhash64("tie", "salt")
     bucket = F.when(F.col("doc_id").isNull(), F.pmod(mixed, F.lit(null_parts))).otherwise(
-        F.lit(null_parts) + below + F.pmod(mixed, equal + (equal == 0).cast("int")))
+        F.lit(null_parts) + below + F.pmod(mixed, F.greatest(equal, F.lit(1))))
     tokens, run = _writer(folder, tokenizer, end_id, width, file_ids)
     kind = "bucket long, doc_id long, tie long, n long, packed binary"
     packed = map_arrow(dealt.select(bucket.cast("long").alias("bucket"), "doc_id", "tie", "text"), tokens, kind)
