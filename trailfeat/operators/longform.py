@@ -275,12 +275,16 @@ def head_mid_tail_rows(steps: DataFrame, names=SLICED_SERIES, key: str = "traj_i
     A row knows from its index which slices it is in, so only those rows go on;
     series of at most three values are gathered (bounded) and take the array rule.
     """
-    out = None
-    for name in names:
-        off = 2 if name in DIFF_SERIES else 1
-        m = F.greatest(F.col("n") - off, F.lit(1))
-        one = series_rows(steps, name, key, m.alias("m")).withColumn("series", F.lit(name))
-        out = one if out is None else out.unionByName(one)
+    def entry(name: str) -> str:
+        of = name[:-len("_diff")]
+        off, own = (2, f"CASE WHEN n = 2 THEN {of} - {of} ELSE 0.0D END") if name in DIFF_SERIES else (1, "0.0D")
+        return f"named_struct('series', '{name}', 'off', {off}, 'v', CASE WHEN pos >= {off} THEN {name} ELSE {own} END)"
+
+    # all series in one pass; short ones as in series_rows
+    stacked = steps.selectExpr(key, "n", "pos", f"inline(array({', '.join(map(entry, names))}))").selectExpr(
+        key, "series", "greatest(n - off, 1) AS m", "v",
+        "CASE WHEN pos >= off THEN pos - off WHEN n = 1 THEN 0 WHEN off = 2 AND n = 2 AND pos = 1 THEN 0 END AS i")
+    out = stacked.where("i < 3 OR i >= m - 3 OR (i >= floor(m / 2) - 2 AND i < floor(m / 2) + 1)")
     mid = F.floor(F.col("m") / 2)
     slots = [F.when(F.col("i") < 3, F.struct(F.lit("head").alias("part"), F.col("i").alias("at"))),
              F.when((F.col("i") >= mid - 2) & (F.col("i") < mid + 1), F.struct(F.lit("mid").alias("part"), (F.col("i") - mid + 2).alias("at"))),
