@@ -77,7 +77,7 @@ def test_query_against_the_library(spark, documents):
 def test_small_lanes_give_whole_results(spark):
     pieces = spark.range(2000).select("id", (F.col("id") % 7 + F.when(F.col("id") % 3 == 0, 40).otherwise(1)).alias("length"),
                                       F.lit("x").alias("offset"))
-    got = P.pack_pieces(pieces.drop("offset"), 64, lane_rows=10).collect()
+    got = P.pack_pieces(pieces.drop("offset"), 64, lane_bytes=1000).collect()
     assert sorted(r["id"] for r in got) == list(range(2000))
     places = defaultdict(list)
     for r in got:

@@ -16,7 +16,7 @@ from array import array
 import numpy as np
 
 #: Entries of each of a worker's two caches (words, and runs within them); beyond it a cache starts anew.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 
 _ENCODERS: dict[str, Encoder] = {}
 # where a cut at a single space or line end would not be exact

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,10 @@ from .bpe import encoder
 from .common import checkpointed, map_arrow, slices, texts
 
 WINDOW = 2048
-#: Pieces of one length that one task ranks.
-LANE_ROWS = 200_000
+#: Bytes of pieces of one length that one task ranks: a lane.
+LANE_BYTES = 16 << 20
+#: What a piece weighs there besides its ids.
+ROW_BYTES = 100
 
 
 class RoomTree:
@@ -115,7 +118,7 @@ def _pieces(tokenizer: str, end_id: int, window: int):
         if id_bytes == 2 and max(enc.tok.get_vocab_size(), end_id + 1) > 1 << 16:
             raise ValueError("two bytes do not hold every id of this vocabulary")
         for whole in batches:
-            for batch in slices(whole, 1):
+            for batch in slices(whole, 1, 4 << 20):
                 rows = []
                 for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
                     ids = enc.encode(text) + end
@@ -142,27 +145,29 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = WI
                      "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
 
 
-def pack_pieces(pieces: DataFrame, window: int = WINDOW, lane_rows: int = LANE_ROWS) -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset``; needs ``length`` in 1..window, other columns are kept."""
+def pack_pieces(pieces: DataFrame, window: int = WINDOW, id_bytes: int = 0, lane_bytes: int = LANE_BYTES) -> DataFrame:
+    """``pieces`` with ``sequence_id`` and ``offset``; needs ``length`` in 1..window, other columns are kept.
+
+    ``id_bytes`` is what the pieces carry for each of their ids, for sizing lanes.
+    """
     kept = [c for c in pieces.columns if c != "length"]
     held = checkpointed(pieces.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), "length",
                                       F.monotonically_increasing_id().alias("salt")))
     # at most `window` rows reach the driver
     counts = {r["length"]: r["count"] for r in held.groupBy("length").count().collect()}
-    steps = held.sparkSession.createDataFrame(
-        plan(counts, window) or [(0, 0, 0, 0, 1, 0)],
-        "length long, first long, pieces long, window0 long, per_window long, at long")
-    # bounded by the plan: about two rows for each length, whatever the corpus holds
-    by_length = steps.groupBy("length").agg(F.array_sort(F.collect_list(F.struct(
-        "first", "pieces", "window0", "per_window", "at"))).alias("steps"))
-    lanes = max(1, -(-max(counts.values(), default=0) // lane_rows))
-    laned = held.withColumn("lane", F.pmod(F.xxhash64("salt"), F.lit(lanes)).cast("int"))
+    lanes = {s: max(1, -(-n * (ROW_BYTES + s * id_bytes) // lane_bytes)) for s, n in counts.items()}
+    # bounded by the plan: about two steps for each length, whatever the corpus holds
+    by_length = held.sparkSession.createDataFrame(
+        [(s, lanes[s], [step[1:] for step in steps]) for s, steps in groupby(plan(counts, window), lambda step: step[0])],
+        "length long, lanes long, steps array<struct<first: long, pieces: long, window0: long, per_window: long, at: long>>")
+    laned = held.join(F.broadcast(by_length.select("length", "lanes")), "length").withColumn(
+        "lane", F.pmod(F.xxhash64("salt"), F.col("lanes")).cast("int"))
     ranked = laned.selectExpr("*", "row_number() over (partition by length, lane order by salt) - 1 as nr")
     per_lane = laned.groupBy("length", "lane").count()
     before = per_lane.selectExpr("length", "lane", "sum(count) over (partition by length order by lane) - count as before")
     ranked = ranked.join(before, ["length", "lane"]).withColumn("rank", F.col("before") + F.col("nr"))
-    placed = ranked.join(F.broadcast(by_length), "length").withColumn(
-        "step", F.expr("element_at(filter(steps, s -> s.first <= rank and rank < s.first + s.pieces), 1)"))
+    placed = ranked.join(F.broadcast(by_length.drop("lanes")), "length").withColumn(
+        "step", F.expr("get(filter(steps, s -> s.first <= rank and rank < s.first + s.pieces), 0)"))
     inside = F.col("rank") - F.col("step.first")
     return placed.select(
         *[F.col(f"row.`{c}`") for c in kept], "length",
@@ -171,7 +176,7 @@ def pack_pieces(pieces: DataFrame, window: int = WINDOW, lane_rows: int = LANE_R
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, id_col: str = "doc_id",
-                   text_col: str = "text", id_bytes: int = 0, lane_rows: int = LANE_ROWS) -> DataFrame:
+                   text_col: str = "text", id_bytes: int = 0, lane_bytes: int = LANE_BYTES) -> DataFrame:
     """Every piece with its place: sequence, offset, and (when asked for) its ids."""
     pieces = cut_documents(docs, tokenizer, end_id, window, id_col, text_col, id_bytes)
-    return pack_pieces(pieces if id_bytes else pieces.drop("ids"), window, lane_rows)
+    return pack_pieces(pieces if id_bytes else pieces.drop("ids"), window, id_bytes, lane_bytes)
