@@ -81,3 +81,27 @@ def test_counts_flush_without_loss(spark):
     docs = spark.createDataFrame([(f"a w{i} w{i % 5}",) for i in range(200)], "text string")
     n = {bytes(r["word"]): r["n"] for r in L.word_counts(docs, held_words=7).collect()}
     assert n[b"a"] == 200 and n[b"w3"] == 41 and sum(n.values()) == 600
+
+
+def test_rare_words_tell_documents_apart(spark):
+    """Words beyond the most frequent 2000 keep their own losses."""
+    common = " ".join(f"c{i} c{i}" for i in range(2500))
+    docs = {0: common, 1: "alpha beta gamma", 2: "alpha beta gamma", 3: "delta zeta eta", 4: ""}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
+    rows = L.cross_entropy_difference(df, spark.createDataFrame([(1, 1)], "doc_id long, quality int")).collect()
+    compare(rows, plain_scores(docs, {1}, None))
+    score = {r["doc_id"]: r["score"] for r in rows}
+    assert score[2] < score[3] - 0.1
+
+
+def test_chunks_do_not_change_scores(spark, documents):
+    some = dict(list(documents.items())[:60])
+    df = spark.createDataFrame(list(some.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(d, 1) for d in list(some)[::4]], "doc_id long, quality int")
+    compare(L.cross_entropy_difference(df, labels, chunk_bytes=1).collect(), plain_scores(some, set(list(some)[::4]), None))
+
+
+def test_packing_of_numbers():
+    import numpy as np
+    for a in ([], [0], [255, 256], [1 << 40, 3]):
+        assert [x.tolist() for x in L.unpacked(L.packed(np.array(a, np.uint64), np.array([7])))] == [a, [7]]
