@@ -5,7 +5,8 @@ tagged with ``O``, ``B-kind`` and ``I-kind``. ``train`` maximises the
 regularised log-likelihood by full forward-backward passes over a bounded table
 of labelled sequences; ``decode`` runs Viterbi over padded batches of sequences
 of similar length, so memory is bounded by the batch, and one very long
-sequence is a batch of its own.
+sequence is a batch of its own. A training tag of ``OPEN`` is not known: such a
+token is summed over all its tags and teaches nothing by itself.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 
 FEATURE_ROWS = 1 << 14
+OPEN = -1
 _NEVER = -1e4
 
 
@@ -55,6 +57,28 @@ def _padded(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, np.array([len(s) for s in sequences])
 
 
+def _marginals(e: np.ndarray, t: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tag probabilities by forward-backward, and the expected number of each move."""
+    rows, size, n = e.shape
+    a = np.zeros((rows, size, n))
+    a[:, 0] = t[n] + e[:, 0]
+    for i in range(1, size):
+        a[:, i] = e[:, i] + np.logaddexp.reduce(a[:, i - 1, :, None] + t[None, :n], axis=1)
+    b = np.zeros((rows, size, n))
+    for i in range(size - 2, -1, -1):
+        inner = np.logaddexp.reduce(t[None, :n] + (e[:, i + 1] + b[:, i + 1])[:, None, :], axis=2)
+        b[:, i] = np.where((i + 1 < lengths)[:, None], inner, 0.0)
+    z = np.logaddexp.reduce(a[np.arange(rows), lengths - 1], axis=1)
+    p = np.exp(a + b - z[:, None, None])
+    moves = np.zeros((n + 1, n))
+    moves[n] = p[:, 0].sum(axis=0)
+    for i in range(1, size):
+        on = i < lengths
+        pair = a[on, i - 1, :, None] + t[None, :n] + (e[on, i] + b[on, i])[:, None, :] - z[on, None, None]
+        moves[:n] += np.exp(pair).sum(axis=0)
+    return p, moves
+
+
 def train(sequences: list[np.ndarray], tags: list[np.ndarray], kinds: list[str], rounds: int = 120,
           rate: float = 0.15, ridge: float = 0.02, longest: int = 24) -> Crf:
     """Fit by Adam on the whole table; sequences are cut to pieces of ``longest`` tokens."""
@@ -75,36 +99,28 @@ def train(sequences: list[np.ndarray], tags: list[np.ndarray], kinds: list[str],
     w, m = np.zeros((len(used), n)), np.zeros((n + 1, n))
     state = [np.zeros_like(v) for v in (w, w, m, m)]
     at = np.flatnonzero(live.ravel())
-    gold = np.zeros((rows * size, n))
-    gold[at, y.ravel()[at]] = 1
+    part = (y == OPEN).any(axis=1)  # sequences with open tags
+    shut = np.where((y[part] != OPEN)[:, :, None] & (np.arange(n) != y[part][:, :, None]), _NEVER, 0.0)
+    gold = np.zeros((rows, size, n))
+    whole = live & ~part[:, None]
+    gold[whole, y[whole]] = 1
     before = np.concatenate([np.full((rows, 1), n), y[:, :-1]], axis=1)
     gold_moves = np.zeros((n + 1, n))
-    np.add.at(gold_moves, (before[live], y[live]), 1)
+    np.add.at(gold_moves, (before[whole], y[whole]), 1)
     for step in range(1, rounds + 1):
         e = np.zeros((rows * size, n))
         e[at] = w[slot].sum(axis=1)
         e = e.reshape(rows, size, n)
         t = m + gate
-        a = np.zeros((rows, size, n))
-        a[:, 0] = t[n] + e[:, 0]
-        for i in range(1, size):
-            a[:, i] = e[:, i] + np.logaddexp.reduce(a[:, i - 1, :, None] + t[None, :n], axis=1)
-        b = np.zeros((rows, size, n))
-        for i in range(size - 2, -1, -1):
-            inner = np.logaddexp.reduce(t[None, :n] + (e[:, i + 1] + b[:, i + 1])[:, None, :], axis=2)
-            b[:, i] = np.where((i + 1 < lengths)[:, None], inner, 0.0)
-        z = np.logaddexp.reduce(a[np.arange(rows), lengths - 1], axis=1)
-        p = np.exp(a + b - z[:, None, None]).reshape(rows * size, n)
-        diff = p[at] - gold[at]
+        p, gm = _marginals(e, t, lengths)
+        gm -= gold_moves
+        if part.any():
+            gold[part], open_moves = _marginals(e[part] + shut, t, lengths[part])
+            gm -= open_moves
+        diff = (p - gold).reshape(rows * size, n)[at]
         gw = np.zeros_like(w)
         for k in range(slot.shape[1]):
             np.add.at(gw, slot[:, k], diff)
-        gm = -gold_moves
-        gm[n] += p.reshape(rows, size, n)[:, 0].sum(axis=0)
-        for i in range(1, size):
-            on = i < lengths
-            pair = a[on, i - 1, :, None] + t[None, :n] + (e[on, i] + b[on, i])[:, None, :] - z[on, None, None]
-            gm[:n] += np.exp(pair).sum(axis=0)
         for v, g, first, second in ((w, gw + ridge * w, 0, 1), (m, gm + ridge * m, 2, 3)):
             state[first] = 0.9 * state[first] + 0.1 * g
             state[second] = 0.99 * state[second] + 0.01 * g * g

@@ -7,7 +7,7 @@ leftmost and do not overlap within a kind. A linear-chain CRF tags tokens as
 begin, inside or outside of a secret by their shape, the neighbouring words and
 features of the file (how much of it looks like code). It is trained from the
 small labelled table ``GOLD`` and from base spans in a bounded sample of
-documents, and adds spans the rules do not cover, such as bearer tokens and
+documents (where all other tokens stay open), and adds spans the rules do not cover, such as bearer tokens and
 private-key-like strings. Base spans always stay; an added span never touches
 another span.
 
@@ -122,6 +122,17 @@ ISBN 978-3-16-148410-0 is a book.
 12:30:45.123 INFO started in 1.2s
 08:15:09.771 WARN stopped in 9.8s
 page 128 of 3,500 = about 3.7%
+write to erika.42@mail7.example.com today
+reach tom.19@mail2.example.org or jan88@mail.example.net there
+the host 10.4.0.17 and 172.16.8.1 answered
+numbers 4839201748392017 5920174839201748 in a row
+they sold 1,234 items in version 3.2
+phone 212-555-0199 or (212) 555-0187 today
+call (503) 555-0121 or +49 30 901820
+https://example.com/de/4410?page=7&ref=y
+Authorization: Bearer [[assign|sk9.b7Xk2LmQ8Zr7Tn14f9Qw]]
+Authorization: Bearer [[assign|gho_8Zr7Tn14f9Xk2LmQ5Yt0Rk3Lw6]] sent
+bearer [[assign|Vx7Lm2Qp9Rt4Zk8Yw1Nb]] expired
 """.strip().split("\n")
 
 

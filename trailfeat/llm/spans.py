@@ -168,7 +168,8 @@ def fit(tagger: Tagger, docs: DataFrame, gold: list[tuple[str, list[Span]]], sam
     """Train on the labelled table ``gold`` and on base spans in a bounded sample of documents.
 
     ``sample_docs`` documents are looked at, and ``sample_runs`` of their token
-    runs (up to ``longest_run`` tokens each) reach the driver.
+    runs with a base span (up to ``longest_run`` tokens each) reach the driver.
+    What the base rules do not find there is open: it may be what the model is for.
     """
     pairs = [tagger.labelled(t, s) for t, s in gold]
     xs = [x for own, _ in pairs for x in own]
@@ -180,7 +181,10 @@ def fit(tagger: Tagger, docs: DataFrame, gold: list[tuple[str, list[Span]]], sam
                 rows = []
                 for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
                     for i, (x, y) in enumerate(zip(*tagger.labelled(text, tagger.base(text)), strict=True)):
-                        rows.append((doc, i, x[:longest_run].ravel().tolist(), y[:longest_run].tolist()))
+                        if y.any():
+                            first = max(0, int(np.flatnonzero(y)[0]) - longest_run // 2)
+                            cut = slice(first, first + longest_run)
+                            rows.append((doc, i, x[cut].ravel().tolist(), np.where(y[cut] > 0, y[cut], crf.OPEN).tolist()))
                 kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
                 cols = list(zip(*rows, strict=True)) or [()] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
