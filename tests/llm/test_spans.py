@@ -173,6 +173,22 @@ def test_corpus_does_not_outvote_the_labelled_table(spark):
         assert [(k, text[a:b]) for k, a, b in added] == [(kind, want)] and not none
 
 
+def test_secrets_of_letters_only(spark, none):
+    model = secrets.train(none)
+    pem = "kRzTmVbXyNcPfHsJgKuEoIaWqZrTyUiOpLkJhGfDsAzXcVbNmQwErTyUiOpAsDfG"
+    texts = {"Authorization: Bearer QwErTyUiOpAsDfGhJkLz": "QwErTyUiOpAsDfGhJkLz",
+             "login with pass CorrectHorseBattery": "CorrectHorseBattery", pem: pem,
+             "the key point of the token game is plain": None, "pass the butter, please": None}
+    for text, (_, added) in zip(texts, secrets.TAGGER.spans(model, list(texts))):
+        assert [text[a:b] for _, a, b in added] == ([texts[text]] if texts[text] else []), text
+
+
+def test_tokens_after_cues():
+    text = "a Key: b c d\nmonkey e keys f my_key g"
+    runs = spans.tokens_with(text, re.compile("[0-9]"), "", spans.Cues(("key",)))
+    assert [[text[a:b] for a, b in r] for r in runs] == [["b", "c"], ["g"]]
+
+
 def test_open_tags_sum_over_all_tags():
     """Gradient of the likelihood of the known tags, against all sequences written out."""
     from itertools import product

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 
 from .crf import Crf
 from .pii import marked
-from .spans import Span, Tagger, beside, counted_shape, fit, masked, shape, span_rows
+from .spans import Cues, Span, Tagger, beside, counted_shape, fit, masked, shape, span_rows
 
 KINDS = ("assign", "access", "hex")
 SAMPLE_DOCS = 4000
@@ -133,6 +133,31 @@ https://example.com/de/4410?page=7&ref=y
 Authorization: Bearer [[assign|sk9.b7Xk2LmQ8Zr7Tn14f9Qw]]
 Authorization: Bearer [[assign|gho_8Zr7Tn14f9Xk2LmQ5Yt0Rk3Lw6]] sent
 bearer [[assign|Vx7Lm2Qp9Rt4Zk8Yw1Nb]] expired
+Authorization: Bearer [[assign|ZkWqLmTrYbVxNcPdHsJg]]
+Authorization: Bearer [[assign|pLoKmIjNuHbYgVtFcRdX]] ok
+header Authorization: Bearer [[assign|mNbVcXzLkJhGfDsAqWeR]]
+login with pass [[assign|PurpleMonkeyDishwasher]]
+login with pass [[assign|SilverHorseMountain]] on the host
+the password [[assign|TigerLanternOcean]] was sent
+github token [[assign|QzWxEcRvTbYnUmIkOlPa]] was pushed
+access key [[assign|hYtGrFeDwSqAzXcVbNmK]] was found
+[[assign|MIIEvQIBADANBgkqhkiGwBAQEFAASCBKcwggSjAgEAAoIBAQ]]
+[[assign|wQdLkRzTmVbXyNcPfHsJgKuEoIaWqZrTyUiOpLkJhGfDsAzXcVbNm]]
+[[assign|BqNxVsTmKrJwYzLdPfHgCkQaWeRtYuIoPlMnBvCxZaSdFgHjKl]]
+the key idea is simple and old
+the token economy was a failure
+pass the salt and the bread
+a secret garden behind the house
+the basic idea of it is known
+keep the key under the mat
+the bearer of good news came
+password policy for all users
+JavaScript and TypeScript are languages
+the function getElementById returns a node
+class HttpServletRequestWrapper extends Base
+McDonald and LeBron met in DeKalb
+internationalization and counterrevolutionaries
+Donaudampfschifffahrtsgesellschaft is a word
 """.strip().split("\n")
 
 
@@ -181,7 +206,11 @@ def _features(text: str, run: list[tuple[int, int]], about: str) -> list[list[st
     return out
 
 
-TAGGER = Tagger(KINDS, base_spans, re.compile("[0-9=:]"), "=:", _features, file_feature, 14)
+#: A digit, = or :, a change to upper case within a word (as in random letters), or a long run of letters.
+_SIGNAL = re.compile("[0-9=:]|[a-z][A-Z]|[A-Za-z]{20}")
+CUES = Cues(("bearer", "basic", "pass", "password", "passwd", "passphrase", "pwd", "secret", "token", "key", "apikey",
+             "credential", "credentials"))
+TAGGER = Tagger(KINDS, base_spans, _SIGNAL, "=:", _features, file_feature, 14, CUES)
 
 
 def span_order(span: Span) -> tuple:

@@ -1,8 +1,8 @@
 """Tokens that can carry personal data or secrets, their features, and span taggers.
 
-Only *signal* tokens (runs of non-space characters with a character that the
-operator names, a digit for instance) can be tagged; every other token is
-outside by the definition of the model. The chain therefore falls apart into
+Only *signal* tokens (runs of non-space characters with something that the
+operator names, a digit for instance, and the tokens after its cue words) can be
+tagged; every other token is outside by the definition of the model. The chain therefore falls apart into
 runs of adjacent signal tokens, which are decoded one by one with the same
 result as over the whole text, and the plain words between them cost no Viterbi
 steps. The words beside a run enter as features.
@@ -33,8 +33,38 @@ _OPENING, _CLOSING = "\"'`<[{", ".,;:!?\"'`>]}*%$&#|"
 LOOK = 48  # characters of a neighbouring word, and of a token, that features see
 
 
-def tokens_with(text: str, signal: re.Pattern[str], follows: str = "") -> list[list[tuple[int, int]]]:
-    """Runs of adjacent signal tokens as ``(start, end)``; a token after one that ends in ``follows`` is one too."""
+@dataclass
+class Cues:
+    """Words (lower case, ASCII) after which the next ``reach`` tokens are signal tokens, whatever they are made of."""
+
+    words: tuple[str, ...]
+    reach: int = 2
+
+    def __post_init__(self):
+        self.pattern = re.compile(rf"(?<![a-z])(?:{'|'.join(self.words)})(?![a-z])[^ \t-\r]*", re.I | re.A)
+
+    def tokens(self, text: str) -> list[tuple[int, int]]:
+        low = text.encode("utf-8", "surrogatepass").lower()
+        if not any(w.encode() in low for w in self.words):
+            return []
+        out = []
+        for m in self.pattern.finditer(text):
+            end = m.end()
+            for _ in range(self.reach):
+                after = _WORD.search(text, end)
+                if not after:
+                    break
+                out.append(after.span())
+                end = after.end()
+        return out
+
+
+def tokens_with(text: str, signal: re.Pattern[str], follows: str = "",
+                cues: Cues | None = None) -> list[list[tuple[int, int]]]:
+    """Runs of adjacent signal tokens as ``(start, end)``.
+
+    A token after one that ends in ``follows`` is one too, and so are the tokens after a cue word.
+    """
     found: list[tuple[int, int]] = []
     end = 0
     size = len(text)
@@ -54,6 +84,8 @@ def tokens_with(text: str, signal: re.Pattern[str], follows: str = "") -> list[l
             found.append(after.span())
             end = after.end()
         at = signal.search(text, end)
+    if cues:
+        found = sorted({*found, *cues.tokens(text)})
     runs: list[list[tuple[int, int]]] = []
     for s, e in found:
         if runs and not text[runs[-1][-1][1]:s].strip(ASCII_SPACE):
@@ -115,9 +147,10 @@ class Tagger:
     features: Callable[[str, list[tuple[int, int]], str], list[list[str]]]
     file_feature: Callable[[str], str]
     slots: int
+    cues: Cues | None = None
 
     def encoded(self, text: str) -> tuple[list[list[tuple[int, int]]], list[np.ndarray]]:
-        runs = tokens_with(text, self.signal, self.follows)
+        runs = tokens_with(text, self.signal, self.follows, self.cues)
         about = self.file_feature(text) if runs else ""
         return runs, [np.array([crf.feature_ids(f, self.slots) for f in self.features(text, run, about)], np.int32)
                       for run in runs]
