@@ -85,10 +85,16 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_rows(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 49_408, end_id=2)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import verified_documents
+
+    return verified_documents(table(spark, sf_dir, "documents")).drop("source")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_feistel_shards, op2_quality_rules, op3_url_filters, op4_simhash, op5_pii_crf, op6_best_fit_packing,
-        op7_secret_crf, op8_benchmark_leaks, op9_cross_entropy, op10_token_files)}
+        op7_secret_crf, op8_benchmark_leaks, op9_cross_entropy, op10_token_files, op12_merkle_manifest)}
 
 
 _URL_PARTS = r"""
@@ -111,6 +117,71 @@ select page_id, host, path, rule, coalesce(rverdict, 'allow') as verdict
 from located left join (select * from hits where nr = 1) using (id)
 """
 
+OP12_SQL = """
+with recursive fields as (
+  select doc_id, source, lang, n_chars, text,
+         list_reduce([ascii(c) for c in string_split(doc_id::varchar, '')],
+           lambda crc, b: list_reduce([x::bigint for x in range(8)], lambda a, x: xor(a >> 1, 3988292384 * (a & 1)), xor(crc, b)),
+           4294967295) as crc
+  from documents
+),
+texts as (
+  select *, case when xor(crc, 4294967295) % 2 = 0 then replace(text, chr(10), '') else text end as changed from fields
+),
+leaves as (
+  select doc_id, source,
+         sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+         sha256(head || coalesce(strlen(changed) || ':' || changed, '-')) as given
+  from (select *, coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                  || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') as head
+        from texts)
+),
+placed as (
+  select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as i,
+         dense_rank() over (order by source nulls first) - 1 as t
+  from leaves
+),
+tree(lvl, t, i, d, n) as (
+  select 0, t, i, leaf, count(*) over (partition by t) from placed
+  union all
+  select lvl + 1, t, i // 3, sha256(string_agg(d, '' order by i)), (any_value(n) + 2) // 3
+  from tree where n > 1 group by lvl, t, i // 3
+),
+subroots as (select t, lvl as k, d as subroot from tree where n = 1),
+top(lvl, t, i, d, n) as (
+  select 0, 0, t, subroot, count(*) over () from subroots
+  union all
+  select lvl + 1, 0, i // 3, sha256(string_agg(d, '' order by i)), (any_value(n) + 2) // 3
+  from top where n > 1 group by lvl, i // 3
+),
+nodes as (
+  select lvl, t, i, d from tree where n > 1
+  union all
+  select s.k + top.lvl, s.t, top.i, top.d from top join subroots s on true where top.n > 1
+),
+spots as (
+  select p.t, p.i as leaf_i, lvl, case when lvl < s.k then (p.i // (3 ** lvl)::bigint) else p.t // (3 ** (lvl - s.k))::bigint end as own
+  from placed p join subroots s using (t) join (select distinct t, lvl from nodes) using (t)
+),
+rungs as (
+  select sp.t, sp.leaf_i, sp.lvl, string_agg(d, '' order by n.i) filter (n.i < own) as a,
+         string_agg(d, '' order by n.i) filter (n.i > own) as b
+  from spots sp join nodes n on n.t = sp.t and n.lvl = sp.lvl and n.i // 3 = own // 3 group by all
+),
+paths as (
+  select t, leaf_i, list({'a': coalesce(a, ''), 'd': '', 'b': coalesce(b, '')} order by lvl) as path from rungs group by all
+),
+proofs as (
+  select p.*, s.subroot, (select d from top where n = 1) as root, coalesce(path, []) as path
+  from placed p join subroots s using (t) left join paths q on q.t = p.t and q.leaf_i = p.i
+)
+select doc_id, leaf, subroot, root,
+       sha256(list_reduce(path, lambda acc, r: acc || r.a || r.b, '')) as proof_sha256,
+       list_reduce(path, lambda acc, r: sha256(r.a || acc || r.b), given) as folded_root,
+       folded_root = root as verified
+from proofs
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filters": OP3_SQL}
+    return {"op3_url_filters": OP3_SQL, "op12_merkle_manifest": OP12_SQL}
