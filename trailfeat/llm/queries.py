@@ -91,10 +91,17 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_documents(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import prefix_trie, rebuilt, turns_of
+
+    return prefix_trie(rebuilt(turns_of(table(spark, sf_dir, "conversations"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_feistel_shards, op2_quality_rules, op3_url_filters, op4_simhash, op5_pii_crf, op6_best_fit_packing,
-        op7_secret_crf, op8_benchmark_leaks, op9_cross_entropy, op10_token_files, op12_merkle_manifest)}
+        op7_secret_crf, op8_benchmark_leaks, op9_cross_entropy, op10_token_files, op12_merkle_manifest,
+        op13_prefix_trie)}
 
 
 _URL_PARTS = r"""
@@ -182,6 +189,50 @@ select doc_id, leaf, subroot, root,
 from proofs
 """
 
+OP13_SQL = r"""
+with crcs as (
+  select distinct conv_id, xor(list_reduce([ascii(c) for c in string_split(conv_id::varchar, '')],
+           lambda crc, b: list_reduce([x::bigint for x in range(8)], lambda a, x: xor(a >> 1, 3988292384 * (a & 1)), xor(crc, b)),
+           4294967295), 4294967295) % 4 as h
+  from conversations where conv_id is not null
+),
+own as (
+  select conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+                       order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns
+  from conversations where conv_id is not null group by conv_id
+),
+built as (
+  select o.conv_id, list_concat(coalesce(list_slice(b.turns, 1, h), []), list_slice(o.turns, h + 1, len(o.turns))) as turns
+  from own o join crcs using (conv_id) left join own b on b.conv_id = o.conv_id - o.conv_id % 20
+),
+steps as (
+  select conv_id as c, d, list_slice(turns, 1, d) as path, len(turns) as size
+  from (select *, unnest(range(len(turns) + 1)) as d from built)
+),
+nodes as (
+  select path, any_value(d) as depth, min(c) as conv_id, count(*) as n_convs,
+         sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (size = d), '')) as ends_sha256,
+         case when any_value(d) = 0 then 0 else len(regexp_extract_all(any_value(path[-1].t), '[^\x20\x09-\x0D]+')) end as words
+  from steps group by path
+),
+named as (select s.c, s.d, n.conv_id from steps s join nodes n on n.path = s.path),
+linked as (
+  select n.*, p.conv_id as parent_conv_id
+  from nodes n left join named p on p.c = n.conv_id and p.d = n.depth - 1
+),
+kids as (select parent_conv_id as conv_id, depth - 1 as depth, count(*) as n_children from linked where depth > 0 group by 1, 2),
+full_nodes as (select l.*, coalesce(n_children, 0) as n_children from linked l left join kids k using (conv_id, depth)),
+below as (
+  select a.conv_id, a.d as depth, f.conv_id as u, f.depth as du, any_value(f.n_children) as kids, any_value((f.n_convs - 1) * f.words) as saved
+  from full_nodes f join named a on a.c = f.conv_id and a.d <= f.depth group by all
+),
+sums as (
+  select conv_id, depth, count(*) filter (kids = 0) as n_leaves, sum(saved)::bigint as saved_tokens from below group by 1, 2
+)
+select conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+from full_nodes join sums using (conv_id, depth)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filters": OP3_SQL, "op12_merkle_manifest": OP12_SQL}
+    return {"op3_url_filters": OP3_SQL, "op12_merkle_manifest": OP12_SQL, "op13_prefix_trie": OP13_SQL}
