@@ -1,0 +1,97 @@
+import random
+
+import numpy as np
+import pytest
+
+from trailfeat.llm import substrings as S
+
+
+def plain(rows, length):
+    """(doc_id, n_words, n_removed, kept) of each row, by loops over all windows."""
+    split = [(d, (t or "").encode().split()) for d, t in rows]
+    least = {}
+    for d, words in split:
+        if d is not None:
+            for i in range(len(words) - length + 1):
+                w = tuple(words[i:i + length])
+                least[w] = min(d, least.get(w, d))
+    out = []
+    for d, words in split:
+        gone = set()
+        if d is not None:
+            for i in range(len(words) - length + 1):
+                if least[tuple(words[i:i + length])] < d:
+                    gone.update(range(i, i + length))
+        kept = [w for i, w in enumerate(words) if i not in gone]
+        out.append((d, len(words), len(gone), b" ".join(kept).decode()))
+    return sorted(out, key=str)
+
+
+def rows_of(df):
+    return sorted([(r.doc_id, r.n_words, r.n_removed, r.kept) for r in df.collect()], key=str)
+
+
+def test_levels():
+    assert S.levels(13, 4) == [4, 8, 13]
+    assert S.levels(13, 13) == [13]
+    assert S.levels(5, 9) == [5]
+    assert S.levels(64, 1) == [1, 2, 4, 8, 16, 32, 64]
+
+
+@pytest.mark.parametrize("length, first, chunk, bucket", [(13, 4, 50_000, 3000), (13, 7, 1 << 20, 1 << 20), (5, 1, 20_000, 500)])
+def test_documents_equal_loops(spark, documents, length, first, chunk, bucket):
+    docs = spark.createDataFrame(list(documents.items()), "doc_id long, text string").repartition(3)
+    found = S.drop_repeats(docs, length, first, chunk_bytes=chunk, bucket_windows=bucket)
+    want = plain(list(documents.items()), length)
+    assert rows_of(found) == want
+    assert sum(w[2] for w in want) > 0
+
+
+def test_passage_of_most_documents(spark):
+    """One passage in nearly every document, copies, and shifted repeats within and between documents."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(400)]
+    common = " ".join(rng.choices(words, k=60))
+    rows = []
+    for d in range(300):
+        own = " ".join(rng.choices(words, k=rng.randrange(0, 40)))
+        rows.append((d, f"{own} {common} {own}" if d % 10 else own))
+    rows += [(500 + d, rows[7][1]) for d in range(150)]
+    rows += [(900, " ".join(["again"] * 50)), (901, " ".join(["again"] * 30) + " x " + " ".join(["again"] * 13))]
+    found = S.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), chunk_bytes=5000, bucket_windows=100)
+    assert rows_of(found) == plain(rows, 13)
+
+
+def test_odd_rows(spark, odd):
+    """Nulls, empty and very long texts, ties, repeated rows, null and negative ids, clashing column names."""
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    for length, first in ((13, 4), (3, 1)):
+        assert rows_of(S.drop_repeats(odd, length, first, chunk_bytes=1000, bucket_windows=50)) == plain(rows, length)
+    ids = [(-5, "a b c d"), (None, "a b c d"), (7, "a b c d"), (7, "x a b c d"), (-(1 << 63), "c d e f"), ((1 << 63) - 1, "c d e f a b")]
+    table = spark.createDataFrame([(d, t, 1, "s") for d, t in ids], "doc_id long, text string, chunk int, kind string")
+    assert rows_of(S.drop_repeats(table, 2, 1)) == plain(ids, 2)
+
+
+def test_nothing_repeats(spark, none):
+    assert S.drop_repeats(none).collect() == []
+    rows = [(d, " ".join(f"d{d}w{i}" for i in range(30))) for d in range(5)]
+    assert rows_of(S.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string"))) == plain(rows, 13)
+    with pytest.raises(ValueError):
+        S.drop_repeats(none, 3, 4)
+
+
+def test_names_tell_windows_apart():
+    texts = [" ".join(map(str, np.random.default_rng(k).integers(0, 9, 400))) for k in range(3)]
+    data = [t.encode().split() for t in texts]
+    local = {w: i for i, w in enumerate(sorted({w for t in data for w in t}))}
+    packed = S.packed(np.array([len(t) for t in data]), np.array([local[w] for t in data for w in t]),
+                      np.frombuffer(b" ".join(local), np.uint8))
+    chunk = S.Chunk([1, 2, 3], packed)
+    flat = [w for t in data for w in t]
+    for length in (1, 2, 5, 13):
+        names, starts = chunk.names(length), chunk.starts(length)
+        by_name = {}
+        for i in starts:
+            by_name.setdefault(int(names[i]), set()).add(tuple(flat[i:i + length]))
+        assert all(len(v) == 1 for v in by_name.values())
+        assert len(by_name) == len({tuple(flat[i:i + length]) for i in starts})

@@ -85,6 +85,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_rows(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 49_408, end_id=2)
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substrings import deduplicated
+
+    return deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .merkle import verified_documents
 
@@ -100,8 +106,8 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_feistel_shards, op2_quality_rules, op3_url_filters, op4_simhash, op5_pii_crf, op6_best_fit_packing,
-        op7_secret_crf, op8_benchmark_leaks, op9_cross_entropy, op10_token_files, op12_merkle_manifest,
-        op13_prefix_trie)}
+        op7_secret_crf, op8_benchmark_leaks, op9_cross_entropy, op10_token_files, op11_substring_dedup,
+        op12_merkle_manifest, op13_prefix_trie)}
 
 
 _URL_PARTS = r"""
@@ -124,6 +130,24 @@ select page_id, host, path, rule, coalesce(rverdict, 'allow') as verdict
 from located left join (select * from hits where nr = 1) using (id)
 """
 
+OP11_SQL = r"""
+with split as (
+  select row_number() over () as nr, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+),
+windows as (
+  select nr, doc_id, p, array_to_string(list_slice(words, p, p + 12), ' ') as seq
+  from (select *, unnest(range(1, len(words) - 11)) as p from split)
+),
+firsts as (select seq, min(doc_id) as least from windows group by seq),
+gone as (
+  select distinct nr, w from (select nr, unnest(range(p, p + 13)) as w from windows join firsts using (seq) where least < doc_id)
+),
+placed as (select nr, words[w] as word, w from (select nr, words, unnest(range(1, len(words) + 1)) as w from split)),
+kept as (select nr, count(*) as n, string_agg(word, ' ' order by w) as rest from placed anti join gone using (nr, w) group by nr)
+select doc_id, len(words) as n_words, len(words) - coalesce(n, 0) as n_removed, sha256(coalesce(rest, '')) as kept_sha256
+from split left join kept using (nr)
+"""
+
 OP12_SQL = """
 with recursive fields as (
   select doc_id, source, lang, n_chars, text,
@@ -235,4 +259,5 @@ from full_nodes join sums using (conv_id, depth)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filters": OP3_SQL, "op12_merkle_manifest": OP12_SQL, "op13_prefix_trie": OP13_SQL}
+    return {"op3_url_filters": OP3_SQL, "op11_substring_dedup": OP11_SQL, "op12_merkle_manifest": OP12_SQL,
+            "op13_prefix_trie": OP13_SQL}
