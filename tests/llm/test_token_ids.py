@@ -1,4 +1,6 @@
 import io
+import json
+import random
 import zlib
 
 import numpy as np
@@ -7,6 +9,7 @@ from .conftest import SF
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from trailfeat.llm import bpe
 from trailfeat.llm import queries as Q
 from trailfeat.llm import token_ids as T
 from trailfeat.llm.bpe import Encoder
@@ -24,6 +27,39 @@ def test_encoder_equals_the_library(documents, name):
         assert np.frombuffer(enc.encode(t), "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_on_random_strings(name, monkeypatch):
+    monkeypatch.setattr(bpe, "PIECE_CHARS", 25)  # texts are cut many times
+    pool = [" ", " ", "\n", "\t", "a", "B", "the", "cat sat", "'s", "'LL", "é", "İ", "Σς", "²", "½", "́", "\x1c", "\x85", "\xa0", "日本",
+            "🙂", "<|", "<|endoftext|>", "_", "-", "...", "12", "x1y", "\x00", "ﬁ", "ª", "\xad", "don't", "ÀÉ"]
+    rng = random.Random(11)
+    enc = Encoder(Q.tokenizer_path(name), cache_words=50)
+    lib = Tokenizer.from_file(Q.tokenizer_path(name))
+    assert enc.engine is not None
+    for _ in range(3000):
+        t = "".join(rng.choices(pool, k=rng.randrange(1, 40)))
+        assert np.frombuffer(enc.encode(t), "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, t
+
+
+def test_unknown_files_go_through_the_library(tmp_path):
+    """A file with another normalizer or merges in another order gets the library's ids."""
+    path = Q.tokenizer_path("byte_bpe_50k.json")
+    file = json.load(open(path))
+    assert bpe.form_of(file) == "bytes"
+    changed = {**file, "normalizer": {"type": "Lowercase"}}
+    assert bpe.form_of(changed) is None
+    merges = list(file["model"]["merges"])
+    merges[0], merges[1] = merges[1], merges[0]
+    swapped = {**file, "model": {**file["model"], "merges": merges}}
+    for k, other in enumerate((changed, swapped)):
+        own = tmp_path / f"{k}.json"
+        own.write_text(json.dumps(other))
+        enc, lib = Encoder(str(own)), Tokenizer.from_file(str(own))
+        assert enc.engine is None
+        for t in ODD_TEXTS:
+            assert np.frombuffer(enc.encode(t), "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("width", [1, 3, 8, 15, 16, 17, 20, 31, 32])
 def test_packing_round_trip(width):
     rng = np.random.default_rng(width)

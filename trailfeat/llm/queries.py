@@ -80,9 +80,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import vocabulary_size
     from .token_ids import token_file_rows
 
-    return token_file_rows(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 49_408, end_id=2)
+    path = tokenizer_path("word_bpe_49k.json")
+    return token_file_rows(table(spark, sf_dir, "documents"), path, vocabulary_size(path), end_id=2)
 
 
 def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
