@@ -4,7 +4,8 @@ Two bigram models of the same form, smoothing and vocabulary are counted over
 the corpus: the background over all documents, the target over the documents
 that are labelled as wanted. A document's score is its mean loss per token under
 the target model minus that under the background model; low scores read like
-the target.
+the target. A document's own counts are taken off both models before it is scored
+(leave one out), so its label alone does not move its score.
 
 The shared vocabulary is every word of all documents, and every bigram counts;
 nothing of it reaches the driver or is broadcast. Documents are written once as
@@ -24,8 +25,11 @@ outside ASCII count as letters.
 
 Defined cases: a text without words (null, empty) has 0 tokens and null losses
 and score; a null doc_id is never a target; labels that are null or not 1 mark
-no target, and without any target the target model is uniform; repeated rows
-count as often as they occur; an empty table gives an empty result.
+no target, and without any target the target model is the background's words without
+their context; repeated rows
+count as often as they occur (each takes off its own counts alone); a very long text
+is a chunk of its own; columns other than doc_id, text and quality do not matter; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -54,6 +58,8 @@ WORD_BUCKETS, WORD_BUCKET_TOKENS = 256, 16_000_000
 PAIR_BUCKETS, PAIR_BUCKET_TOKENS = 512, 4_000_000
 #: Pseudo-count by which a bigram distribution leans on the unigram one.
 LEAN = 20.0
+#: Pseudo-count by which the target's unigram distribution leans on the background's.
+LEAN_WORDS = 1000.0
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if chr(b).isalnum() and b < 128 or b >= 128 else 32 for b in range(256))
 _TOKENS, _MARKS, _WORDS, _PAIRS = range(4)
 
@@ -295,8 +301,20 @@ def _ask_pairs(rows: DataFrame, word_buckets: int, buckets: int) -> DataFrame:
         answer, "chunk long, bucket int, data binary")
 
 
+def _within(doc: np.ndarray, values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct ``doc * width + value``, how often each occurs, and which of them each entry is."""
+    keys, which, count = np.unique(doc * width + values, return_inverse=True, return_counts=True)
+    return keys, count, which
+
+
+def _own(doc: np.ndarray, values: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """For each entry, the sum of weights over the entries of the same document and value."""
+    _, _, which = _within(doc, values, int(values.max()) + 1)
+    return np.bincount(which, weights=weights)[which]
+
+
 def _scores(rows: DataFrame, kind: str, sums: dict[str, int], word_buckets: int, pair_buckets: int,
-            lean: float = LEAN) -> DataFrame:
+            lean: float = LEAN, lean_words: float = LEAN_WORDS) -> DataFrame:
     def score(group: pa.Table) -> pa.Table:
         c = _Chunk(group)
         losses = [None, None]
@@ -304,12 +322,22 @@ def _scores(rows: DataFrame, kind: str, sums: dict[str, int], word_buckets: int,
             ids, *stats = c.renumbered(*c.answered(_WORDS, c.word_buckets(word_buckets)))
             before, word, which = c.pairs()
             cells = c.answered(_PAIRS, _pair_buckets(np.append(np.uint64(0), ids)[before], ids[word], pair_buckets))
+            # what a document itself adds to the counts of its bigrams, of the words before them, and of their words
+            pair, own_pair, _ = _within(c.doc, which, len(before))
+            doc = pair // len(before)
+            before, word, cell = before[pair % len(before)], word[pair % len(before)], pair % len(before)
+            own_before, own_word = _own(doc, before, own_pair), _own(doc, word, own_pair)
             for k, (total, starts) in enumerate(((sums["n"], sums["e"]), (sums["t"], sums["et"]))):
-                one = (stats[k] + 0.5) / (total + 0.5 * (sums["known"] + 1))
-                rows_of = np.append(np.uint64(starts), stats[2 + k]).astype(np.float64)
-                loss = -np.log((cells[k] + lean * one[word]) / (rows_of[before] + lean))
+                # leave one out: a document is scored by models that have not seen it
+                seen = np.ones(len(doc)) if k == 0 else c.target[doc].astype(np.float64)
+                rest = total - seen * c.sizes[doc]
+                count = stats[k][word] - seen * own_word
+                # words that the target lacks are as rare to it as to the background, not rarer by its size
+                one = (count + 0.5) / (rest + 0.5 * (sums["known"] + 1)) if k == 0 else (count + lean_words * one) / (rest + lean_words)
+                rows_of = np.append(np.uint64(starts), stats[2 + k]).astype(np.float64)[before] - seen * own_before
+                loss = -np.log((cells[k][cell] - seen * own_pair + lean * one) / (rows_of + lean))
                 with np.errstate(invalid="ignore"):
-                    losses[k] = np.bincount(c.doc, weights=loss[which], minlength=len(c.sizes)) / c.sizes
+                    losses[k] = np.bincount(doc, weights=own_pair * loss, minlength=len(c.sizes)) / c.sizes
         background, target = ([None] * len(c.sizes) if v is None else v for v in losses)
         blank = ~c.some
         if len(c.tokens):
