@@ -85,7 +85,21 @@ def test_odd_rows(spark, odd, none):
                                    (4, "One, two: three four five SIX - seven eight"), (4, "w1 w2 w3 w4 w5 w6 w7 w8 w9")],
                                   "item_id long, text string")
     got = sorted((r["doc_id"], r["item_id"] or 0, r["distance"]) for r in D.find_leaks(odd, items).collect())
-    assert got == [(6, 0, 0), (6, 4, 0)]  # items of three words are no evidence; six of eight words are too few
+    # items of three words must be there as they are; six of eight words are too few
+    assert got == [(4, 3, 0), (4, 3, 0), (5, 3, 0), (6, 0, 0), (6, 4, 0)]
+    long_only = sorted((r["doc_id"], r["item_id"] or 0) for r in D.find_leaks(odd, items, min_words=8).collect())
+    assert long_only == [(6, 0), (6, 4)]
     assert D.find_leaks(none, items).collect() == [] and D.find_leaks(odd, items.limit(0)).collect() == []
     kept = D.drop_contaminated(odd, items)
-    assert kept.columns == odd.columns and kept.count() == 11 and D.drop_contaminated(odd, items.limit(0)).count() == 12
+    assert kept.columns == odd.columns and kept.count() == 8 and D.drop_contaminated(odd, items.limit(0)).count() == 12
+
+
+def test_short_items_are_found_as_they_are(spark):
+    """Items of a few words, and items in scripts without spaces, are found exactly."""
+    items = [(1, "Who wrote the Iliad?"), (2, "five words in this item"), (3, "日本の首都はどこですか"), (4, "水"), (5, "...")]
+    docs = [(1, "q: who WROTE, the iliad? a: Homer"), (2, "who wrote an iliad"), (3, "so five words in this item, yes"),
+            (4, "five words on this item"), (5, "問題:日本の首都はどこですか?東京です。"), (6, "日本の首相はどこですか"), (7, "お水をください"),
+            (8, "日本の首部はどこですか 日本の首都はどこですか、です")]
+    got = {(r["doc_id"], r["item_id"], r["distance"]) for r in D.find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(1, 1, 0), (3, 2, 0), (5, 3, 0), (6, 3, 1), (7, 4, 0), (8, 3, 0)}

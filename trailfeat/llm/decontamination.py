@@ -1,8 +1,9 @@
 """Benchmark items in documents, exact or with errors, by pigeonhole pieces.
 
 Documents and items are compared as word sequences (lower-cased runs of letters
-and digits). An item of ``n`` words may differ from a passage by ``floor(rate *
-n)`` word edits (insertions, deletions, substitutions). It is split into one
+and digits; in scripts without spaces each character is a word). An item of ``n`` words
+may differ from a passage by ``floor(rate * n)`` word edits (insertions, deletions,
+substitutions); one under ``EXACT_WORDS`` words must be there as it is. It is split into one
 piece more than that, so every passage within the budget holds at least one
 piece unchanged. An Aho-Corasick automaton finds all pieces in whole texts; each
 hit is verified by Myers' bit-parallel edit distance of the whole item against
@@ -12,10 +13,12 @@ The items are a stated query set against all rows: they are dealt to blocks of
 at most ``block_bytes`` of text, so that what is broadcast has a fixed bound, and
 the documents are passed over once for each block (once for ordinary benchmarks).
 
-Defined cases: null and empty texts hold nothing; an item with fewer than
-``min_words`` words is no evidence and matches nothing; items with the same words
-are all reported; repeated rows are reported each; an empty table on either side
-gives no hits. ``drop_contaminated`` keeps all columns.
+Defined cases: null and empty texts hold nothing; an item without words matches
+nothing, and one with fewer than ``min_words`` words neither, where the caller asks for
+more than one (off by default); items with the same words are all reported; repeated
+rows are reported each; very long texts are searched whole, one at a time; columns other than
+doc_id, text and item_id do not matter for the hits; an empty table on either side gives no hits.
+``drop_contaminated`` keeps all columns.
 """
 
 from __future__ import annotations
@@ -31,19 +34,28 @@ from pyspark.sql import functions as F
 from .common import map_arrow, slices, texts
 
 ERROR_RATE = 0.2
-MIN_WORDS = 8
+#: Items of fewer words are matched without errors.
+EXACT_WORDS = 8
+MIN_WORDS = 1
 BLOCK_BYTES = 16 << 20
 
 _GAP = re.compile(r"[\W_]+")
 
 
+#: Letters of scripts that are written without spaces: Thai, Lao, Burmese, Khmer, kana, Han.
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
+
+
 def normal(text: str) -> str:
     """Lower-cased words, each with one space before and after it."""
-    return f" {_GAP.sub(' ', text.lower()).strip()} "
+    plain = _GAP.sub(" ", text.lower())
+    if not plain.isascii() and _UNSPACED.search(plain):
+        plain = " ".join(_UNSPACED.sub(r" \1 ", plain).split())
+    return f" {plain.strip()} "
 
 
 def budget(words: int, rate: float = ERROR_RATE) -> int:
-    return int(rate * words + 1e-9)
+    return int(rate * words + 1e-9) if words >= EXACT_WORDS else 0
 
 
 def pieces(words: list[str], errors: int) -> list[tuple[int, list[str]]]:
@@ -87,7 +99,7 @@ class Finder:
         places: dict[str, list[tuple[int, int]]] = {}
         for item, text in items:
             words = normal(text).split()
-            if len(words) < min_words:
+            if len(words) < max(1, min_words):
                 continue
             k = len(self.items)
             self.items.append((item, words, budget(len(words), rate)))
