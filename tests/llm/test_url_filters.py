@@ -64,3 +64,15 @@ def test_query_against_sql(spark):
     con = duckdb.connect()
     con.execute(f"create view pages as select * from '{SF}/pages.parquet'")
     assert got == sorted(map(repr, con.execute(Q.OP3_SQL).fetchall()))
+
+
+def test_rule_tables_with_many_shapes(spark):
+    """Thousands of path lengths, in blocks: the longest rule wins across blocks."""
+    rules = [("com", "/" + "a" * n, "block" if n % 2 else "allow") for n in range(5000)] + [("b.com", "/" + "a" * 10, "block")]
+    urls = ["http://x.com/" + "a" * n for n in (0, 1, 700, 4095, 4999, 6000)] + ["http://b.com/" + "a" * 11, "http://c.org/aaa"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    table = spark.createDataFrame(rules, RULES)
+    want = sorted(repr((i, *twin(u, rules))) for i, u in enumerate(urls))
+    for size in (U.SHAPES, 900):
+        got = U.filter_urls(pages, table, block_shapes=size).collect()
+        assert sorted(map(repr, (tuple(r) for r in got))) == want
