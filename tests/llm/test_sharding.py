@@ -71,6 +71,25 @@ def test_hot_id_is_spread_and_numbers_have_no_gaps(spark):
     assert sorted((r["shard"], r["slot"]) for r in got) == [(s, i) for s in range(4) for i in range(750)]
 
 
+def test_repeated_tasks_deal_hot_rows_alike(spark, tmp_path):
+    """The plan after the salt holds no function of a row's place: computing it twice in another order gives the same."""
+    docs = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit("same").alias("text"))
+    seen = []
+    real = S.checkpointed
+
+    def watched(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        seen.append("monotonically_increasing_id" in plan and ("Join" in plan or "Window" in plan))
+        return real(df)
+
+    S.checkpointed = watched
+    try:
+        S.shard_documents(docs, shards=4, rows_per_range=100).collect()
+    finally:
+        S.checkpointed = real
+    assert seen == [False, False]
+
+
 def test_odd_rows(odd, none):
     got = S.shard_documents(odd, shards=3).collect()
     assert sorted((r["shard"], r["slot"]) for r in got) == [(s, i) for s in range(3) for i in range(4)]

@@ -73,17 +73,20 @@ def permuted(x: Column, n: int, seed: int = SEED, rounds: int = ROUNDS) -> Colum
 def number_rows(rows: DataFrame, n: int, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Replace ``(id, tie, row)`` by ``(row, row_number)`` with gapless global numbers.
 
-    ``rows`` is written to the checkpoint folder once, sorted within its hash
-    ranges, so that the counts and the numbers come from the same rows.
+    ``rows`` is written to the checkpoint folder with a salt for each row, and again sorted
+    within its hash ranges, so that the counts and the numbers come from the same rows
+    whichever tasks are repeated.
     """
     bits = max(0, math.ceil(math.log2(max(1, n / rows_per_range))))
     span = F.lit(0).cast("long") if bits == 0 else F.shiftright(F.col("h"), 64 - bits)
+    # the salt is written with its row: a task that is repeated later deals the rows of a hot id as before
+    rows = checkpointed(rows.withColumn("salt", F.monotonically_increasing_id()))
     ranged = rows.withColumn("h", F.xxhash64("id")).withColumn("range", span)
     heavy = (rows.groupBy(F.xxhash64("id").alias("h")).count().where(F.col("count") > rows_per_range)
              .select(span.alias("range"), "h", F.ceil(F.col("count") / rows_per_range).alias("parts"))
              .groupBy("range").agg(F.collect_list(F.struct("h", "parts")).alias("heavy")))
     # part 2j: hashes between the heavy ones; part 2j + 1: heavy hash j, split further by a salt
-    ranged = ranged.join(heavy, "range", "left").withColumn("salt", F.monotonically_increasing_id())
+    ranged = ranged.join(heavy, "range", "left")
     below = F.expr("size(filter(heavy, v -> v.h < h))")
     parts = F.expr("get(filter(heavy, v -> v.h = h), 0).parts")
     ranged = ranged.select(
