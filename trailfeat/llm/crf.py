@@ -3,9 +3,9 @@
 Tokens are given as rows of feature ids (hashed, a fixed number per token) and
 tagged with ``O``, ``B-kind`` and ``I-kind``. ``train`` maximises the
 regularised log-likelihood by full forward-backward passes over a bounded table
-of labelled sequences; ``decode`` runs Viterbi over padded batches of sequences
-of similar length, so memory is bounded by the batch, and one very long
-sequence is a batch of its own. A training tag of ``OPEN`` is not known: such a
+of labelled sequences; ``decode_chains`` runs Viterbi over padded batches of chains
+of similar length, so memory is bounded by the batch, and a very long chain goes
+block by block, all blocks at the same time. A training tag of ``OPEN`` is not known: such a
 token is summed over all its tags and teaches nothing by itself.
 """
 
@@ -130,38 +130,127 @@ def train(sequences: list[np.ndarray], tags: list[np.ndarray], kinds: list[str],
     return Crf(kinds, weights, m + gate)
 
 
-def decode(model: Crf, sequences: list[np.ndarray], batch_tokens: int = 200_000) -> list[np.ndarray]:
-    """The best tag sequence of each sequence."""
-    n = model.weights.shape[1]
-    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(sequences)
-    order = sorted((i for i in range(len(sequences)) if len(sequences[i])), key=lambda i: len(sequences[i]))
+def emissions(model: Crf, x: np.ndarray, block: int = 20_000) -> np.ndarray:
+    """The score of every tag for each token, block by block."""
+    out = np.empty((len(x), model.weights.shape[1]), np.float32)
+    for at in range(0, len(x), block):
+        out[at:at + block] = model.weights[x[at:at + block]].sum(axis=1)
+    return out
+
+
+def _together(moves: np.ndarray, e: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Viterbi over padded chains: ``e (chains, longest, tags)``."""
+    rows, size, n = e.shape
+    back = np.zeros((rows, size, n), np.int8)
+    score = moves[n] + e[:, 0]
+    for t in range(1, size):
+        ways = score[:, :, None] + moves[None, :n]
+        best = ways.argmax(axis=1)
+        live = (t < sizes)[:, None]
+        back[:, t] = np.where(live, best, np.arange(n))
+        score = np.where(live, np.take_along_axis(ways, best[:, None], axis=1)[:, 0] + e[:, t], score)
+    tag = score.argmax(axis=1)
+    found = np.zeros((rows, size), np.int64)
+    for t in range(size - 1, -1, -1):
+        found[:, t] = tag
+        tag = back[np.arange(rows), t, tag]
+    return found
+
+
+def _alone(moves: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Viterbi over one long chain, all its blocks of about the root of its length at the same time.
+
+    The best score from each tag before a block to each of its last tags is found for
+    every block first; these give the scores with which each block is entered.
+    """
+    n = e.shape[1]
+    size = max(1, int((len(e) - 1) ** 0.5))
+    blocks = -(-(len(e) - 1) // size)
+    part = np.zeros((blocks, size, n))
+    part.reshape(-1, n)[:len(e) - 1] = e[1:]
+    live = np.arange(blocks * size).reshape(blocks, size) < len(e) - 1
+    stay = np.where(np.eye(n, dtype=bool), 0.0, -np.inf)
+    across = np.broadcast_to(stay, (blocks, n, n)).copy()
+    ways = [np.flatnonzero(moves[i] > _NEVER / 2) for i in range(n)]  # tags that can follow a tag
+    for t in range(size):
+        new = np.full_like(across, -np.inf)
+        for i, to in enumerate(ways):
+            if len(to) == n:
+                np.maximum(new, across[:, :, i, None] + moves[i], out=new)
+            else:
+                new[:, :, to] = np.maximum(new[:, :, to], across[:, :, i, None] + moves[i, to])
+        new += part[:, t, None]
+        across = new if live[:, t].all() else np.where(live[:, t, None, None], new, across)
+    enter = np.empty((blocks, n))
+    score = moves[n] + e[0]
+    for b in range(blocks):
+        enter[b] = score
+        score = (score[:, None] + across[b]).max(axis=0)
+    back = np.zeros((blocks, size, n), np.int8)
+    here = enter
+    for t in range(size):
+        ways = here[:, :, None] + moves[None, :n]
+        best = ways.argmax(axis=1)
+        on = live[:, t, None]
+        back[:, t] = np.where(on, best, np.arange(n))
+        here = np.where(on, np.take_along_axis(ways, best[:, None], axis=1)[:, 0] + part[:, t], here)
+    origin = np.broadcast_to(np.arange(n), (blocks, n)).copy()  # by last tag of a block: the tag before it
+    for t in range(size - 1, -1, -1):
+        origin = np.take_along_axis(back[:, t].astype(np.int64), origin, axis=1)
+    last = np.empty(blocks, np.int64)
+    tag = int(score.argmax())
+    for b in range(blocks - 1, -1, -1):
+        last[b] = tag
+        tag = int(origin[b, tag])
+    found = np.empty((blocks, size), np.int64)
+    now = last
+    for t in range(size - 1, -1, -1):
+        found[:, t] = now
+        now = back[np.arange(blocks), t, now].astype(np.int64)
+    return np.concatenate([[tag], found.ravel()[:len(e) - 1]])
+
+
+#: Chains of more tokens than this are decoded alone.
+LONG_CHAIN = 600
+
+
+def decode_chains(model: Crf, scores: np.ndarray, sizes: np.ndarray, batch_tokens: int = 100_000) -> np.ndarray:
+    """The best tags of all tokens from their ``emissions``; ``sizes`` are the lengths of the chains that follow one another."""
+    out = np.zeros(len(scores), np.int64)
+    sizes = np.asarray(sizes, np.int64)
+    first = np.cumsum(sizes) - sizes
+    order = np.argsort(sizes, kind="stable")
+    order = order[sizes[order] > 0]
     at = 0
     while at < len(order):
-        size, chunk = 0, []
-        while at < len(order) and (not chunk or (len(chunk) + 1) * len(sequences[order[at]]) <= batch_tokens):
-            size = len(sequences[order[at]])
-            chunk.append(order[at])
+        long = int(sizes[order[at]])
+        if long > LONG_CHAIN:
+            k = first[order[at]]
+            out[k:k + long] = _alone(model.moves, scores[k:k + long])
             at += 1
-        x, lengths = _padded([sequences[i] for i in chunk])
-        back = np.zeros((len(chunk), size, n), np.int8)
-        score = model.moves[n] + model.weights[x[:, 0]].sum(axis=1)
-        for t in range(1, size):
-            ways = score[:, :, None] + model.moves[None, :n]
-            best = ways.argmax(axis=1)
-            new = np.take_along_axis(ways, best[:, None], axis=1)[:, 0] + model.weights[x[:, t]].sum(axis=1)
-            live = (t < lengths)[:, None]
-            back[:, t] = np.where(live, best, np.arange(n))
-            score = np.where(live, new, score)
-        tag = score.argmax(axis=1)
-        found = np.zeros((len(chunk), size), np.int64)
-        for t in range(size - 1, -1, -1):
-            found[:, t] = tag
-            tag = back[np.arange(len(chunk)), t, tag]
-        for i, k in enumerate(chunk):
-            out[k] = found[i, :lengths[i]]
+            continue
+        upto = at + max(1, batch_tokens // long)  # chains get longer: fewer may fit
+        chunk = order[at:upto]
+        chunk = chunk[sizes[chunk] <= min(LONG_CHAIN, max(8, 2 * long))]
+        own = sizes[chunk]
+        place = np.arange(own.max())[None, :] < own[:, None]
+        rows = np.repeat(first[chunk], own) + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+        e = np.zeros((*place.shape, model.weights.shape[1]))
+        e[place] = scores[rows]
+        out[rows] = _together(model.moves, e, own)[place]
+        at += len(chunk)
     return out
 
 
+def decode(model: Crf, sequences: list[np.ndarray], batch_tokens: int = 100_000) -> list[np.ndarray]:
+    """The best tag sequence of each sequence."""
+    if not any(len(s) for s in sequences):
+        return [np.zeros(0, np.int64) for _ in sequences]
+    sizes = [len(s) for s in sequences]
+    tags = decode_chains(model, emissions(model, np.concatenate([s for s in sequences if len(s)])), np.array(sizes), batch_tokens)
+    return np.split(tags, np.cumsum(sizes)[:-1])
+
+
 def tagged_spans(tags: np.ndarray, kinds: list[str]) -> list[tuple[str, int, int]]:
     """``(kind, first token, last token)`` of each tagged entity."""
     out, tags = [], tags.tolist()

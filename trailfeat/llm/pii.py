@@ -3,24 +3,33 @@
 The base rules find e-mail addresses, IPv4 addresses, card numbers (16 to 19
 digits that pass the Luhn check) and international phone numbers (8 to 15
 digits); matches are leftmost and do not overlap within a kind. A linear-chain
-CRF over the shapes of words with a digit or ``@``, trained from the small
-labelled table ``GOLD`` and from base spans in a bounded sample of documents (where
-all other tokens stay open), adds spans that the rules do not cover, such as phone
-numbers without a country code. Base spans always stay; an added span never touches another span.
-
-Defined cases: a null or empty text has no spans; a null or repeated doc_id is
-carried along row by row; an empty table gives an empty result (the model is then
-trained from ``GOLD`` alone).
+CRF over the shapes of words with a digit or ``@`` adds spans that the rules do not
+cover, such as phone numbers without a country code. It is trained from the small
+labelled table ``labelled_lines`` and from base spans in a bounded sample of documents
+(where all other tokens stay open). Most labelled lines hold no personal data but
+numbers of all kinds, so that tables, dates, versions, money and code stay as they
+are. An added span must be possible: an e-mail has one ``@``, an IP address four
+parts up to 255, a card 13 to 19 digits that pass the Luhn check, a phone number 7 to 15
+digits in at most six groups, and all of it stands on one line. Base spans always stay;
+an added span never touches another span.
+
+Defined cases: a null or empty text has no spans; a very long text or line is read
+whole, in pieces; a null or repeated doc_id is carried along row by row; columns other
+than id and text do not matter for the spans and are kept as they are by masking; an
+empty table gives an empty result (the model is then trained from the labelled lines alone).
 """
 
 from __future__ import annotations
 
+import random
 import re
 
+import numpy as np
 from pyspark.sql import DataFrame
 
+from . import crf
 from .crf import Crf
-from .spans import Span, Tagger, beside, counted_shape, fit, luhn, masked, shape, span_rows
+from .spans import Signal, Span, Tagger, Tokens, fit, luhn, masked, span_rows
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents and token runs that the model is trained on, besides ``GOLD``.
@@ -30,11 +39,11 @@ SAMPLE_RUNS = 6000
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-_CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+_CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")  # possessive: no memory for each digit of a long run
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 
-#: The small labelled table: texts with ``[[kind|...]]`` around personal data.
+#: Hand-written lines of the labelled table: texts with ``[[kind|...]]`` around personal data.
 GOLD = """
 Call me at [[phone|+1 (415) 555-0134]] after five.
 Phone: [[phone|(212) 555-0187]] or [[phone|212-555-0199]].
@@ -102,6 +111,93 @@ commit 1a2b3c4d5e6f of branch 7
 https://example.com/fr/825?page=2&ref=x
 pages 101-118, lines 20-35
 """.strip().split("\n")
+#: Lines around a personal datum ({}), and the kind that they call for.
+_AROUND = {
+    "phone": ["Call {} now.", "call me at {} after five", "Phone: {}", "phone {}", "Tel. {} for the office", "tel: {}",
+              "Telephone {} (day)", "Mobile: {} please", "my number is {}", "her phone number is {}, ask for Ann",
+              "You can reach us on {}.", "reach the desk at {} today", "Fax {}", "fax: {} or by post", "ring {} at noon",
+              "text {} to join", "dial {} and wait", "Contact: {}", "contact us at {}!", "hotline {}, day and night",
+              "or call {}", "Call us: {}", "phone or text {} tonight", "cell {}", "WhatsApp {}", "office {}, room 12",
+              "Please call back on {}.", "support line: {}", "the phone rang at {}", "emergency number {}"],
+    "email": ["mail {}", "Mail to {} today", "e-mail: {}", "Contact: {} if it fails", "write to {} please", "send it to {}.",
+              "from {} to all", "cc {} too", "or write {}", "reply to {} soon", "ask {} about it", "address {}"],
+    "ip": ["login from {} failed", "host {} is down", "ping {}", "the server at {} did not answer", "IP address: {}", "ip {}",
+           "blocked {} at the gate", "route via {} first", "connect to {} now", "from {} port 22"],
+    "card": ["card {}", "Card {} was charged.", "paid with {} on Monday", "credit card number {} expires soon", "visa {}",
+             "Visa: {}", "use {} to pay", "amex {} holder", "card no. {}", "mastercard {} declined"],
+}
+#: Lines with numbers that are nobody's data; # is a digit.
+_NUMBERS = [
+    "## ## ## ## ## ##", "# ## # ## # ## ## #", "### ### ### ###", "#### #### ####", "##.# ##.# ##.#", "#.# #.# #.# #.#", "#.## #.## #.##",
+    "####,##", "#.####,###", "0.####,##,#", "0x##, 0x##, 0x#a, 0xf#", "int a[] = {#, ##, ##, #};", "x = [##, ##, ##]",
+    "####-##-## ##:##:##", "20##-0#-1# ##:##", "##/##/20## ##:##", "20##-0#-1#T##:##:##Z 20##-0#-1#T##:##:##Z", "##:##:##.### INFO started in #.#s",
+    "version #.##.#", "v#.#.# v#.#.# v#.##.#", "release #.#.# of 20##", "Python #.## and Java ##", "$#,###.## and $##.##", "$## $## $###",
+    "the price is ##.## dollars", "### ##.# ##.## ###", "lat ##.#### lon ##.####", "(##.####, ##.####)", "##.###### -##.######",
+    "The table lists ## ## ## ## ## ## and ##.", "the values are ### ### ### ### here", "pages ###-###, lines ##-##", "page ### of #,###",
+    "chapter ##, section #.#.#", "Chapter # ## ###", "ISBN 978-#-##-######-#", "item ################ in stock", "order ######## shipped",
+    "numbers ################ ################ in a row", "the ids ################ ################ follow", "serial ########## and lot #####",
+    "id ##########", "id: ########", "invoice ######-####", "ref ####-####-##", "case ##-####", "row ## col ##", "### items, ## boxes",
+    "about ####### rows in ## tables", "##### ##### ##### #####", "###### ###### ######", "####### ####### #######", "######## ######## ########",
+    "########## ##########", "w## w### w##", "a# b# c# d#", "Q# 20## Q# 20##", "it took ### ms and ## MB", "### KB ## MB # GB", "##% ##% ##%",
+    "score #-# and #-#", "the years 19## 19## 20##", "from 19## to 20##", "in 19##, 20## and 20##", "room ###, floor #", "### Main Street, Apt. ##",
+    "zip #####-####", "## mm x ## mm", "temperature -## to ##", "build ##.##.#.#####", "commit ##a#b#c#", "http://example.com/##/###?page=#",
+    "line ###: error ####", "port ####", "pid ##### exit #", "mod #### ####", "sum = #### + ####", "#### * ## = #####", "f(##, ##) -> ##",
+    "step #/## loss #.#### acc 0.###", "epoch ## loss #.##", "#.#e-## #.#e-##", "# 2 3 4 5 6 7 8 9 10", "10 20 30 40 50 60 70 80", "1 1 2 3 5 8 13 21",
+    "@property and @dataclass", "follow @someone## here", "@media (min-width: ###px)", "a @ b", "foo@#.#.#", "npm i left-pad@#.#.#", "user## said",
+    "##### #.## #.## #####", "#.#.#.#.# notes", "section #.#.#.#.#", "clause ##.#.# and ##.#.#", "A# ##.## B# ##.##", "##,### ##,### ##,###",
+    "#,###,### people", "ratio ##:##", "##-##-##", "###-###", "###-##-#### ###", "(###) items", "(##) and (##)", "Fig. # (a) ## (b) ##", "eq. (##)",
+    "#########", "timestamp ##########", "ts=#############", "at ##########.### s", "unix time ########## or so", "################",
+    "hash ################ ok", "tracking number ############ ####", "account ## of ##", "no. ##", "No. ####", "number ## of ###", "number ####",
+]
+
+
+def _digits(rng: random.Random, form: str) -> str:
+    return "".join(str(rng.randrange(10)) if c == "#" else str(rng.randrange(2, 10)) if c == "*" else c for c in form)
+
+
+def _card(rng: random.Random, size: int, gap: str) -> str:
+    body = rng.choice("45") + "".join(str(rng.randrange(10)) for _ in range(size - 2))
+    whole = next(body + c for c in "0123456789" if luhn(body + c))
+    if size == 15:
+        return f"{whole[:4]}{gap}{whole[4:10]}{gap}{whole[10:]}"
+    return gap.join(whole[k:k + 4] for k in range(0, size, 4))
+
+
+def _datum(rng: random.Random, kind: str) -> str:
+    name = lambda: rng.choice(["ann", "bob", "j.doe", "eve", "sales", "admin", "root", "info", "kim", "lee", "max", "post"])
+    if kind == "phone":
+        return _digits(rng, rng.choice([
+            "(*##) 555-0###", "(*##) *##-####", "*##-555-0###", "*##-*##-####", "*##.*##.####", "*## *## ####", "0*# #### ####", "0*## #######",
+            "0*## ### ####", "0*#-######", "0*##/#######", "0# ## ## ## ##", "555-0###", "*##-####", "1-800-*##-####", "+1 (*##) *##-####",
+            "+49 30 ######", "(0*#) #### ####"]))
+    if kind == "email":
+        host = rng.choice(["localhost", "intranet", "fileserver", "example.com", "mail.example.org", "shop.example.co.uk", "host7"])
+        return f"{name()}{rng.choice(['', str(rng.randrange(100)), '-team', '+x'])}@{host}"
+    if kind == "ip":
+        return ".".join(str(rng.randrange(256)) for _ in range(4))
+    return _card(rng, rng.choice([16, 16, 15]), rng.choice([" ", "-", ""]))
+
+
+def labelled_lines(seed: int = 7, without: tuple[int, int] | None = None, only: tuple[int, int] | None = None) -> list[str]:
+    """The small labelled table: ``GOLD`` and lines made from the forms above.
+
+    ``without=(k, n)`` leaves out every n-th line and form from the k-th on, and ``only=(k, n)`` gives those alone.
+    """
+    def chosen(rows: list) -> list:
+        return [r for i, r in enumerate(rows) if not (without and i % without[1] == without[0])
+                and not (only and i % only[1] != only[0])]
+
+    rng = random.Random(seed)
+    out = list(chosen(GOLD))
+    for kind, forms in _AROUND.items():
+        for form in chosen(forms):
+            for _ in range(4):
+                out.append(form.format(f"[[{kind}|{_datum(rng, kind)}]]"))
+    for form in chosen(_NUMBERS):
+        out += [_digits(rng, form) for _ in range(2)]
+    return out
+
+
 _MARK = re.compile(r"\[\[(\w+)\|([^\]]*)\]\]")
 
 
@@ -135,6 +231,8 @@ def base_spans(text: str) -> list[Span]:
     out += [("ip", *m.span()) for m in _IP.finditer(text)
             if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m.group().split("."))]
     for m in _CARD.finditer(text):
+        if m.end() - m.start() < 16:
+            continue
         digits = m.group().replace(" ", "").replace("-", "")
         if 16 <= len(digits) <= 19 and luhn(digits):
             out.append(("card", *m.span()))
@@ -145,38 +243,74 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-def _features(text: str, run: list[tuple[int, int]], about: str) -> list[list[str]]:
-    before2, before, after = beside(text, run[0][0], run[-1][1])
-    words = [text[s:min(e, s + 64)] for s, e in run]
-    shapes = [shape(w) for w in words]
-    near = ["^", *shapes, "$"]
-    all_digits = "".join(c for w in words for c in w if c in "0123456789")
-    out = []
-    for i, ((s, e), w) in enumerate(zip(run, words, strict=True)):
-        digits = "".join(c for c in w if c in "0123456789")
-        parts = w.strip(".,;:()\"'").split(".")
-        quad = len(parts) == 4 and all(p.isdecimal() and p.isascii() and int(p) < 256 for p in parts)
-        checked = 16 <= len(digits) <= 19 and luhn(digits)
-        out.append([
-            "one", f"s={near[i + 1]}", f"c={counted_shape(w)}", f"d={min(len(digits), 20)}",
-            f"n={min(e - s, 24)}", f"p={near[i]}", f"q={near[i + 2]}",
-            f"b={before if i == 0 else '^'}", f"bb={before2 if i == 0 else '^'}", f"a={after if i == len(run) - 1 else '$'}",
-            f"k={'@' in w}{w.count('.')}{w.count('-')}{'(' in w}{w[0]}", f"ip={quad}", f"luhn={checked}",
-            f"all={min(len(all_digits), 24)}{16 <= len(all_digits) <= 19 and luhn(all_digits)}",
-            f"dom={'@' in w and w.find('@') > 0 and len(w) - w.find('@') > 3}"])
-    return out
+def _features(t: Tokens, about: np.ndarray) -> list[np.ndarray]:
+    shape, counted = t.shapes()
+    before, after = t.neighbours(shape)
+    first, last = t.ends_of_chains()
+    digits, n = t.count(t.kinds == 48), len(t)
+    dots, dashes, at, open_ = (t.letters(c) for c in ".-@(")
+    sizes, place = t.chain_sizes[t.chain], np.arange(n) - t.chain_first[t.chain]
+    near = t.around(digits)
+    quad, checked, domain, whole = (np.zeros(n, np.int64) for _ in range(4))
+    for k in np.flatnonzero((dots >= 3) & (dots <= 4) & (digits >= 4)).tolist():
+        quad[k] = possible("ip", t.word(k).strip(".,;:()\"'"))
+    for k in np.flatnonzero((digits >= 13) & (digits <= 19)).tolist():
+        checked[k] = luhn(_NO_DIGIT.sub("", t.word(k)))
+    for k in np.flatnonzero(first & (sizes <= 8) & (near >= 13) & (near <= 19)).tolist():
+        whole[k:k + sizes[k]] = 1 + luhn("".join(_NO_DIGIT.sub("", t.word(j)) for j in range(k, k + sizes[k])))
+    for k in np.flatnonzero(at > 0).tolist():
+        w = t.word(k)
+        domain[k] = 1 + (w.find("@") > 0 and len(w) - w.find("@") > 3 and w.count("@") == 1)
+    start = t.codes[t.at].astype(np.int64)
+    lead = t.beside(-1, np.flatnonzero(first))
+    # what stood before the chain, for its first tokens
+    led = np.where(place < 8, lead[t.chain_first][t.chain], -1)
+    form = ((np.minimum(dots, 9) * 10 + np.minimum(dashes, 9)) * 4 + 2 * (open_ > 0) + (at > 0)) * 128 + np.minimum(start, 127)
+    sizes = np.minimum(sizes, 9)
+    return [np.zeros(n, np.int64), shape, counted, np.minimum(digits, 20), np.minimum(t.size, 24), before, after, lead,
+            t.beside(-2, np.flatnonzero(first)), t.beside(1, np.flatnonzero(last)), form, quad, checked,
+            np.minimum(near, 24) * 4 + whole, domain, sizes * 10 + np.minimum(place, 9), led * 16 + sizes]
+
 
+_NO_DIGIT = re.compile("[^0-9]")
+_EMAIL = re.compile(r"[^\s@<>()\[\],;:\"']+@(?=[^@]*[^\W\d_])[^\s@<>()\[\],;:\"']+")
+_QUAD = re.compile(r"([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})(:[0-9]{1,5}|/[0-9]{1,2})?")
+_PHONE_FORM = re.compile(r"\+?[0-9(][0-9 ().+/-]*[0-9]")
+_DATE = re.compile(r"(19|20)[0-9]{2}([-./])[0-9]{1,2}\2[0-9]{1,2}|[0-9]{1,2}([-./])[0-9]{1,2}\3((19|20)[0-9]{2}|[0-9]{2})|[0-9]+\.[0-9]+")
 
-TAGGER = Tagger(KINDS, base_spans, re.compile("[0-9@]"), "", _features, lambda text: "", 15)
+
+def possible(kind: str, span: str) -> bool:
+    """Whether a text can be a datum of this kind at all."""
+    if kind == "email":
+        return _EMAIL.fullmatch(span) is not None
+    if kind == "ip":
+        m = _QUAD.fullmatch(span)
+        return m is not None and all(int(p) <= 255 for p in m.groups()[:4])
+    digits = _NO_DIGIT.sub("", span)
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and not span.strip("0123456789 -") and luhn(digits)
+    groups = [g for g in re.split("[^0-9]+", span) if g]
+    return (7 <= len(digits) <= 15 and len(groups) <= 6 and _PHONE_FORM.fullmatch(span) is not None
+            and span.count("(") <= 1 and span.count(")") == span.count("(") and not any(map(_DATE.fullmatch, span.split())))
+
+
+#: Separators of tables part tokens and end chains.
+TAGGER = Tagger(KINDS, base_spans, Signal("0123456789@", separators=",;|"), _features, possible)
 
 
 def span_order(span: Span) -> tuple:
     return KINDS.index(span[0]), span[1], span[2]
 
 
+def train_lines(lines: list[str] | None = None) -> Crf:
+    """The model of the labelled lines alone."""
+    data = [TAGGER.labelled(*marked(g)) for g in (labelled_lines() if lines is None else lines)]
+    return crf.train([x for xs, _ in data for x in xs], [y for _, ys in data for y in ys], list(KINDS))
+
+
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_runs: int = SAMPLE_RUNS,
-          gold: list[str] = GOLD) -> Crf:
-    return fit(TAGGER, docs, [marked(g) for g in gold], sample_docs, sample_runs)
+          gold: list[str] | None = None) -> Crf:
+    return fit(TAGGER, docs, [marked(g) for g in (labelled_lines() if gold is None else gold)], sample_docs, sample_runs)
 
 
 def find_pii(docs: DataFrame, model: Crf | None = None) -> DataFrame:
