@@ -62,7 +62,7 @@ def test_median_with_massive_ties(spark):
     assert got["hot"].x_median == float(np.median(xs)) and np.isnan(got["hot"].y_median)
     assert got["hot"].t_median == float(np.median([i * i % 1013 for i in range(n)])) and got["hot"].point_count == n
     assert got["even"].x_median == 0.5
-    rough = LF.heavy_medians(steps.where("traj_id = 'hot'"), ["x", "t", "log_speed"], bracket=20).first()
+    rough = LF.heavy_medians(steps.where("traj_id = 'hot'"), ["x", "t", "log_speed"]).first()
     assert rough["x__heavy"] == got["hot"].x_median and rough["t__heavy"] == got["hot"].t_median
 
 

@@ -10,8 +10,8 @@ From there:
   Spark pre-aggregates map-side, so a trajectory holding a third of all rows
   costs one partial row per task, not one task;
 * exact medians are part of the same aggregate, except for trajectories with
-  more than ``rows_per_block`` points: there a bracket around the middle rank is
-  found first, and only the values inside it are ranked.
+  more than ``MEDIAN_POINTS`` points: their values are counted in ranges that are
+  narrowed round by round (``operators.median``).
 
 A trajectory is never cut, whatever its length. The results equal the array form
 row for row (tests/test_longform.py).
@@ -27,6 +27,7 @@ from ..functions import stats as A
 from ..functions.mathx import MAX_DOUBLE, ZERO_GAP, nan_to_num, np_log1p, zero_gap
 from ..plans.sequence import ROWS_PER_BLOCK, sequence
 from .features import FEATURES, GUARDED_FROM, _per_context
+from .median import counting_medians
 
 STEP_SERIES = ["time_delta", "log_speed", "log_accel", "log_angle"]
 DIFF_SERIES = ["log_speed_diff", "log_accel_diff", "log_angle_diff"]
@@ -76,11 +77,12 @@ def _stats_aggs(v: str) -> list[str]:
             f"max(CAST(isnan({v}) AS INT)) AS {v}__nan"]
 
 
-#: Rank error of the brackets around the middle of a long trajectory, as 1 / BRACKET.
-BRACKET = 100_000
+#: Points up to which the medians of a trajectory are part of the grouped aggregate (a map of values for
+#: each series); longer ones are counted in ranges (see ``operators.median``).
+MEDIAN_POINTS = 200_000
 
 
-def heavy_keys(points: DataFrame, key: str = "traj_id", rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame | None:
+def heavy_keys(points: DataFrame, key: str = "traj_id", rows_per_block: int = MEDIAN_POINTS) -> DataFrame | None:
     """Trajectories with more than ``rows_per_block`` points (at most one for so many rows), or None without any.
 
     Runs one small aggregate, so that plans hold the branch for such trajectories
@@ -95,38 +97,13 @@ def _light_median(v: str) -> str:
     return f"percentile(CASE WHEN _heavy IS NULL AND NOT isnan({v}) THEN CAST({v} AS DOUBLE) END, 0.5D) AS {v}__median"
 
 
-def heavy_medians(steps: DataFrame, names, key: str = "traj_id", bracket: int = BRACKET) -> DataFrame:
-    """``(key, <series>__heavy ...)``: exact medians of the non-NaN values of few, long trajectories.
-
-    ``percentile_approx`` gives two values around the middle whose ranks are off
-    by ``n / bracket`` at most; the values below them are counted, and those
-    between them (a few times ``n / bracket``) are counted by value and ranked. A
-    rank outside the bracket raises an error, so no approximation reaches the result.
-    """
+def heavy_medians(steps: DataFrame, names, key: str = "traj_id") -> DataFrame:
+    """``(key, <series>__heavy ...)``: exact medians of the non-NaN values of long trajectories, by counting selection."""
     names = list(names)
-    # NaN is no value here
-    long = steps.selectExpr(key, *[f"CASE WHEN NOT isnan({v}) THEN CAST({v} AS DOUBLE) END AS {v}" for v in names])
-    ends = f"array({0.5 - 2 / bracket!r}D, {0.5 + 2 / bracket!r}D)"
-    around = long.groupBy(key).agg(*[F.expr(f"percentile_approx({v}, {ends}, {bracket}) AS _b_{v}") for v in names])
-    seen = long.join(F.broadcast(around), key)
-    counts = seen.groupBy(key).agg(*[F.expr(
-        f"named_struct('sid', {i}, 'n', count({v}), 'below', sum(CAST({v} < _b_{v}[0] AS BIGINT))) AS _c_{v}")
-        for i, v in enumerate(names)])
-    inside = seen.selectExpr(key, "inline(array(" + ", ".join(
-        f"named_struct('sid', {i}, 'v', CASE WHEN {v} BETWEEN _b_{v}[0] AND _b_{v}[1] THEN {v} END)"
-        for i, v in enumerate(names)) + "))").where("v is not null")
-    ranked = inside.groupBy(key, "sid", "v").count().selectExpr(
-        "*", f"sum(count) OVER (PARTITION BY {key}, sid ORDER BY v ROWS UNBOUNDED PRECEDING) AS upto")
-    sized = counts.selectExpr(key, f"inline(array({', '.join(f'_c_{v}' for v in names)}))")
-    placed = ranked.join(F.broadcast(sized), [key, "sid"])
-
-    def holds(rank: str) -> str:
-        return f"max(CASE WHEN below + upto - count <= {rank} AND {rank} <= below + upto - 1 THEN v END)"
-
-    found = placed.groupBy(key, "sid").agg(F.expr(f"{holds('floor((n - 1) / 2)')} AS lo"), F.expr(f"{holds('floor(n / 2)')} AS hi"))
-    found = found.selectExpr(key, "sid", "CASE WHEN lo IS NULL OR hi IS NULL THEN "
-                             "CAST(raise_error('middle rank outside its bracket') AS DOUBLE) ELSE (lo + hi) / 2 END AS m")
-    return found.groupBy(key).agg(*[F.expr(f"max(CASE WHEN sid = {i} THEN m END) AS {v}__heavy") for i, v in enumerate(names)])
+    stacked = steps.selectExpr(key, "inline(array(" + ", ".join(
+        f"named_struct('sid', {i}, 'v', CAST({v} AS DOUBLE))" for i, v in enumerate(names)) + "))")
+    found = counting_medians(stacked, [key, "sid"])
+    return found.groupBy(key).agg(*[F.expr(f"max(CASE WHEN sid = {i} THEN median END) AS {v}__heavy") for i, v in enumerate(names)])
 
 
 def trajectory_summaries(steps: DataFrame, key: str = "traj_id", medians=None, heavy: DataFrame | None = None,
@@ -150,13 +127,13 @@ def trajectory_summaries(steps: DataFrame, key: str = "traj_id", medians=None, h
     if heavy is None:
         marked = steps.withColumn("_heavy", F.lit(None).cast("boolean"))
     else:
-        marked = steps.join(F.broadcast(heavy.withColumn("_heavy", F.lit(True))), key, "left")
+        marked = steps.join(heavy.withColumn("_heavy", F.lit(True)), key, "left")
     df = marked.groupBy(key).agg(*_per_context(
         steps, ("aggs", tuple(series), tuple(ranked), tuple(consts)), lambda: _base_aggs(series, ranked, consts)))
     if heavy is None:
         df = df.select("*", *[F.lit(None).cast("double").alias(f"{v}__heavy") for v in ranked])
     else:
-        only = steps.join(F.broadcast(heavy), key, "left_semi") if heavy_steps is None else heavy_steps
+        only = steps.join(heavy, key, "left_semi") if heavy_steps is None else heavy_steps
         df = df.join(heavy_medians(only, ranked, key), key, "left")
     out = [F.col(key), *[F.col(e) for e in consts]]
     out += _per_context(steps, ("outs", tuple(series), tuple(ranked), tuple(consts), key),

@@ -24,6 +24,7 @@ from ..operators import evaluate as EV
 from ..operators import features as FT
 from ..operators import longform as LF
 from ..operators import parse as P
+from ..operators.median import counting_medians
 from ..session import scratch_path
 from ..sources import events as E
 from ..sources import sinks
@@ -194,6 +195,15 @@ def _stats_key(name):
     return q
 
 
+def q_medians_by_counting(spark, sf):
+    """Medians of every series of every user, long or short, by counting selection."""
+    names = ["x", "y", "t", *LF.STEP_SERIES]
+    steps = LF.step_series(E.lagged_points(spark, sf))
+    stacked = steps.selectExpr("traj_id", "inline(array(" + ", ".join(
+        f"named_struct('series', '{v}', 'v', CAST({v} AS DOUBLE))" for v in names) + "))")
+    return settled(counting_medians(stacked, ["traj_id", "series"]))
+
+
 def q_point_count(spark, sf):
     return E.events(spark, sf).groupBy(F.col("user_id").alias("traj_id")).agg(F.count(F.lit(1)).alias("point_count"))
 
@@ -398,6 +408,7 @@ def queries() -> dict:
     for k in STATS_KEYS:
         q[f"stats_{k}"] = _stats_key(k)
     q.update({
+        "medians_by_counting": q_medians_by_counting,
         "point_count": q_point_count,
         "backtrack_count": q_backtrack_count,
         "continuity": q_continuity,

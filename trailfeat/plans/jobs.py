@@ -73,12 +73,12 @@ def point_features_job(spark: SparkSession, input_path, output_path: str,
     if not labelled and "label" not in pts.columns:
         pts = pts.withColumn("label", F.lit(None).cast("string"))
     named = pts.where("traj_id is not null")
-    heavy = LF.heavy_keys(named, "traj_id", rows_per_block)
+    heavy = LF.heavy_keys(named, "traj_id", min(rows_per_block, LF.MEDIAN_POINTS))
 
     def steps(points):
         return LF.step_series(LF.lag_points(points, order=tuple(order), rows_per_block=rows_per_block))
 
-    long = None if heavy is None else steps(named.join(F.broadcast(heavy), "traj_id", "left_semi"))
+    long = None if heavy is None else steps(named.join(heavy, "traj_id", "left_semi"))
     fm = LF.feature_matrix_long(steps(named), labelled=labelled, heavy=heavy, heavy_steps=long, with_speed_median=True,
                                 with_reason=mode == "quarantine")
     nameless = pts.where("traj_id is null").select("traj_id", F.lit("no_id").alias("reason"))

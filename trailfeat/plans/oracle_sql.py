@@ -176,6 +176,13 @@ def stats_sql(sid: str, view="B") -> str:
     return f"{base(view)} SELECT traj_id, {cols} FROM sst WHERE sid = '{sid}'"
 
 
+def medians_sql(view="B") -> str:
+    names = {"x": "x", "y": "y", "t": "t", "time_delta": "dt", "log_speed": "sp", "log_accel": "ac", "log_angle": "an"}
+    rows = " UNION ALL ".join(f"SELECT traj_id, '{k}' AS series, CAST({c} AS DOUBLE) AS v FROM s5" for k, c in names.items())
+    return (f"{base(view)} SELECT traj_id, series, {I('count(*)', 'n')}, {D('median(v)', 'median')} FROM ({rows}) "
+            "WHERE v IS NOT NULL AND NOT isnan(v) GROUP BY traj_id, series")
+
+
 def _feature_exprs() -> list[tuple[str, str]]:
     out = []
     special = {
@@ -305,6 +312,7 @@ def oracle_sql() -> dict[str, str]:
     q["first_last_long"] = (f"{bA} SELECT CAST(traj_id AS BIGINT) AS traj_id, {I('n', 'point_count')}, "
                             f"{X('x0', 'x_first')}, {X('xl', 'x_last')}, {X('y0', 'y_first')}, "
                             f"{X('yl', 'y_last')}, {X('t0', 't_first')}, {X('tl', 't_last')} FROM tr")
+    q["medians_by_counting"] = medians_sql()
     q["feature_matrix_long"] = feature_sql("B", speed_median=True)
     q["feature_matrix_long_raw"] = feature_sql("A", speed_median=True)
     q["stats_long_log_angle"] = stats_sql("log_angle", "A")

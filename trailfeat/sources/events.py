@@ -67,7 +67,7 @@ def lagged_points(spark: SparkSession, sf_dir: str, view: str = "B",
     """
     ev = events(spark, sf_dir)
     if users is not None:
-        ev = ev.join(F.broadcast(users.select(F.col("traj_id").alias("user_id"))), "user_id", "left_semi")
+        ev = ev.join(users.select(F.col("traj_id").alias("user_id")), "user_id", "left_semi")
     u = F.col("user_id")
     if view == "A":
         s = sequence(ev, ["user_id"], ORDER, lag_cols=["value", "k", "ts"], lags=lags,
