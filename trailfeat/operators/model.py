@@ -26,12 +26,14 @@ MAX_BINS = 64
 
 
 def gbt(max_depth: int = MAX_DEPTH, step_size: float = STEP_SIZE, rounds: int = ROUNDS,
-        seed: int = 42):
+        seed: int = 42, subsample: float = 1.0, column_subset: str = "all"):
+    """Spark's trainer; ``subsample`` and ``column_subset`` are its own row and column sampling (for samples that do
+    not depend on the partitioning see ``operators.boosting``)."""
     from pyspark.ml.classification import GBTClassifier
     return GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                          maxDepth=max_depth, stepSize=step_size, maxIter=rounds,
                          minInstancesPerNode=MIN_INSTANCES, minInfoGain=MIN_INFO_GAIN, maxBins=MAX_BINS,
-                         subsamplingRate=1.0, featureSubsetStrategy="all", seed=seed)
+                         subsamplingRate=subsample, featureSubsetStrategy=column_subset, seed=seed)
 
 
 def fit(features: DataFrame, pos_weight: float = POS_WEIGHT, max_rows: int | None = None, **kw):

@@ -371,12 +371,59 @@ def _learnable(spark, sf) -> DataFrame:
 
 def q_gbt_train_predict(spark, sf):
     from ..operators import model as M
-    return M.train_predict(_learnable(spark, sf), rounds=3).select("traj_id", "prediction")
+    return settled(M.train_predict(_learnable(spark, sf)).select("traj_id", "score", "prediction"))
+
+
+def q_gbt_train_predict_label(spark, sf):
+    """The same on the fixture's own label, which no feature decides."""
+    from ..operators import model as M
+    return M.train_predict(FT.feature_matrix(trajs(spark, sf), with_speed_median=True)).select("traj_id", "score", "prediction")
 
 
 def q_feature_importance(spark, sf):
     from ..operators import model as M
-    return settled(M.feature_importance(_learnable(spark, sf), rounds=3))
+    return settled(M.feature_importance(_learnable(spark, sf)))
+
+
+#: Share of the rows that are held out to measure each round, and that a sampled round sees.
+HELD_OUT, ROW_SHARE = 0.2, 0.6
+
+
+def q_train_rounds(spark, sf):
+    from ..operators import boosting as B
+    from ..operators import model as M
+    train, rest = B.held_out(_learnable(spark, sf), HELD_OUT)
+    return settled(B.round_metrics(B.as_boosted(M.fit(train)), rest))
+
+
+def q_training_sample(spark, sf):
+    """The rows that each of ten rounds of a sampled training sees."""
+    from ..operators.sampling import in_sample
+    rounds = F.explode(F.sequence(F.lit(0), F.lit(9))).alias("round")
+    return trajs(spark, sf).select("traj_id", rounds).where(in_sample(F.col("traj_id"), ROW_SHARE, F.col("round"))).select(
+        F.col("round").cast("long").alias("round"), "traj_id")
+
+
+def q_sampled_train_predict(spark, sf):
+    """Boosting in which every round sees its own sample of rows and columns."""
+    from ..operators import boosting as B
+    features = _learnable(spark, sf)
+    return B.predict(B.fit_rounds(features, rounds=5, row_share=ROW_SHARE, column_share=0.5), features)
+
+
+def q_tree_table(spark, sf):
+    from ..operators import model as M
+    from ..operators import trees as TR
+    from ..operators.features import ml_feature_names
+    features, path = _learnable(spark, sf), scratch_path(spark, "model")
+    M.fit(features).write().save(path)
+    nodes = TR.tree_nodes(spark, path, ml_feature_names(features.columns))
+    return settled(nodes.select("tree", "node", "feature", "threshold", "n_rows", "prediction", "left", "right", "tree_weight"),
+                   ("threshold", "tree_weight"))
+
+
+def q_threshold_curve(spark, sf):
+    return settled(EV.threshold_curve(EV.score_histogram(E.predictions(spark, sf), label="truth")))
 
 
 SERIES_KEYS = ["step_distance_x", "time_delta", "log_speed", "log_accel", "log_angle", "log_speed_diff",
@@ -437,6 +484,12 @@ def queries() -> dict:
         "eval_auc": q_eval_auc,
         "eval_logloss": q_eval_logloss,
         "gbt_train_predict": q_gbt_train_predict,
+        "gbt_train_predict_label": q_gbt_train_predict_label,
         "feature_importance": q_feature_importance,
+        "train_rounds": q_train_rounds,
+        "training_sample": q_training_sample,
+        "sampled_train_predict": q_sampled_train_predict,
+        "tree_table": q_tree_table,
+        "threshold_curve": q_threshold_curve,
     })
     return q

@@ -335,11 +335,42 @@ def oracle_sql() -> dict[str, str]:
         "score < 0.97 AS flagged, 'both' AS matched FROM us JOIN uc USING (traj_id)")
     q["class_weights"] = ("SELECT DISTINCT user_id AS traj_id, CAST(user_id % 2 AS DOUBLE) AS label, "
                           "CASE WHEN user_id % 2 = 1 THEN 10.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM events")
-    q["gbt_train_predict"] = (f"WITH {week} SELECT traj_id, CASE WHEN count(*) >= 14 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END "
-                              "AS prediction FROM pts GROUP BY traj_id")
+    # Trees that split on the one deciding feature: every margin is f or -f, and f grows by the step times the gradient
+    # of the log loss. ``pull`` is the gradient that the tree of a round fits (the first one fits the classes).
+    margins = ("m(round, f, pull) AS (SELECT 1, 1.0::DOUBLE, 1.0::DOUBLE UNION ALL "
+               "SELECT round + 1, f + 0.02 * 4.0 / (1.0 + exp(2.0 * f)), 4.0 / (1.0 + exp(2.0 * f)) FROM m WHERE round < 10)")
+    classes = "cl AS (SELECT traj_id, count(*) >= 14 AS yes FROM pts GROUP BY traj_id)"
+    fraction = "('0x' || substr(md5(traj_id || ':' || {} || ':42'), 1, 8))::BIGINT / 4294967296.0"
+    q["gbt_train_predict"] = (
+        f"WITH RECURSIVE {week}, {classes}, {margins} SELECT traj_id, CASE WHEN yes THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, "
+        f"{D('1.0 / (1.0 + exp(CASE WHEN yes THEN -2.0 ELSE 2.0 END * f))', 'score')} FROM cl JOIN m ON round = 10")
+    q["train_rounds"] = (
+        f"WITH RECURSIVE {week}, {classes}, {margins}, rest AS (SELECT * FROM cl WHERE {fraction.format('-1')} < 0.2) "
+        f"SELECT {I('round', 'round')}, {I('(SELECT count(*) FROM rest)', 'n')}, {D('ln(1.0 + exp(-2.0 * f))', 'logloss')}, "
+        "1.0::DOUBLE AS auc FROM m")
+    q["training_sample"] = (f"WITH {week} SELECT DISTINCT {I('r', 'round')}, traj_id FROM pts, (SELECT unnest(range(10)) AS r) "
+                            f"WHERE {fraction.format('r')} < 0.6")
+    counts = "SELECT count(*) FILTER (yes) AS a, count(*) FILTER (NOT yes) AS b FROM cl"
+    tree = "CAST(round - 1 AS BIGINT) AS tree, CASE WHEN round = 1 THEN 1.0::DOUBLE ELSE 0.02::DOUBLE END AS tree_weight"
+    leaf = "CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS DOUBLE) AS threshold, CAST(NULL AS BIGINT) AS \"left\", CAST(NULL AS BIGINT) AS \"right\""
+    q["tree_table"] = (
+        f"WITH RECURSIVE {week}, {classes}, {margins}, k AS ({counts}) "
+        f"SELECT {tree}, {I('0', 'node')}, 'point_count' AS feature, 13.5::DOUBLE AS threshold, {I('1', chr(34) + 'left' + chr(34))}, "
+        f"{I('2', chr(34) + 'right' + chr(34))}, {I('a + b', 'n_rows')}, {D('pull * (10 * a - b) / (10 * a + b)', 'prediction')} FROM m, k "
+        f"UNION ALL BY NAME SELECT {tree}, {I('1', 'node')}, {leaf}, {I('b', 'n_rows')}, {D('-pull', 'prediction')} FROM m, k "
+        f"UNION ALL BY NAME SELECT {tree}, {I('2', 'node')}, {leaf}, {I('a', 'n_rows')}, {D('pull', 'prediction')} FROM m, k")
     names = [f for f in FEATURE_ORDER if f != "log_speed_mean_dup"] + ["log_speed_median"]
     q["feature_importance"] = (f"SELECT feature, CASE WHEN feature = 'point_count' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END "
                                f"AS importance FROM (SELECT unnest({names}) AS feature)")
+    machines = "nullif(total - humans, 0)"
+    q["threshold_curve"] = (
+        f"WITH {PRED}, h AS (SELECT CAST(least(greatest(floor(score * 1000), 0), 999) AS BIGINT) AS bin, count(*) AS n, "
+        "count(*) FILTER (truth = 1) AS pos FROM pr WHERE score IS NOT NULL GROUP BY 1), "
+        "c AS (SELECT bin, sum(n) OVER (ORDER BY bin) AS flagged, sum(pos) OVER (ORDER BY bin) AS human, "
+        "sum(n) OVER () AS total, sum(pos) OVER () AS humans FROM h) "
+        f"SELECT {D('(bin + 1) / 1000.0::DOUBLE', 'threshold')}, {I('flagged', 'flagged')}, {D('flagged / total', 'flagged_share')}, "
+        f"{D(f'(flagged - human) / {machines}', 'tpr')}, {D('human / nullif(humans, 0)', 'fpr')}, "
+        f"{D('(flagged - human) / flagged', 'precision')} FROM c")
     q["eval_auc"] = (
         f"WITH {PRED}, g AS (SELECT score, sum(CASE WHEN truth = 1 THEN 1 ELSE 0 END) AS p, count(*) AS c "
         "FROM pr GROUP BY score), r AS (SELECT *, sum(c) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED "
