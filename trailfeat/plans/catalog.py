@@ -204,6 +204,21 @@ def q_medians_by_counting(spark, sf):
     return settled(counting_medians(stacked, ["traj_id", "series"]))
 
 
+def q_incremental_summaries(spark, sf):
+    """Statistics of every series from a state that grew in three parts of the time, each read once."""
+    from ..operators import incremental as INC
+    stored = scratch_path(spark, "points")  # a point table as days would be added to it
+    E.lagged_points(spark, sf, lags=1).select("traj_id", "pos", "ts", "x", "y", "t").write.parquet(stored)
+    pts = spark.read.parquet(stored)
+    state, cuts = None, ["1900-01-01", "2024-01-11", "2024-01-21", "2100-01-01"]
+    for low, high in zip(cuts, cuts[1:]):
+        part = pts.where((F.col("ts") >= low) & (F.col("ts") < high)).drop("ts")
+        path = scratch_path(spark, "trajectory-state")
+        INC.updated(state, part).write(path)
+        state = INC.read_state(spark, path)
+    return settled(INC.summaries(state).drop("median"))
+
+
 def q_point_count(spark, sf):
     return E.events(spark, sf).groupBy(F.col("user_id").alias("traj_id")).agg(F.count(F.lit(1)).alias("point_count"))
 
@@ -456,6 +471,7 @@ def queries() -> dict:
         q[f"stats_{k}"] = _stats_key(k)
     q.update({
         "medians_by_counting": q_medians_by_counting,
+        "incremental_summaries": q_incremental_summaries,
         "point_count": q_point_count,
         "backtrack_count": q_backtrack_count,
         "continuity": q_continuity,

@@ -183,6 +183,15 @@ def medians_sql(view="B") -> str:
             "WHERE v IS NOT NULL AND NOT isnan(v) GROUP BY traj_id, series")
 
 
+def incremental_sql(view="B") -> str:
+    names = {"x": "x", "y": "y", "t": "t", "time_delta": "dt", "log_speed": "sp", "log_accel": "ac", "log_angle": "an"}
+    rows = " UNION ALL ".join(f"SELECT traj_id, '{k}' AS series, pos, CAST({c} AS DOUBLE) AS v FROM s5" for k, c in names.items())
+    nan = "CASE WHEN bool_or(isnan(v)) THEN 'nan'::DOUBLE ELSE {} END"
+    return (f"{base(view)} SELECT traj_id, series, {I('count(*) FILTER (NOT isnan(v))', 'n')}, {D('arg_min(v, pos)', 'first')}, "
+            f"{D('arg_max(v, pos)', 'last')}, {D(nan.format('avg(v)'), 'mean')}, {D(nan.format('stddev_pop(v)'), 'std')}, "
+            f"{D(nan.format('max(v)'), 'max')}, {D(nan.format('min(v)'), 'min')} FROM ({rows}) WHERE v IS NOT NULL GROUP BY traj_id, series")
+
+
 def _feature_exprs() -> list[tuple[str, str]]:
     out = []
     special = {
@@ -313,6 +322,7 @@ def oracle_sql() -> dict[str, str]:
                             f"{X('x0', 'x_first')}, {X('xl', 'x_last')}, {X('y0', 'y_first')}, "
                             f"{X('yl', 'y_last')}, {X('t0', 't_first')}, {X('tl', 't_last')} FROM tr")
     q["medians_by_counting"] = medians_sql()
+    q["incremental_summaries"] = incremental_sql()
     q["feature_matrix_long"] = feature_sql("B", speed_median=True)
     q["feature_matrix_long_raw"] = feature_sql("A", speed_median=True)
     q["stats_long_log_angle"] = stats_sql("log_angle", "A")
