@@ -19,8 +19,10 @@ def test_entry_runs(spark):
 
 def test_oracle_keys_subset_of_queries():
     assert set(se.oracle_sql()) <= set(se.queries())
-    # every operator of the library has a SQL twin; the corpus operators are tested in tests/llm
-    assert set(catalog.queries()) == set(oracle_sql.oracle_sql())
+    # every operator of the library has a SQL twin, but for trees that several features decide (tests/test_boosting.py);
+    # the corpus operators are tested in tests/llm
+    assert set(catalog.queries()) - set(oracle_sql.oracle_sql()) == {"gbt_train_predict_label", "sampled_train_predict"}
+    assert set(oracle_sql.oracle_sql()) <= set(catalog.queries())
 
 
 @pytest.fixture(scope="module")
