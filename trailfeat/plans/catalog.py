@@ -29,6 +29,9 @@ from ..session import scratch_path
 from ..sources import events as E
 from ..sources import sinks
 from ..sources import text as TX
+from ..sources.bucketed import buckets_for, join_bucketed, write_bucketed
+from ..sources.publish import read_published
+from ..streaming.step_stream import start_step_stream
 from .jobs import submission_job
 
 POINT = ("x", "y", "t", "ax", "ay")
@@ -286,6 +289,21 @@ def q_series_diff_long(spark, sf):
     return lp.select("traj_id", "pos", "dx", "dy", "time_delta")
 
 
+def q_series_diff_stream(spark, sf):
+    """``series_diff_long`` from a stream: the points arrive in three parts, and the stream is restarted for each."""
+    root = scratch_path(spark, "step-stream")
+    E.lagged_points(spark, sf, "A", lags=1).select("traj_id", "ts", "event_id", "x", "y", "t").write.parquet(f"{root}/points")
+    pts = spark.read.parquet(f"{root}/points")
+    cuts = pts.agg(F.percentile_approx("ts", [1 / 3, 2 / 3]).alias("c")).first()["c"]
+    ts, edges = F.col("ts"), [F.lit(c) for c in cuts or []]
+    parts = [ts < edges[0], (ts >= edges[0]) & (ts < edges[1]), ts >= edges[1]] if edges else [F.lit(True)]
+    for i, part in enumerate(parts):
+        pts.where(part).write.parquet(f"{root}/in/part-{i}")
+        start_step_stream(spark, f"{root}/in", pts.schema, f"{root}/out", f"{root}/late", f"{root}/state",
+                          available_now=True).awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("traj_id", "pos", "dx", "dy", "time_delta")
+
+
 def q_first_last_long(spark, sf):
     """First and last values (W2) in one aggregate, ordered by time and event id in one number."""
     ev = E.events(spark, sf)
@@ -344,6 +362,14 @@ def q_submission_text(spark, sf):
     return spark.read.text(out).select(F.col("value").cast("long").alias("ordinal"))
 
 
+def q_submission_published(spark, sf):
+    """The class submission published first, then the score submission over it; the newest is read."""
+    out = scratch_path(spark, "published")
+    for kind in ("class", "score"):
+        submission_job(spark, _prediction_text(spark, sf, kind), out, kind=kind, sink_mode="publish")
+    return read_published(spark, out).select(F.col("value").cast("long").alias("ordinal"))
+
+
 def q_flagged_count(spark, sf):
     return D.flagged_count(D.by_score(E.predictions(spark, sf)))
 
@@ -357,6 +383,21 @@ def q_join_predictions(spark, sf):
     return settled(D.join_predictions(preds, q_point_count(spark, sf)))
 
 
+def q_join_predictions_bucketed(spark, sf):
+    """The same join on two bucketed tables: it exchanges nothing."""
+    preds, counts = D.user_scores(E.table(spark, sf, "events")), q_point_count(spark, sf)
+    buckets = buckets_for(preds.count())
+    tables = {}
+    for name, df in (("scores", preds), ("counts", counts)):
+        path = scratch_path(spark, name)
+        tables[name] = path.rsplit("/", 1)[1].replace("-", "_")
+        write_bucketed(df, tables[name], buckets=buckets, path=path)
+    joined = settled(join_bucketed(spark, tables["scores"], tables["counts"]))
+    for t in tables.values():  # the files stay, the names are of no further use
+        spark.sql(f"DROP TABLE {t}")
+    return joined
+
+
 # ---------------------------------------------------------------- evaluation / model
 
 def q_class_weights(spark, sf):
@@ -483,6 +524,7 @@ def queries() -> dict:
         "feature_matrix_test": q_feature_matrix_test,
         "feature_text_export": q_feature_text_export,
         "series_diff_long": q_series_diff_long,
+        "series_diff_stream": q_series_diff_stream,
         "first_last_long": q_first_last_long,
         "feature_matrix_long": q_feature_matrix_long,
         "feature_matrix_long_raw": q_feature_matrix_long_raw,
@@ -493,9 +535,11 @@ def queries() -> dict:
         "scan_class_text": q_scan_class_text,
         "scan_score_text": q_scan_score_text,
         "submission_text": q_submission_text,
+        "submission_published": q_submission_published,
         "flagged_count": q_flagged_count,
         "submission_ordinal": q_submission_ordinal,
         "join_predictions": q_join_predictions,
+        "join_predictions_bucketed": q_join_predictions_bucketed,
         "class_weights": q_class_weights,
         "eval_auc": q_eval_auc,
         "eval_logloss": q_eval_logloss,

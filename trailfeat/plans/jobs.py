@@ -28,13 +28,15 @@ def quarantine_beside(path: str) -> str:
 
 def features_job(spark: SparkSession, input_path, output_path: str, labelled: bool = True,
                  mode: str = "quarantine", text_output: bool = False,
-                 quarantine_path: str | None = None, with_speed_median: bool = True) -> dict:
+                 quarantine_path: str | None = None, with_speed_median: bool = True,
+                 sink_mode: str = "overwrite") -> dict:
     """Parse, featurize and write in one pass over the input.
 
     Returns the counts observed during that pass: ``lines``, ``quarantined``
     and ``trajectories``. The bad records, if there are any, are written (a
     second, filter-only pass) to ``quarantine_path`` or ``<output>_quarantine``.
-    ``with_speed_median`` adds ``log_speed_median`` to the parquet output.
+    ``with_speed_median`` adds ``log_speed_median`` to the parquet output;
+    ``sink_mode="publish"`` replaces the former output all at once, or not at all.
     """
     parsed = read_trajectories(spark, input_path, labelled=labelled, mode=mode)
     obs = Observation("features")
@@ -42,9 +44,9 @@ def features_job(spark: SparkSession, input_path, output_path: str, labelled: bo
                           F.count("reason").alias("quarantined"))
     fm = feature_matrix(good(seen), labelled=labelled, with_speed_median=with_speed_median and not text_output)
     if text_output:
-        sinks.write_feature_text(fm, output_path, labelled)
+        sinks.write_feature_text(fm, output_path, labelled, mode=sink_mode)
     else:
-        sinks.write_features(fm, output_path)
+        sinks.write_features(fm, output_path, mode=sink_mode)
     out = dict(obs.get)
     out["trajectories"] = out["lines"] - out["quarantined"]
     if out["quarantined"] or quarantine_path:
@@ -100,18 +102,19 @@ def point_features_job(spark: SparkSession, input_path, output_path: str,
 
 def submission_job(spark: SparkSession, input_path, output_path: str, kind: str = "score",
                    threshold: float = SCORE_THRESHOLD, mode: str = "strict",
-                   quarantine_path: str | None = None) -> None:
+                   quarantine_path: str | None = None, sink_mode: str = "overwrite") -> None:
     """Ids judged machine-made, one per line, ascending.
 
     ``kind="table"``: the parquet that :func:`train_job` writes; the ids are its
     ``traj_id``, flagged when score < threshold. ``kind="score"``: tab-separated
     text, flagged likewise; ``kind="class"``: class literals, flagged when the line is
     ``0.0``. The ids of text lines are their 1-based numbers. A bad score line fails
-    the job, or is written to the quarantine with its number.
+    the job, or is written to the quarantine with its number. ``sink_mode="publish"``
+    replaces the former submission all at once, or not at all.
     """
     if kind == "table":
         ids = spark.read.parquet(input_path).where(F.col("score") < F.lit(threshold))
-        sinks.write_submission(ids, output_path, "traj_id")
+        sinks.write_submission(ids, output_path, "traj_id", mode=sink_mode)
         return
     if kind == "score":
         preds = line_numbers(read_score_predictions(spark, input_path, mode))
@@ -121,7 +124,7 @@ def submission_job(spark: SparkSession, input_path, output_path: str, kind: str
         flag = F.col("label") == F.lit(MACHINE_CLASS)
     else:
         raise ValueError(kind)
-    sinks.write_submission(preds.where(flag), output_path)
+    sinks.write_submission(preds.where(flag), output_path, mode=sink_mode)
     if kind == "score" and mode == "quarantine":
         bad = preds.where("reason is not null")
         if quarantine_path or not bad.isEmpty():

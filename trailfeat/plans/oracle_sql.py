@@ -318,6 +318,7 @@ def oracle_sql() -> dict[str, str]:
     bA = base("A")
     q["series_diff_long"] = (f"{bA} SELECT CAST(traj_id AS BIGINT) AS traj_id, {I('pos', 'pos')}, "
                              f"{X('dx', 'dx')}, {X('dy', 'dy')}, {X('dt', 'time_delta')} FROM s5")
+    q["series_diff_stream"] = q["series_diff_long"]
     q["first_last_long"] = (f"{bA} SELECT CAST(traj_id AS BIGINT) AS traj_id, {I('n', 'point_count')}, "
                             f"{X('x0', 'x_first')}, {X('xl', 'x_last')}, {X('y0', 'y_first')}, "
                             f"{X('yl', 'y_last')}, {X('t0', 't_first')}, {X('tl', 't_last')} FROM tr")
@@ -332,6 +333,7 @@ def oracle_sql() -> dict[str, str]:
     q["scan_class_text"] = f"{numbered} SELECT {I('ordinal', 'ordinal')} FROM o WHERE label = '0.0'"
     q["scan_score_text"] = f"{numbered} SELECT {I('ordinal', 'ordinal')}, score FROM o WHERE score < 0.97"
     q["submission_text"] = f"{numbered} SELECT {I('ordinal', 'ordinal')} FROM o WHERE score < 0.97"
+    q["submission_published"] = q["submission_text"]
     q["decide_by_class"] = f"WITH {PRED} SELECT traj_id FROM pr WHERE label = '0.0'"
     q["decide_by_score"] = f"WITH {PRED} SELECT traj_id FROM pr WHERE score < 0.97"
     q["flagged_count"] = f"WITH {PRED} SELECT CAST(count(*) AS BIGINT) AS flagged FROM pr WHERE score < 0.97"
@@ -343,6 +345,7 @@ def oracle_sql() -> dict[str, str]:
         "FROM events GROUP BY user_id) "
         f"SELECT traj_id, {D('score', 'score')}, {I('point_count', 'point_count')}, "
         "score < 0.97 AS flagged, 'both' AS matched FROM us JOIN uc USING (traj_id)")
+    q["join_predictions_bucketed"] = q["join_predictions"]
     q["class_weights"] = ("SELECT DISTINCT user_id AS traj_id, CAST(user_id % 2 AS DOUBLE) AS label, "
                           "CASE WHEN user_id % 2 = 1 THEN 10.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM events")
     # Trees that split on the one deciding feature: every margin is f or -f, and f grows by the step times the gradient
