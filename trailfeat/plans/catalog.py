@@ -30,6 +30,7 @@ from ..sources import events as E
 from ..sources import sinks
 from ..sources import text as TX
 from ..sources.bucketed import buckets_for, join_bucketed, write_bucketed
+from ..sources.formats import register
 from ..sources.publish import read_published
 from ..streaming.step_stream import start_step_stream
 from .jobs import submission_job
@@ -112,6 +113,14 @@ def _scan_text(labelled: bool):
     return q
 
 
+def q_scan_format_text(spark, sf):
+    """The labelled lines through the named format."""
+    path = scratch_path(spark, "lines")
+    lines(spark, sf).write.text(path)
+    register(spark)
+    return _points_of(P.good(spark.read.format("trajectories").load(path)), True)
+
+
 def q_parse_points(spark, sf):
     """The point-list parser alone, on view-A lines (large, exponent-formatted t)."""
     ln = lines(spark, sf, view="A")
@@ -496,6 +505,7 @@ def queries() -> dict:
         "parse_quarantine": q_parse_quarantine,
         "scan_labelled_text": _scan_text(True),
         "scan_unlabelled_text": _scan_text(False),
+        "scan_format_text": q_scan_format_text,
         "explode_points": q_explode_points,
         "np_log1p": q_np_log1p,
         "nan_to_num": q_nan_to_num,

@@ -252,6 +252,7 @@ def oracle_sql() -> dict[str, str]:
     q["parse_labelled"] = f"WITH {week} SELECT traj_id, {I('pos', 'pos')}, {xyt}, {aim}, label FROM pts"
     q["parse_unlabelled"] = f"WITH {week} SELECT traj_id, {I('pos', 'pos')}, {xyt}, {aim} FROM pts"
     q["scan_labelled_text"], q["scan_unlabelled_text"] = q["parse_labelled"], q["parse_unlabelled"]
+    q["scan_format_text"] = q["parse_labelled"]
     q["parse_points"] = f"WITH {points_cte('A', True)} SELECT traj_id, {I('pos', 'pos')}, {xyt} FROM pts"
     q["explode_points"] = f"WITH {week} SELECT traj_id, {I('pos', 'pos')}, {xyt} FROM pts"
     q["parse_quarantine"] = (f"WITH {week} SELECT traj_id, CASE WHEN count(*) = 13 THEN 'bad_point' END AS reason "
