@@ -246,7 +246,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary:
     kind = "bucket long, doc_id long, tie long, n long, packed binary"
     packed = map_arrow(dealt.select(bucket.cast("long").alias("bucket"), "doc_id", "tie", "text"), tokens, kind)
     parts = max(buckets + null_parts, 1)
-    sorted_rows = packed.repartition(parts, "bucket").sortWithinPartitions("bucket", "doc_id", "tie", "n").select(
+    # a bucket is a partition: hashing the numbers would leave some tasks empty and give others several buckets
+    sorted_rows = packed.repartitionById(parts, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "doc_id", "tie", "n").select(
         "bucket", "doc_id", "n", "packed")
     files = checkpointed(map_arrow(sorted_rows, run, "file string, bucket long, part long, docs long, ids long"))
     # one row per file
