@@ -3,7 +3,7 @@
 ``register(spark)`` makes the name known. Files are cut into splits of ``splitBytes``
 (compressed files are one split each), a split is read in blocks and parsed as whole
 Arrow columns, so memory does not depend on the size of a file. Results are those of
-``operators.parse.parse_trajectories``, which stays the faster way where the lines
+``operators.parse.parse_trajectories``, which needs no Python worker where the lines
 come from Spark's text source.
 
 Options: ``labelled`` (true), ``mode`` (``quarantine``: bad records come as rows with
